@@ -27,6 +27,22 @@ def group(col: Column, regex: str, number: int) -> Column:
     return F.regexp_extract(col, regex, number)
 
 
+MARK = "\x01"
+
+
+def capture_all(text: Column, regex: str, count: int) -> Column:
+    """All groups of a whole-line regex in one run; an empty array where it does not match.
+
+    The groups are written side by side and split again. Text that holds the mark between
+    them, or more than one line, is read group by group instead.
+    """
+    one_by_one = F.when(text.rlike(regex), F.array(*[F.regexp_extract(text, regex, i) for i in range(1, count + 1)]))
+    joined = F.regexp_replace(text, regex, MARK.join(f"${i}" for i in range(1, count + 1)))
+    groups = F.when(text.rlike("[\x01\n\r\u0085\u2028\u2029]"), one_by_one).otherwise(F.split(joined, MARK, -1))
+    none = F.array().cast("array<string>")
+    return bind(F.coalesce(groups, none), lambda g: F.when(F.size(g) == count, g).otherwise(none))
+
+
 def dashed(col: Column) -> Column:
     """``-`` stands for a missing value."""
     return F.nullif(col, F.lit("-"))

@@ -12,13 +12,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .columns import trim_control
+from .columns import MARK, trim_control
 from .fixed import DATE_SHAPE, DATETIME_SHAPE, TIME_SHAPE
 
 _BLANK = r"[\x00-\x20]"
 _SOLID = r"[^\x00-\x20]"
 _GAP = f"{_BLANK}*+(?={_SOLID})"
-_MARK = "\x01"
 _DATE_TYPES = {"DATE", "TIMESTAMP", "TIMESTAMP_ISO8601"}
 _TYPES = _DATE_TYPES | {"STRING", "INTEGER", "FIREWALLTIMPESTAMP"}
 # Digits up to 2147483647, written so that a larger number does not match.
@@ -61,9 +60,9 @@ class Pattern:
             return F.array().cast("array<string>")
         numbers = range(1, len(self.captures) + 1)
         rest = "" if self.captures[-1].at_end else r"(?s:.*)"
-        joined = F.regexp_replace(col, self.regex + rest, _MARK.join(f"${i}" for i in numbers))
+        joined = F.regexp_replace(col, self.regex + rest, MARK.join(f"${i}" for i in numbers))
         one_by_one = F.array(*[F.regexp_extract(col, self.regex, i) for i in numbers])
-        return F.when(F.contains(col, F.lit(_MARK)), one_by_one).otherwise(F.split(joined, _MARK, -1))
+        return F.when(F.contains(col, F.lit(MARK)), one_by_one).otherwise(F.split(joined, MARK, -1))
 
     def fields(self, groups: Column) -> Column:
         """Map of field name to value; of fields captured twice the last one counts."""

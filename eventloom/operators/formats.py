@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.columns import dashed, group, to_int, trim_control
+from ..functions.columns import bind, capture_all, dashed, group, to_int, trim_control
 from ..functions.priority import facility_of, priority_number, severity_of
 from ..functions.times import (
     format_bsd_time, format_rfc3339, parse_iso_time, parse_line_date,
 )
+from .joins import compute_once
 
-Format = Callable[..., dict[str, Column]]
+Format = Callable[..., "dict[str, Column] | Column"]
 _FORMATS: dict[str, Format] = {}
 
 # Fields of a parsed line and their types. Formats leave out what they do not carry.
@@ -26,7 +27,7 @@ LINE_FIELDS = {
 
 
 def register_format(name: str, fn: Format) -> None:
-    """Register ``fn(text, ref_time, **options)`` -> columns, with a ``parsed`` flag."""
+    """Register ``fn(text, ref_time, **options)`` -> columns by field name, with ``parsed``."""
     _FORMATS[name] = fn
 
 
@@ -36,112 +37,144 @@ def parse_lines(
     """Add the fields of a line format and ``parsed``; unknown names read as ``custom``."""
     ref = F.current_timestamp() if ref_time is None else ref_time
     fields = _FORMATS.get(fmt, _FORMATS["custom"])(F.col(col), ref, **options)
-    parsed = F.coalesce(fields["parsed"], F.lit(False))
-    shaped = {
-        name: F.when(parsed, fields.get(name, F.lit(None))).cast(kind)
-        for name, kind in LINE_FIELDS.items()
-    }
-    return df.withColumns({**shaped, "parsed": parsed})
+    out = compute_once(df, {"_line": line_struct(fields) if isinstance(fields, dict) else fields})
+    parsed = F.coalesce(F.col("_line.parsed"), F.lit(False))
+    return out.withColumns({
+        **{name: F.when(parsed, F.col(f"_line.{name}")) for name in LINE_FIELDS}, "parsed": parsed,
+    }).drop("_line")
+
+
+def line_struct(fields: dict[str, Column]) -> Column:
+    shaped = [fields.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in LINE_FIELDS.items()]
+    return F.struct(*shaped, fields["parsed"].alias("parsed"))
+
+
+def _read(text: Column, regex: str, count: int, build: Callable[[Callable[[int], Column]], dict[str, Column]]) -> Column:
+    """Run the regex once and build the fields from its groups."""
+    return bind(capture_all(text, regex, count), lambda g: line_struct({
+        **build(lambda i: F.get(g, F.lit(i - 1))), "parsed": F.size(g) == count,
+    }))
 
 
 def _priority(code: Column) -> dict[str, Column]:
     return {"facility": facility_of(code), "severity": severity_of(code)}
 
 
-def _rfc5424(text: Column, ref_time: Column, **_) -> dict[str, Column]:
-    part = lambda i: group(text, fixed.RFC5424_LINE, i)
-    number = lambda c: to_int(c, default=None)
-    return {
-        **_priority(number(part(1))),
-        "version": number(part(2)),
+def _number(text: Column) -> Column:
+    return to_int(text, default=None)
+
+
+def _rfc5424(text: Column, ref_time: Column, **_) -> Column:
+    return _read(text, fixed.RFC5424_LINE, 9, lambda part: {
+        **_priority(_number(part(1))),
+        "version": _number(part(2)),
         "date": parse_iso_time(part(3)),
         "hostname": dashed(part(4)),
         "process_name": dashed(part(5)),
-        "process_id": number(part(6)),
+        "process_id": _number(part(6)),
         "message_id": dashed(part(7)),
         "message": F.when(part(9) != "", trim_control(part(9))),
-        "parsed": text.rlike(fixed.RFC5424_LINE),
-    }
+    })
 
 
-def _syslogng(text: Column, ref_time: Column, **_) -> dict[str, Column]:
-    part = lambda i: group(text, fixed.SYSLOGNG_LINE, i)
-    return {
-        **_priority(to_int(part(1), default=None)),
+def _syslogng(text: Column, ref_time: Column, **_) -> Column:
+    return _read(text, fixed.SYSLOGNG_LINE, 7, lambda part: {
+        **_priority(_number(part(1))),
         "message_id": F.nullif(part(2), F.lit("")),
         "date": F.coalesce(parse_line_date(part(3), ref_time), ref_time),
         "hostname": part(4),
         "process_name": F.nullif(part(5), F.lit("")),
-        "process_id": to_int(part(6), default=None),
+        "process_id": _number(part(6)),
         "message": trim_control(part(7)),
-        "parsed": text.rlike(fixed.SYSLOGNG_LINE),
-    }
+    })
 
 
-def _juniper(text: Column, ref_time: Column, fallback: bool = False, **options) -> dict[str, Column]:
+def _juniper(text: Column, ref_time: Column, fallback: bool = False, **options) -> Column:
     """With ``fallback`` a line of another shape is read by the custom format."""
-    part = lambda i: group(text, fixed.JUNIPER_LINE, i)
-    own = {
-        **_priority(to_int(part(1), default=None)),
+    own = _read(text, fixed.JUNIPER_LINE, 6, lambda part: {
+        **_priority(_number(part(1))),
         "date": F.coalesce(parse_line_date(part(2), ref_time), ref_time),
         "hostname": part(3),
         "process_name": part(4),
-        "process_id": to_int(part(5), default=None),
+        "process_id": _number(part(5)),
         "message": trim_control(part(6)),
-        "parsed": text.rlike(fixed.JUNIPER_LINE),
-    }
+    })
     if not fallback:
         return own
     other = _custom(text, ref_time, **options)
-    both = {
-        name: F.when(own["parsed"], own.get(name, F.lit(None))).otherwise(column)
-        for name, column in other.items() if name != "parsed"
-    }
-    return {**both, "parsed": own["parsed"] | other["parsed"]}
+    return bind(own, lambda line: F.when(line["parsed"], line).otherwise(other))
 
 
 def _custom(
     text: Column, ref_time: Column, forwarding_regex: str = "", host_group: int = 1, msg_group: int = 2, **_
-) -> dict[str, Column]:
+) -> Column:
     """A priority, an optional ``id:``, an optional date, then the caller's own regex."""
     if not forwarding_regex:
         raise ValueError("the custom format needs a forwarding_regex")
-    left, right = F.instr(text, "<"), F.instr(text, ">")
-    framed = (left > 0) & (right > 0) & (left < right - 1)
-    code = to_int(F.substr(text, left + 1, right - left - 1))
-    body = F.substr(text, right + 1)
-    # The blank before the rest of the line stays, so the id is cut one character short.
-    lead = group(body, fixed.CUSTOM_MESSAGE_ID, 1)
-    has_id = lead != ""
-    body = F.when(has_id, F.substr(body, F.length(lead))).otherwise(body)
-    message_id = F.when(has_id, group(F.substr(text, right + 1), fixed.CUSTOM_MESSAGE_ID, 2))
-    old, iso = group(body, fixed.CUSTOM_OLD_DATE, 1), group(body, fixed.CUSTOM_ISO_DATE, 2)
-    date = F.when(old != "", parse_line_date(old, ref_time)).when(
-        iso != "", parse_line_date(iso, ref_time)
-    ).otherwise(ref_time)
-    body = F.when(old != "", F.regexp_replace(body, fixed.CUSTOM_OLD_DATE, "")).otherwise(body)
     whole = rf"(?m)\A(?:{forwarding_regex})\z"
-    matched = group(body, whole, msg_group)
+
+    def head(line: Column) -> Column:
+        left, right = F.instr(line, "<"), F.instr(line, ">")
+        return F.struct(
+            ((left > 0) & (right > 0) & (left < right - 1)).alias("framed"),
+            F.substr(line, left + 1, right - left - 1).alias("code"), F.substr(line, right + 1).alias("body"),
+        )
+
+    def with_id(h: Column) -> Column:
+        lead = group(h["body"], fixed.CUSTOM_MESSAGE_ID, 1)
+        # The blank before the rest of the line stays, so the id is cut one character short.
+        return bind(lead, lambda text: F.struct(
+            h["framed"].alias("framed"), h["code"].alias("code"),
+            F.when(text != "", F.substr(h["body"], F.length(text))).otherwise(h["body"]).alias("body"),
+            F.when(text != "", group(h["body"], fixed.CUSTOM_MESSAGE_ID, 2)).alias("message_id"),
+        ))
+
+    def with_date(h: Column) -> Column:
+        old, iso = group(h["body"], fixed.CUSTOM_OLD_DATE, 1), group(h["body"], fixed.CUSTOM_ISO_DATE, 2)
+        return bind(F.struct(old.alias("old"), iso.alias("iso")), lambda d: F.struct(
+            h["framed"].alias("framed"), h["code"].alias("code"), h["message_id"].alias("message_id"),
+            F.when(d["old"] != "", F.regexp_replace(h["body"], fixed.CUSTOM_OLD_DATE, "")).otherwise(h["body"]).alias("body"),
+            F.when(d["old"] != "", parse_line_date(d["old"], ref_time))
+            .when(d["iso"] != "", parse_line_date(d["iso"], ref_time)).otherwise(ref_time).alias("date"),
+        ))
+
+    def with_process(h: Column) -> Column:
+        fields = F.struct(
+            group(h["body"], whole, msg_group).alias("text"), group(h["body"], whole, host_group).alias("host"),
+            h["body"].rlike(whole).alias("fits"),
+        )
+        return bind(fields, lambda m: bind(_process_of(m["text"]), lambda p: line_struct({
+            **_priority(to_int(h["code"])),
+            "message_id": h["message_id"], "date": h["date"], "hostname": m["host"],
+            "process_name": p["name"], "process_id": p["number"], "message": trim_control(p["rest"]),
+            "matched_message": m["text"], "parsed": h["framed"] & m["fits"] & p["cuts"],
+        })))
+
+    return bind(bind(bind(bind(text, head), with_id), with_date), with_process)
+
+
+def _process_of(matched: Column) -> Column:
+    """``name: rest`` or ``name[number]: rest``, told by where the first marks stand."""
     open_at, close_at = F.instr(matched, "["), F.instr(matched, "]")
     colon, blank = F.instr(matched, ":"), F.instr(matched, " ")
-    plain = (open_at == 0) & (close_at == 0) & (colon > 1) & (blank == colon + 1)
-    numbered = ~plain & (open_at < close_at - 1) & (colon == close_at + 1) & (blank == colon + 1)
-    rest = F.when(plain | numbered, F.substr(matched, colon + 2)).otherwise(matched)
-    return {
-        **_priority(code),
-        "message_id": message_id,
-        "date": date,
-        "hostname": group(body, whole, host_group),
-        "process_name": F.when(plain, F.substr(matched, F.lit(1), colon - 1))
-        .when(numbered, F.substr(matched, F.lit(1), open_at - 1)).otherwise(F.lit("")),
-        "process_id": F.when(
-            numbered, to_int(F.substr(matched, open_at + 1, close_at - open_at - 1))
-        ).otherwise(F.lit(0)),
-        "message": trim_control(rest),
-        "matched_message": matched,
-        # A closing bracket without an opening one has no name to cut out.
-        "parsed": framed & body.rlike(whole) & ~(numbered & (open_at == 0)),
-    }
+    marks = F.struct(open_at.alias("open"), close_at.alias("close"), colon.alias("colon"), blank.alias("blank"))
+
+    def cut(at: Column) -> Column:
+        plain = (at["open"] == 0) & (at["close"] == 0) & (at["colon"] > 1) & (at["blank"] == at["colon"] + 1)
+        numbered = (
+            ~plain & (at["open"] < at["close"] - 1) & (at["colon"] == at["close"] + 1) & (at["blank"] == at["colon"] + 1)
+        )
+        return F.struct(
+            F.when(plain, F.substr(matched, F.lit(1), at["colon"] - 1))
+            .when(numbered, F.substr(matched, F.lit(1), at["open"] - 1)).otherwise(F.lit("")).alias("name"),
+            F.when(numbered, to_int(F.substr(matched, at["open"] + 1, at["close"] - at["open"] - 1)))
+            .otherwise(F.lit(0)).alias("number"),
+            F.when(plain | numbered, F.substr(matched, at["colon"] + 2)).otherwise(matched).alias("rest"),
+            # A closing bracket without an opening one has no name to cut out.
+            (~(numbered & (at["open"] == 0))).alias("cuts"),
+        )
+
+    return bind(marks, cut)
 
 
 register_format("rfc5424", _rfc5424)

@@ -36,9 +36,11 @@ def lookup_join(
 def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add expensive columns so that each is evaluated once per row.
 
-    The columns come out of a generator of exactly one row. The optimizer does not push
-    filters through a generator's output or inline it, so a long rule or pattern chain is
-    neither repeated in every later filter nor multiplied inside the plan.
+    The finished columns pass through a generator of exactly one row. The optimizer does not
+    push filters through a generator's output or inline it, so a long rule or pattern chain
+    is neither repeated in every later filter nor multiplied inside the plan.
     """
+    held = {n: f"_once_{n}" for n in columns}
     kept = [c for c in df.columns if c not in columns]
-    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+    computed = df.withColumns({held[n]: c for n, c in columns.items()})
+    return computed.select(*kept, F.inline(F.array(F.struct(*[F.col(h).alias(n) for n, h in held.items()]))))

@@ -44,26 +44,28 @@ _DEFS = (
 _TAG_PREFIX = r"(</?)[A-Za-z0-9]+:"
 
 
-def _documents(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+def _documents(spark: SparkSession, paths: list[str], schema: str, trim: bool = True) -> DataFrame:
     files = spark.read.text(paths, wholetext=True)
     if len(paths) == 1:
         file_no = F.lit(0)
     else:
         order = F.create_map(*[x for i, p in enumerate(paths) for x in (F.lit(p.rsplit("/", 1)[-1]), F.lit(i))])
         file_no = order[F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)]
-    parsed = F.from_xml(F.regexp_replace("value", _TAG_PREFIX, "$1"), F.lit(schema), {"mode": "PERMISSIVE"})
+    parsed = F.from_xml(F.regexp_replace("value", _TAG_PREFIX, "$1"), F.lit(schema), {
+        "mode": "PERMISSIVE", "ignoreSurroundingSpaces": str(trim).lower()})
     return files.select(file_no.alias("file_no"), parsed.alias("doc"))
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
     """Match rules in file order."""
-    rule = _documents(spark, [path], _RULES).select(F.posexplode("doc.ueiList.ueiMatch").alias("pos", "r"))
+    rule = _documents(spark, [path], _RULES, trim=False).select(F.posexplode("doc.ueiList.ueiMatch").alias("pos", "r"))
     none = F.array().cast("array<string>")
     return rule.select(
         (F.col("pos") + 1).alias("rule_no"),
         F.col("r.match._type").alias("match_type"), F.col("r.match._expression").alias("expression"),
         F.trim("r.uei").alias("uei"),
-        F.coalesce("r.facility", none).alias("facilities"), F.coalesce("r.severity", none).alias("severities"),
+        F.coalesce(F.transform("r.facility", lambda f: F.trim(f)), none).alias("facilities"),
+        F.coalesce(F.transform("r.severity", lambda f: F.trim(f)), none).alias("severities"),
         F.col("r.process-match._expression").alias("process_expr"),
         F.col("r.hostname-match._expression").alias("hostname_expr"),
         F.col("r.hostaddr-match._expression").alias("hostaddr_expr"),
@@ -88,7 +90,7 @@ def rule_list(rules: DataFrame) -> list[Rule]:
 
 def read_hide_rules(spark: SparkSession, path: str) -> DataFrame:
     """(rule_no, type, expression) of the hide rules."""
-    hide = _documents(spark, [path], _RULES).select(F.posexplode("doc.hideMessage.hideMatch").alias("pos", "h"))
+    hide = _documents(spark, [path], _RULES, trim=False).select(F.posexplode("doc.hideMessage.hideMatch").alias("pos", "h"))
     return hide.select(
         (F.col("pos") + 1).alias("rule_no"), F.col("h.match._type").alias("type"),
         F.col("h.match._expression").alias("expression"),
@@ -97,7 +99,7 @@ def read_hide_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def read_settings(spark: SparkSession, path: str) -> dict:
     """Parser settings: discard name, forwarding regex and its groups, format name."""
-    row = _documents(spark, [path], _RULES).select("doc.configuration.*").first()
+    row = _documents(spark, [path], _RULES, trim=False).select("doc.configuration.*").first()
     return {
         "discard_uei": row["_discard-uei"], "forwarding_regex": row["_forwarding-regexp"],
         "host_group": row["_matching-group-host"], "msg_group": row["_matching-group-message"],
