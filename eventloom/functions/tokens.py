@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ _NUMBERED_NAME = r"^parm\[name-#(\d+)(?:([^0-9+-]+)([+-]?\d+)(?:(:)([+-]?\d+)?)?
 LONG_TIME = "EEEE, MMMM d, yyyy h:mm:ss a 'UTC'"
 SHORT_TIME = "M/d/yy h:mm a"
 
-Context = dict[str, Column]
+Context = dict[str, Any]
 Builder = Callable[[Column, Context], Column]
 
 
@@ -226,12 +227,26 @@ def _decoded(token: Column, value: Column, decode: Column | None) -> Column:
     return F.coalesce(F.concat(text, F.lit("("), value, F.lit(")")), value)
 
 
+def token_map(ctx: Context, but: frozenset[str] = frozenset()) -> Column:
+    """All tokens of a fixed name and their values, without those in ``but``."""
+    fixed = [r for r in STANDARD if r.kind == "equals" and r.text not in but]
+    return F.create_map(*[c for r in fixed for c in (F.lit(r.text), r.build(F.lit(r.text), ctx))])
+
+
 def resolve(token: Column, ctx: Context, decode: Column | None = None) -> Column:
-    """Value of a token held in a column; unknown tokens and missing values read empty."""
-    first, *rest = resolvers()
-    chain = F.when(first.condition(token), first.build(token, ctx))
-    for resolver in rest:
-        chain = chain.when(resolver.condition(token), resolver.build(token, ctx))
+    """Value of a token held in a column; unknown tokens and missing values read empty.
+
+    Where the context holds ``tokens``, a ``token_map``, fixed names are looked up there
+    and only those it leaves out (``live``) and the open-ended ones are worked out here.
+    """
+    held, live = ctx.get("tokens"), ctx.get("live", frozenset())
+    steps = [(r.condition(token), r.build(token, ctx)) for r in resolvers()
+             if held is None or r.kind != "equals" or r.text in live or r in _REGISTERED]
+    if held is not None:
+        steps.insert(0, (F.map_contains_key(held, token), F.try_element_at(held, token)))
+    chain = F.when(*steps[0])
+    for step in steps[1:]:
+        chain = chain.when(*step)
     return F.coalesce(_decoded(token, chain, decode), F.lit(""))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import PARM_TYPE, parm
 from ..functions.fixed import SECURABLE_TAGS
-from ..functions.tokens import Context, expand_literal, expand_text
+from ..functions.tokens import Context, expand_literal, expand_text, token_map
 from .joins import lookup_join
 
 _PLAIN = ["uei", "dbid", "source", "dist_poller", "descr", "nodeid", "time", "host", "interface",
@@ -117,30 +117,34 @@ def _expand_parms(df: DataFrame, decode: Column | None) -> Column:
     return F.when(F.exists(parms, lambda p: F.coalesce(p["expand"], F.lit(False))), folded).otherwise(parms)
 
 
+# Fields that expansion itself changes, so that their tokens are read afresh each time.
+_LIVE = frozenset({"descr", "logmsg", "operinstruct", "tticketid"})
+
+
 def expand_event(df: DataFrame) -> DataFrame:
     """Expand every field that may hold templates, in order: a field sees those before it
     expanded. Coded values are decoded in parms, description and log message only."""
     have = set(df.columns)
     decode = F.col("def.decodes") if "def" in have else None
+    ctx = {**event_context(df), "tokens": F.col("_tokens"), "live": _LIVE}
+    text = lambda c, d=None: expand_text(c, ctx, d)
+    content = lambda a: a.withField("content", text(a["content"]))
     out = df.withColumn("parms", _expand_parms(df, decode))
-    text = lambda c, d=None: expand_text(c, event_context(out), d)
-    each = lambda name: F.transform(
-        name, lambda a: a.withField("content", expand_text(a["content"], event_context(out)))
-    )
+    out = out.withColumn("_tokens", token_map(event_context(df), _LIVE))
     out = out.withColumn("descr", text(F.col("descr"), decode))
     out = out.withColumn("logmsg", F.col("logmsg").withField("content", text(F.col("logmsg.content"), decode)))
     if "operinstruct" in have:
         out = out.withColumn("operinstruct", text(F.col("operinstruct")))
-    for name in ("autoaction", "operaction"):
-        if name in have:
-            out = out.withColumn(name, each(name))
+    actions = {name: F.transform(name, content) for name in ("autoaction", "operaction") if name in have}
     if "tticket" in have:
-        out = out.withColumn("tticket", F.col("tticket").withField("content", text(F.col("tticket.content"))))
+        actions["tticket"] = content(F.col("tticket"))
+    if actions:
+        out = out.withColumns(actions)
     if "alarm_data" in have:
         alarm = F.col("alarm_data")
         out = out.withColumn("alarm_data", alarm.withField("reduction_key", text(alarm["reduction_key"]))
                              .withField("clear_key", text(alarm["clear_key"])))
-    return out
+    return out.drop("_tokens")
 
 
 def expand_map(df: DataFrame, col: str) -> DataFrame:
