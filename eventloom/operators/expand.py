@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import PARM_TYPE, parm
 from ..functions.fixed import SECURABLE_TAGS
 from ..functions.tokens import Context, expand_literal, expand_text, token_map
-from .joins import lookup_join
+from .joins import compute_once, lookup_join
 
 _PLAIN = ["uei", "dbid", "source", "dist_poller", "descr", "nodeid", "time", "host", "interface",
           "ifindex", "snmphost", "service", "snmp", "severity", "operinstruct", "mouseovertext", "parms"]
@@ -94,10 +94,14 @@ def expand_templates(
 ) -> DataFrame:
     """Add one column per template. Text is compiled on the driver; a column is cut per row."""
     ctx = event_context(df, **context)
-    return df.withColumns({
-        name: expand_literal(t, ctx, decode) if isinstance(t, str) else expand_text(t, ctx, decode)
-        for name, t in templates.items()
-    })
+    compiled = {n: expand_literal(t, ctx, decode) for n, t in templates.items() if isinstance(t, str)}
+    out = df.withColumns(compiled) if compiled else df
+    held = {n: t for n, t in templates.items() if not isinstance(t, str)}
+    if not held:
+        return out
+    out = compute_once(out, {"_tokens": token_map(ctx)})
+    ctx = {**ctx, "tokens": F.col("_tokens")}
+    return out.withColumns({n: expand_text(t, ctx, decode) for n, t in held.items()}).drop("_tokens")
 
 
 def _expand_parms(df: DataFrame, decode: Column | None) -> Column:
@@ -130,7 +134,7 @@ def expand_event(df: DataFrame) -> DataFrame:
     text = lambda c, d=None: expand_text(c, ctx, d)
     content = lambda a: a.withField("content", text(a["content"]))
     out = df.withColumn("parms", _expand_parms(df, decode))
-    out = out.withColumn("_tokens", token_map(event_context(df), _LIVE))
+    out = compute_once(out, {"_tokens": token_map(event_context(df), _LIVE)})
     out = out.withColumn("descr", text(F.col("descr"), decode))
     out = out.withColumn("logmsg", F.col("logmsg").withField("content", text(F.col("logmsg.content"), decode)))
     if "operinstruct" in have:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import compute_once
+
 _SCHEMA = (
     "`_source-address` string, `_source-port` int, `_system-id` string, `_location` string, "
     "messages struct<_timestamp:string,_VALUE:string>, _corrupt_record string"
@@ -20,7 +22,7 @@ def read_envelopes(df: DataFrame, col: str = "value") -> DataFrame:
     payload = F.regexp_replace(F.col("_envelope.messages._VALUE"), r"\s+", "")
     # Bytes beyond ASCII have no text of their own and read as the replacement character.
     text = F.regexp_replace(F.decode(F.try_to_binary(payload, F.lit("base64")), "ISO-8859-1"), r"[^\x00-\x7f]", "�")
-    return df.withColumn("_envelope", record).withColumns({
+    return compute_once(df, {"_envelope": record}).withColumns({
         "source_address": F.col("_envelope.`_source-address`"),
         "source_port": F.col("_envelope.`_source-port`"),
         "system_id": F.col("_envelope.`_system-id`"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import PARM_TYPE, empty_parms
 from ..functions.times import parse_iso_time
+from ..operators.joins import compute_once
 
 # A record runs from the first "<" after the one before to the next closing tag.
 _RECORD = r"(?s)<.*?</(?:[a-zA-Z0-9]+:)?log>"
@@ -29,7 +30,7 @@ def split_documents(df: DataFrame, text: str, log_id: list[str]) -> DataFrame:
     docs = df.select(*log_id, F.posexplode(F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0))).alias("doc_no", "doc"))
     plain = F.regexp_replace("doc", _TAG_PREFIX, "$1")
     log = F.from_xml(plain, F.lit(_LOG), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return docs.withColumn("log", log)
+    return compute_once(docs, {"log": log})
 
 
 def _time(col: Column) -> Column:
