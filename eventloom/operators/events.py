@@ -30,7 +30,7 @@ def java_date_text(col: Column) -> Column:
 
 
 def to_events(
-    df: DataFrame, uei_prefix: str = "uei.example.org/syslog", source: str = "syslogd",
+    df: DataFrame, uei_prefix: str = "uei.example.org/syslog", source: str = "syslog",
     local_host: str = "localhost", raw: str = "raw",
 ) -> DataFrame:
     """Build events from matched messages.

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ...functions.columns import PARM_TYPE, parm, split_extract
+from ...functions.columns import split_extract
 from ...functions.tokens import register_token, unregister_token
 from ...operators.expand import (
     add_default_parms, alarm_keys, decode_parms, expand_event, expand_map, expand_templates, fill_from_definition,
@@ -12,7 +12,7 @@ from ...plans.chain import run_chain
 from ...schema import as_events
 from .. import views as V
 from .lookups import DEFAULT_UEI, definitions
-from .registry import AMOUNT, query, stamp, with_views
+from .registry import AMOUNT, query, with_views
 
 
 def _shown(col="parms"):
@@ -147,9 +147,6 @@ def split_extract_query(spark, sf):
         split_extract(name, ".", 9).alias("beyond"))
 
 
-NODE_TEXT = "case when own then concat('own ', u1, ' ', event_type) else"
-
-
 @query("event_expand", with_views("node_events", more=DEF + """,
 d as (select *, case when def_no = 1 and u = '1' then 'one(1)' when def_no = 1 and u = '2' then 'two(2)'
   when def_no = 10 and u = '3' then 'three(3)' else u end as u1 from defs)""") + """
@@ -216,6 +213,3 @@ select event_type, count(*) as n from events where event_id % 2 = 0 group by 1""
 def step_chain(spark, sf):
     return run_chain(V.table(spark, sf, "events"), [
         lambda d: d.filter(F.col("event_id") % 2 == 0), lambda d: d.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))])
-
-
-__all__ = ["PARM_TYPE", "parm", "stamp", "full_events", "defined_events"]

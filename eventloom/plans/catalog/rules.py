@@ -9,7 +9,7 @@ from ...operators.rules import ParmFilter, Rule, mark_hidden, match_rules, match
 from ...session import shared_dir
 from ...sources.config import read_hide_rules, read_rules, rule_list
 from .. import views as V
-from .registry import AMOUNT, BSD, query, with_views
+from .registry import AMOUNT, query, with_views
 
 RULES = [
     Rule(1, "substr", "did view", "uei.example.org/view"),
@@ -84,7 +84,7 @@ def rule_capture_parms(spark, sf):
     return match_rules(_lines(spark, sf), RULES, "DISCARD").select("event_id", _shown("rule_parms").alias("parms"))
 
 
-RULE_FILE = """<?xml version="1.0"?><syslogd-configuration>
+RULE_FILE = """<?xml version="1.0"?><syslog-configuration>
 <configuration discard-uei="DISCARD"/>
 <ueiList>
 <ueiMatch><match type="substr" expression="did view"/><uei>uei.example.org/view</uei></ueiMatch>
@@ -103,7 +103,7 @@ RULE_FILE = """<?xml version="1.0"?><syslogd-configuration>
 </ueiList>
 <hideMessage><hideMatch><match type="substr" expression="did purchase"/></hideMatch>
 <hideMatch><match type="regex" expression="amount [0-9]*7 "/></hideMatch></hideMessage>
-</syslogd-configuration>"""
+</syslog-configuration>"""
 
 
 def _rule_file(spark):
@@ -179,11 +179,11 @@ def broadcast_filter(spark, sf):
 @query("reload_filter", """
 select event_id from events where (event_type = 'error' and event_id % 3 = 0) or event_type = 'view'""")
 def reload_filter(spark, sf):
-    daemon = F.when(F.col("event_id") % 3 == 0, "EVENTD").when(F.col("event_id") % 3 == 1, "other")
+    daemon = F.when(F.col("event_id") % 3 == 0, "EVENTS").when(F.col("event_id") % 3 == 1, "other")
     events = V.table(spark, sf, "events").select(
         "event_id", F.concat(F.lit("uei.example.org/"), "event_type").alias("uei"),
         F.array(parm("daemonName", daemon)).cast(PARM_TYPE).alias("parms"))
-    wanted = is_reload("uei.example.org/error", "uei.example.org/view", "eventd")
+    wanted = is_reload("uei.example.org/error", "uei.example.org/view", "events")
     return events.filter(wanted).select("event_id")
 
 
@@ -192,6 +192,3 @@ select event_id, concat('user=', user_id, ', kind =', event_type, ',amount=', {A
 def pretty(spark, sf):
     return V.parm_events(spark, sf).select(
         "event_id", F.array_join(pretty_parms(F.slice("parms", 1, 3)), ",").alias("pretty"))
-
-
-__all__ = ["RULES", "BSD", "dest_events"]

@@ -9,7 +9,7 @@ from ...streaming.stream import Sinks, batch_by_source_stream, run_stream, split
 from ..flow import Config, parse_messages
 from .. import views as V
 from .lookups import DEFAULT_UEI, definitions
-from .registry import BODY, CODE, HOST, PROC, facility_sql, query, ref_time, severity_sql, with_views
+from .registry import facility_sql, query, ref_time, severity_sql, with_views
 from .rules import RULES
 from .text import MIXED, PATTERNS, _envelope
 
@@ -100,7 +100,7 @@ def kafka_log_replay(spark, sf):
 
 
 @query("stream_reload", """
-select 'uei.example.org/internal/reloadSuccessful' as uei, 'daemonName=eventd' as parms
+select 'uei.example.org/internal/reloadSuccessful' as uei, 'daemonName=events' as parms
 from events where event_type = 'signup' having count(*) > 0""")
 def stream_reload(spark, sf):
     """A control event inside the stream makes it read its definitions again, once per batch."""
@@ -118,10 +118,10 @@ def stream_reload(spark, sf):
             F.array().cast("array<struct<name:string,value:string>>").alias("parms"), F.lit(state).alias("state"))
 
     def emit(reason, batch_id, session):
-        result = reload_result(session, "uei.example.org/internal/reloadSuccessful", "eventd", reason)
+        result = reload_result(session, "uei.example.org/internal/reloadSuccessful", "events", reason)
         write_batch_folder(result.select("uei", "parms"), f"{root}/out", batch_id)
 
-    step = with_reload(batch, reader, is_reload("uei.example.org/reload", "uei.example.org/signup", "eventd"), emit)
+    step = with_reload(batch, reader, is_reload("uei.example.org/reload", "uei.example.org/signup", "events"), emit)
     schema = spark.read.parquet(f"{root}/in").schema
     run = spark.readStream.schema(schema).parquet(f"{root}/in").writeStream.foreachBatch(step).option(
         "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
@@ -145,6 +145,3 @@ def stream_source_batches(spark, sf):
     out = spark.read.parquet(f"{root}/out").select("source_ip", "source_port", F.explode("payloads").alias("event_id"))
     return out.distinct().groupBy("source_ip", "source_port").agg(
         F.count(F.lit(1)).alias("items"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
-
-
-__all__ = ["BODY", "CODE", "HOST", "PROC"]

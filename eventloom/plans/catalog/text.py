@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ...functions.columns import dashed
 from ...functions.priority import decode_priority, encode_priority
 from ...functions.times import format_bsd_time, is_datetime_token, parse_bsd_time, parse_event_time
-from ...operators.events import host_address, java_date_text, to_events
+from ...operators.events import host_address, to_events
 from ...operators.extract import extract_fields, to_messages
 from ...operators.formats import full_text, parse_lines, register_format
 from ...operators.rules import split_rejects
@@ -285,7 +285,7 @@ def canonical_text(spark, sf):
 
 
 @query("event_build", with_views("lines") + f"""
-select event_id, concat('uei.example.org/syslog/', facility, '/', severity) as uei, 'syslogd' as source,
+select event_id, concat('uei.example.org/syslog/', facility, '/', severity) as uei, 'syslog' as source,
   '00000000' as dist_poller, strftime(ts, {STAMP}) as event_time,
   case when event_id % 3 = 0 then '192.0.2.' || (event_id % 250) else source_address end as interface,
   'logndisplay' as dest, message as content,
@@ -354,6 +354,3 @@ def format_registry(spark, sf):
     lines = V.table(spark, sf, "events").select("event_id", V.line_body().alias("raw"))
     return parse_lines(lines, "raw", "pairs", ref_time()).filter("parsed").select(
         "event_id", "hostname", "process_name", "message")
-
-
-__all__ = ["java_date_text", "PATTERNS", "log_streams"]

@@ -128,7 +128,7 @@ def run_stream(
     reload_uei: str = "uei.example.org/internal/reload",
     changed_uei: str = "uei.example.org/internal/eventsChanged",
     success_uei: str = "uei.example.org/internal/reloadSuccessful",
-    daemon: str = "eventd",
+    daemon: str = "events",
     available_now: bool = False,
     interval: str = "1 second",
 ) -> StreamingQuery:

@@ -36,9 +36,9 @@ def test_reload_failure_keeps_state(spark):
 
 
 def test_reload_result(spark):
-    failed = reload_result(spark, "ok", "eventd", "x" * 500).first()
+    failed = reload_result(spark, "ok", "events", "x" * 500).first()
     assert [(p["name"], len(p["value"])) for p in failed.parms] == [("daemonName", 6), ("reason", 128)]
-    assert len(reload_result(spark, "ok", "eventd", None).first().parms) == 1
+    assert len(reload_result(spark, "ok", "events", None).first().parms) == 1
 
 
 def test_stream_equals_batch(spark, sf):
