@@ -140,6 +140,58 @@ def owners(starts: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(starts, at, side="right") - 1
 
 
+# --- groups in tiles -------------------------------------------------------------------
+
+
+def tiled(members: DataFrame, group: str, member: str, size: str, block: int) -> DataFrame:
+    """Deal the members of a group out to tiles so that every two of them meet in one.
+
+    A group is cut into blocks of about ``block`` members by a hash, and each pair of blocks
+    is a tile. ``size`` is the column with the group's number of members. Adds ``tile`` and
+    ``side``: 0 and 1 in a tile of two blocks, whose members meet only across, 2 in a tile of one.
+    """
+    blocks = F.ceil(F.col(size) / block).cast("int")
+    low, high = F.least("_mine", "_other"), F.greatest("_mine", "_other")
+    dealt = members.withColumns({"_blocks": blocks, "_mine": F.pmod(F.xxhash64(group, member), blocks).cast("int")})
+    each = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    side = F.when(F.col("_mine") == F.col("_other"), 2).when(F.col("_mine") < F.col("_other"), 0).otherwise(1)
+    return each.withColumns({"tile": low.cast("long") * F.col("_blocks") + high, "side": side.cast("int")}).drop("_blocks", "_mine", "_other")
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows with equal ``keys``, a table per run; the rows come in order of the keys."""
+    rest: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        bounds = [0, *cuts.tolist(), len(batch)]
+        for start, stop in zip(bounds, bounds[1:], strict=False):
+            key = tuple(c[start] for c in columns)
+            if rest and key != last:
+                yield pa.Table.from_batches(rest)
+                rest = []
+            rest.append(batch.slice(start, stop - start))
+            last = key
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest reachable number per number 0..n-1, for the links a-b."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, a, low)
+        np.minimum.at(root, b, low)
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
 # --- connected components --------------------------------------------------------------
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -59,19 +60,49 @@ _WORDS = re.compile(r"[a-z]+")
 class Block:
     """Text between two block edges, with the path of tags above it."""
 
-    path: tuple[str, ...]
+    path: int
     text: str
     noisy: bool
     in_content: bool
     link_chars: int = 0
-    parts: list[str] = field(default_factory=list)
+
+
+class Paths:
+    """Root-to-leaf tag paths as numbers; 0 is the root."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.parent, self.depth = [0], [0]
+
+    def child(self, path: int, label: str) -> int:
+        number = self.numbers.setdefault((path, label), len(self.parent))
+        if number == len(self.parent):
+            self.parent.append(path)
+            self.depth.append(self.depth[path] + 1)
+        return number
+
+    def shared(self, a: int, b: int) -> int:
+        """The longest path that both begin with."""
+        while a != b:
+            if self.depth[a] >= self.depth[b]:
+                a = self.parent[a]
+            else:
+                b = self.parent[b]
+        return a
+
+    def under(self, home: int) -> list[bool]:
+        """For each path whether it begins with ``home``; a parent's number is lower than its children's."""
+        out = [k == home for k in range(len(self.parent))]
+        for k in range(1, len(out)):
+            out[k] = out[k] or out[self.parent[k]]
+        return out
 
 
 class _Node:
-    __slots__ = ("label", "tag", "noisy", "content", "path")
+    __slots__ = ("tag", "noisy", "content", "path")
 
-    def __init__(self, tag: str, label: str, noisy: bool, content: bool, path: tuple[str, ...]):
-        self.tag, self.label, self.noisy, self.content, self.path = tag, label, noisy, content, path
+    def __init__(self, tag: str, noisy: bool, content: bool, path: int):
+        self.tag, self.noisy, self.content, self.path = tag, noisy, content, path
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -81,14 +112,14 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str) -> tuple[list[Block], Paths]:
     """Cut a page into text blocks in page order; unclosed and stray tags are tolerated.
 
     Inline tags do not end a block and take no part in its path, so a paragraph with links or
     bold words is one block.
     """
-    root = _Node("#root", "", False, False, ())
-    stack, out = [root], []
+    paths, stack, out = Paths(), [_Node("#root", False, False, 0)], []
+    open_tags: Counter[str] = Counter()
     parts: list[str] = []
     link = link_chars = at = 0
 
@@ -109,9 +140,12 @@ def blocks(page: str) -> list[Block]:
             link_chars += len(text.strip())
 
     def close(names: set[str], stops: set[str]) -> None:
+        if not any(open_tags[n] for n in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in names:
                 end_block()
+                open_tags.subtract(n.tag for n in stack[k:])
                 del stack[k:]
                 return
             if stack[k].tag in stops:
@@ -133,10 +167,10 @@ def blocks(page: str) -> list[Block]:
                 link = max(0, link - 1)
             elif tag in ("br", "hr"):
                 end_block()
-            elif tag == "p" and not any(n.tag == "p" for n in stack):
+            elif tag == "p" and not open_tags["p"]:
                 end_block()
             elif tag not in INLINE:
-                close({tag}, {"table"} if tag not in ("table", "body", "html") and any(n.tag == "table" for n in stack) and tag in ("p", "li") else set())
+                close({tag}, {"table"} if tag in ("p", "li") else set())
         elif m["start"] is not None:
             tag = m["start"].lower()
             if tag in RAW:
@@ -158,9 +192,9 @@ def blocks(page: str) -> list[Block]:
                     close({"h1", "h2", "h3", "h4", "h5", "h6"}, {"div", "article", "section", "main", "body"})
             if tag in SIBLINGS:
                 close(*SIBLINGS[tag])
-            if tag in ("html", "body") and any(n.tag == tag for n in stack):
+            if tag in ("html", "body") and open_tags[tag]:
                 continue
-            if tag in ("body", "article", "main", "div", "section") and any(n.tag == "head" for n in stack):
+            if tag in ("body", "article", "main", "div", "section") and open_tags["head"]:
                 close({"head"}, set())
             attrs = _attributes(m["attrs"]) if m["attrs"] else {}
             name = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
@@ -170,16 +204,17 @@ def blocks(page: str) -> list[Block]:
             noisy = (top.noisy or tag in NOISE_TAGS or attrs.get("role", "").lower() in NOISE_ROLES
                      or "hidden" in attrs or attrs.get("aria-hidden") == "true"
                      or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")))
-                     or (tag == "header" and not top.content)
+                     or ((tag == "header" or "header" in words) and not top.content)
                      or (bool(words & NOISE_WORDS) and tag not in ("html", "body", "article", "main")))
             label = f"{tag}.{'.'.join(sorted(name.split()))}" if name.strip() else tag
-            stack.append(_Node(tag, label, noisy, content, (*top.path, label)))
             if m["attrs"].rstrip().endswith("/") and tag in NOISE_TAGS:
-                stack.pop()
+                continue
+            stack.append(_Node(tag, noisy, content, paths.child(top.path, label)))
+            open_tags[tag] += 1
         elif kind == "cdata" and m["cdata"]:
             add(m["cdata"])
     end_block()
-    return out
+    return out, paths
 
 
 @dataclass(frozen=True)
@@ -196,14 +231,14 @@ class PathRatios:
     link_share: float = 0.6
 
 
-def path_scores(found: list[Block], rules: PathRatios) -> dict[tuple[str, ...], float]:
+def path_scores(found: list[Block], rules: PathRatios) -> dict[int, float]:
     """The fused score of each root-to-leaf path.
 
     A path's ratio is its text length per node times its punctuation share; the blocks'
     ratios are smoothed in page order, and a path's own mean of smoothed ratios is fused with
     its raw ratio by a geometric mean.
     """
-    chars: dict[tuple, list[int]] = {}
+    chars: dict[int, list[int]] = {}
     for b in found:
         sums = chars.setdefault(b.path, [0, 0, 0])
         sums[0] += 0 if b.noisy else max(0, len(b.text) - b.link_chars)
@@ -215,7 +250,7 @@ def path_scores(found: list[Block], rules: PathRatios) -> dict[tuple[str, ...],
     kernel = np.exp(-reach**2 / 2.0)
     padded = np.concatenate((np.zeros(rules.spread), line, np.zeros(rules.spread)))
     smooth = np.convolve(padded, kernel / kernel.sum(), mode="valid")
-    sums: dict[tuple, list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for b, s in zip(found, smooth, strict=True):
         pair = sums.setdefault(b.path, [0.0, 0])
         pair[0] += s
@@ -229,7 +264,7 @@ def main_blocks(page: str, rules: PathRatios = PathRatios()) -> list[str]:  # no
     Paths over the threshold are content. Their nearest common element is the article's own
     element; every block inside it that is not marked as noise stays, short headings included.
     """
-    found = blocks(page)
+    found, paths = blocks(page)
     if not found:
         return []
     scores = path_scores(found, rules)
@@ -241,14 +276,13 @@ def main_blocks(page: str, rules: PathRatios = PathRatios()) -> list[str]:  # no
     weights = {b.path: scores[b.path] for b in usable}
     limit = rules.threshold * max(weights.values())
     content = [p for p, s in weights.items() if s >= limit]
-    depth = 0
-    while all(len(p) > depth and p[depth] == content[0][depth] for p in content):
-        depth += 1
     best = max(content, key=lambda p: weights[p])
-    # The leaf paragraph's own element is too narrow when one path alone is content.
-    depth = min(depth, max(0, len(best) - 1))
-    home = best[:depth]
-    return [b.text for b in usable if b.path[:depth] == home]
+    # The leaf paragraph's own element is too narrow where one path alone is content.
+    home = paths.parent[best]
+    for path in content:
+        home = paths.shared(home, path)
+    inside = paths.under(home)
+    return [b.text for b in usable if inside[b.path]]
 
 
 def extract_text(pages: DataFrame, rules: PathRatios = PathRatios()) -> DataFrame:  # noqa: B008

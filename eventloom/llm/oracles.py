@@ -38,4 +38,19 @@ reach(doc_id, other) as (
     union select reach.doc_id, links.b from reach join links on reach.other = links.a)
 select d.doc_id, coalesce(any_value(s.n), 0) as n_shingles, min(r.other) as component_id, min(r.other) = d.doc_id as kept
 from documents d join reach r on r.doc_id = d.doc_id left join sizes s on s.doc_id = d.doc_id group by d.doc_id""",
+    "op2_embedding_near_dedup": """
+with recursive usable as (
+    select vec_id, embedding::double[] as v from embeddings
+    where embedding is not null and len(embedding) > 0
+      and list_aggregate(embedding, 'count') = len(embedding) and isfinite(list_sum(embedding::double[]))
+      and (list_max(embedding) <> 0 or list_min(embedding) <> 0)),
+links as (
+    select a.vec_id as a, b.vec_id as b from usable a join usable b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(vec_id, other) as (
+    select vec_id, vec_id from embeddings
+    union select reach.vec_id, links.b from reach join links on reach.other = links.a),
+counts as (select a, count(*) as n from links group by a)
+select e.vec_id, coalesce(any_value(c.n), 0) as n_links, min(r.other) as component_id, min(r.other) = e.vec_id as kept
+from embeddings e join reach r on r.vec_id = e.vec_id left join counts c on c.a = e.vec_id group by e.vec_id""",
 }

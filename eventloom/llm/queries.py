@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, line_dedup, minhash, mixing, quality, sentence_pieces
+from . import (
+    html_text, language_id, line_dedup, lm_scoring, minhash, mixing, quality, sentence_pieces, toxicity, vector_dedup,
+)
 from .common import on_workers
 from .oracles import ORACLES
 
@@ -60,3 +62,23 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.cross_entropy(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
