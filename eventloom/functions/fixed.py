@@ -25,6 +25,9 @@ DATE_SHAPE = r"\d{4}[-/]\d{2}[-/]\d{2}"
 TIME_SHAPE = r"\d{2}:\d{2}:\d{2}"
 
 MONTH_NAMES = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+LONG_MONTH_NAMES = [
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december",
+]
 
 # Line formats.
 RFC5424_LINE = (

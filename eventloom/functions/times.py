@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .fixed import DATE_SHAPE, DATETIME_SHAPE, MONTH_NAMES, PLAIN_DATE, TIME_SHAPE
+from .fixed import DATE_SHAPE, DATETIME_SHAPE, LONG_MONTH_NAMES, MONTH_NAMES, PLAIN_DATE, TIME_SHAPE
 
 _BSD = (
     r"^ *([A-Za-z]{3}) +([+-]?\d{1,9}) +"
@@ -20,9 +20,9 @@ def is_datetime_token(col: Column) -> Column:
 
 
 def month_number(name: Column) -> Column:
-    """1 to 12 for a three-letter name in any case, else null."""
-    names = F.array(*[F.lit(m) for m in MONTH_NAMES])
-    return F.nullif(F.array_position(names, F.lower(name)).cast("int"), F.lit(0))
+    """1 to 12 for a three-letter or full name in any case, else null."""
+    at = lambda names: F.nullif(F.array_position(F.array(*map(F.lit, names)), F.lower(name)).cast("int"), F.lit(0))
+    return F.coalesce(at(MONTH_NAMES), at(LONG_MONTH_NAMES))
 
 
 def _lenient(year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column) -> Column:
@@ -80,36 +80,41 @@ TIME_FIELDS = ["isotimestamp", "date", "timestamp", "year", "month", "day"]
 def event_time_of(fields: dict[str, Column], ref_time: Column) -> Column:
     """Event time from the extracted time fields, given as columns.
 
-    An ISO time wins; else ``date`` and ``timestamp``; else month, day, year and time, with
-    missing parts taken from ``ref_time``. What cannot be read gives ``ref_time``. The
-    time-zone field is ignored.
+    An ISO time wins; else ``date`` and ``timestamp``; else a ``timestamp`` with a date of its
+    own; else month, day, year and time, with missing parts taken from ``ref_time``. Values are
+    read whole: a text that is not all month name, number or clock time gives ``ref_time``.
+    Fractions of a second are kept to micros. The time-zone field is ignored.
     """
     part = lambda name: F.nullif(fields[name], F.lit("-"))
     iso, date, time = part("isotimestamp"), fields["date"], fields["timestamp"]
     month = F.when(part("month").isNull(), F.month(ref_time)).otherwise(F.coalesce(
-        part("month").try_cast("int"), month_number(F.substring(fields["month"], 1, 3))
+        part("month").try_cast("int"), month_number(fields["month"])
     ))
     day = F.when(part("day").isNull(), F.dayofmonth(ref_time)).otherwise(part("day").try_cast("int"))
     year = F.when(part("year").isNull(), F.year(ref_time)).otherwise(part("year").try_cast("int"))
-    clock = F.when(time.isNull(), F.lit("00:00:00")).otherwise(F.substring(time, 1, 8))
-    timed = F.when(
-        clock.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d$"),
-        F.substring(clock, 1, 2).cast("int") * 3600 + F.substring(clock, 4, 2).cast("int") * 60
-        + F.substring(clock, 7, 2).cast("int"),
-    )
-    at = lambda d: F.timestamp_seconds(F.unix_timestamp(d.cast("timestamp")) + timed)
+    day_micros = 86_400_000_000
+    plain = r"^\d{4}-\d{2}-\d{2}$"
+    time_text = F.translate(time, "/", "-")
+    dated = F.when(time_text.rlike(plain), time_text.try_cast("timestamp")).otherwise(parse_iso_time(time_text))
+    clock = r"^([01]\d|2[0-3]):([0-5]\d):([0-5]\d)(?:\.(\d+))?$"
+    piece = lambda i: F.regexp_extract(time, clock, i)
+    seconds = piece(1).cast("bigint") * 3600 + piece(2).cast("bigint") * 60 + piece(3).cast("bigint")
+    timed = F.when(time.isNull(), F.lit(0).cast("bigint")).when(
+        time.rlike(clock), seconds * 1_000_000 + F.rpad(F.substring(piece(4), 1, 6), 6, "0").cast("bigint")
+    ).otherwise(F.pmod(F.unix_micros(dated), F.lit(day_micros)))
+    at = lambda d: F.timestamp_micros(F.unix_micros(d.cast("timestamp")) + timed)
     # Parts that form no date give null through the cast, not an error.
     built = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"),
                         F.lpad(day.cast("string"), 2, "0")).try_cast("date")
     known = year.isNotNull() & month.isNotNull() & day.isNotNull()
     iso_text = F.translate(iso, "/", "-")
     date_text = F.translate(date, "/", "-")
-    plain = r"^\d{4}-\d{2}-\d{2}$"
     return F.coalesce(
         F.when(iso.isNotNull(), F.when(iso_text.rlike(plain), iso_text.try_cast("timestamp")).otherwise(
             parse_iso_time(iso_text)))
         .when(date.isNotNull(), F.when(date_text.rlike(plain), at(date_text.try_cast("date"))).otherwise(
             parse_iso_time(date_text)))
+        .when(dated.isNotNull(), dated)
         .when(known, at(built)),
         ref_time,
     )

@@ -79,17 +79,11 @@ def cap_per_connection(
 ) -> DataFrame:
     """The first ``n`` records of every connection; -1 keeps all.
 
-    Small caps use a plain rank, which Spark cuts to ``n`` rows per key before it
-    shuffles. Larger ones are numbered slice by slice.
+    Records are numbered slice by slice, so no connection is ranked in one task.
     """
     if n < 0:
         return df
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n <= limit:
-        first = Window.partitionBy(*connection).orderBy(F.col(ts).asc_nulls_first(), *order)
-        numbered = df.withColumn("rn", F.row_number().over(first))
-    else:
-        numbered = number_rows(df, list(connection), ts, list(order), slice_seconds)
+    numbered = number_rows(df, list(connection), ts, list(order), slice_seconds)
     return numbered.filter(F.col("rn") <= n).drop("rn")
 
 

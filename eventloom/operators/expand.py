@@ -104,50 +104,90 @@ def expand_templates(
     return out.withColumns({n: expand_text(t, ctx, decode) for n, t in held.items()}).drop("_tokens")
 
 
-def _expand_parms(df: DataFrame, decode: Column | None) -> Column:
-    """Parms marked for it are expanded in order; each sees those before it expanded."""
+def _expanded(text: Column, known: list[str], ctx: Context, spare: Context, decode: Column | None) -> Column:
+    """Expansion of a text column. Texts among the ``known`` templates take a form compiled on the
+    driver; any other is cut per row, in the context ``spare``."""
+    out: Column | None = None
+    for template in dict.fromkeys(known):
+        out = (out.when if out is not None else F.when)(text == template, expand_literal(template, ctx, decode))
+    cut = expand_text(text, spare, decode)
+    return cut if out is None else out.otherwise(cut)
 
-    def step(done: Column, at: Column) -> Column:
-        ctx = event_context(df, parms=done)
 
-        def one(p: Column, i: Column) -> Column:
-            due = (i == at) & F.coalesce(p["expand"], F.lit(False)) & p["value"].isNotNull()
-            return F.when(due, p.withField("value", expand_text(p["value"], ctx, decode))).otherwise(p)
+def _expand_parms(df: DataFrame, decode: Column | None, known: list[str]) -> Column:
+    """Parms marked for it are expanded in order; each sees those before it expanded.
 
-        return F.transform(done, one)
+    A list with one marked parm is done in one pass, since that parm sees only unmarked ones
+    and itself. Only lists with several are folded.
+    """
+    marked = lambda p: F.coalesce(p["expand"], F.lit(False))
+
+    def rewritten(parms: Column, due) -> Column:
+        ctx = event_context(df, parms=parms)
+        new = lambda p: p.withField("value", _expanded(p["value"], known, ctx, ctx, decode))
+        return F.transform(parms, lambda p, i: F.when(due(p, i) & p["value"].isNotNull(), new(p)).otherwise(p))
 
     parms = F.col("parms")
-    folded = F.aggregate(F.sequence(F.lit(0), F.size(parms) - 1), parms, step)
-    return F.when(F.exists(parms, lambda p: F.coalesce(p["expand"], F.lit(False))), folded).otherwise(parms)
+    folded = F.aggregate(F.sequence(F.lit(0), F.size(parms) - 1), parms,
+                         lambda done, at: rewritten(done, lambda p, i: (i == at) & marked(p)))
+    count = F.size(F.filter(parms, marked))
+    return F.when(count == 1, rewritten(parms, lambda p, _: marked(p))).when(count > 1, folded).otherwise(parms)
 
 
 # Fields that expansion itself changes, so that their tokens are read afresh each time.
 _LIVE = frozenset({"descr", "logmsg", "operinstruct", "tticketid"})
+#: Fields that ``expand_event`` may get known templates for.
+EXPANDED = ("parms", "descr", "logmsg", "operinstruct", "autoaction", "operaction", "tticket", "reduction_key", "clear_key")
 
 
-def expand_event(df: DataFrame) -> DataFrame:
+def expand_event(df: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """Expand every field that may hold templates, in order: a field sees those before it
-    expanded. Coded values are decoded in parms, description and log message only."""
-    have = set(df.columns)
+    expanded. Coded values are decoded in parms, description and log message only.
+
+    ``templates`` gives the templates that are known for a field of ``EXPANDED``, as those of the
+    definitions are. They are compiled on the driver; texts that come with the events are cut per row.
+    """
+    have, known = set(df.columns), templates or {}
     decode = F.col("def.decodes") if "def" in have else None
-    ctx = {**event_context(df), "tokens": F.col("_tokens"), "live": _LIVE}
-    text = lambda c, d=None: expand_text(c, ctx, d)
-    content = lambda a: a.withField("content", text(a["content"]))
-    out = df.withColumn("parms", _expand_parms(df, decode))
-    out = compute_once(out, {"_tokens": token_map(event_context(df), _LIVE)})
-    out = out.withColumn("descr", text(F.col("descr"), decode))
-    out = out.withColumn("logmsg", F.col("logmsg").withField("content", text(F.col("logmsg.content"), decode)))
+
+    def text(field: str, value: Column, d: Column | None = None) -> Column:
+        ctx = event_context(df)
+        return _expanded(value, known.get(field, []), ctx, {**ctx, "tokens": F.col("_tokens"), "live": _LIVE}, d)
+
+    def cut(field: str, value: Column) -> Column:
+        other = value.contains("%")
+        names = known.get(field, [])
+        return F.coalesce(other & ~value.isin(names) if names else other, F.lit(False))
+
+    cut_action = lambda field: lambda a: cut(field, a["content"])
+    content = lambda field: lambda a: a.withField("content", text(field, a["content"]))
+    out = df.withColumn("parms", _expand_parms(df, decode, known.get("parms", [])))
+    # The map of all fixed tokens is made only for rows that have a text to cut.
+    needed = cut("descr", F.col("descr")) | cut("logmsg", F.col("logmsg.content"))
+    if "operinstruct" in have:
+        needed = needed | cut("operinstruct", F.col("operinstruct"))
+    for name in ("autoaction", "operaction"):
+        if name in have:
+            needed = needed | F.coalesce(F.exists(name, cut_action(name)), F.lit(False))
+    if "tticket" in have:
+        needed = needed | cut("tticket", F.col("tticket.content"))
+    if "alarm_data" in have:
+        needed = needed | cut("reduction_key", F.col("alarm_data.reduction_key")) | cut("clear_key", F.col("alarm_data.clear_key"))
+    out = compute_once(out, {"_tokens": F.when(needed, token_map(event_context(df), _LIVE))})
+    out = compute_once(out, {"descr": text("descr", F.col("descr"), decode)})
+    logmsg = F.col("logmsg")
+    out = compute_once(out, {"logmsg": logmsg.withField("content", text("logmsg", logmsg["content"], decode))})
     if "operinstruct" in have:
-        out = out.withColumn("operinstruct", text(F.col("operinstruct")))
-    actions = {name: F.transform(name, content) for name in ("autoaction", "operaction") if name in have}
+        out = out.withColumn("operinstruct", text("operinstruct", F.col("operinstruct")))
+    actions = {name: F.transform(name, content(name)) for name in ("autoaction", "operaction") if name in have}
     if "tticket" in have:
-        actions["tticket"] = content(F.col("tticket"))
+        actions["tticket"] = content("tticket")(F.col("tticket"))
     if actions:
         out = out.withColumns(actions)
     if "alarm_data" in have:
         alarm = F.col("alarm_data")
-        out = out.withColumn("alarm_data", alarm.withField("reduction_key", text(alarm["reduction_key"]))
-                             .withField("clear_key", text(alarm["clear_key"])))
+        out = out.withColumn("alarm_data", alarm.withField("reduction_key", text("reduction_key", alarm["reduction_key"]))
+                             .withField("clear_key", text("clear_key", alarm["clear_key"])))
     return out.drop("_tokens")
 
 

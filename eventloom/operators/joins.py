@@ -33,6 +33,19 @@ def lookup_join(
     return df.join(right, condition, "left").drop(*drop)
 
 
+def one_per_key(dim: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, the least of its other columns taken together, nulls last.
+
+    A lookup then never multiplies rows. Minima combine before the shuffle.
+    """
+    others = [c for c in dim.columns if c not in keys]
+    if not others:
+        return dim.distinct()
+    order = [x for c in others for x in (F.col(c).isNull(), F.col(c))]
+    least = F.min_by(F.struct(*others), F.struct(*[x.alias(f"o{i}") for i, x in enumerate(order)]))
+    return dim.groupBy(*keys).agg(least.alias("_least")).select(*keys, "_least.*")
+
+
 def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add expensive columns so that each is evaluated once per row.
 

@@ -1,4 +1,8 @@
-"""Dimension lookups: nodes, interfaces, assets, hardware, services, definitions."""
+"""Dimension lookups: nodes, interfaces, assets, hardware, services, definitions.
+
+Every dimension is brought to one row per key first: where a key repeats, the least row counts
+(the smallest node or service number, the first text), so no lookup multiplies events.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import parm_value, sanitize_html
 from ..functions.tokens import template_tokens
-from .joins import compute_once, lookup_join
+from .joins import compute_once, lookup_join, one_per_key
 
 
 def lookup_node(
@@ -21,6 +25,7 @@ def lookup_node(
     if as_reference:
         return base.withColumn("nodeid", F.when(F.col(address).isNotNull(), F.lit(0)).cast("bigint"))
     dim = interfaces.filter(F.col("nodeid") > 0).select("location", "ip", F.col("nodeid").cast("bigint"))
+    dim = one_per_key(dim, ["location", "ip"])
     return lookup_join(base, dim, {"location": "location", address: "ip"}, **join)
 
 
@@ -32,6 +37,7 @@ def resolve_foreign_node(df: DataFrame, nodes: DataFrame, **join) -> DataFrame:
         "_fi": F.when(open_row, parm_value(F.col("parms"), "_foreignId")),
     })
     dim = nodes.select("foreign_source", "foreign_id", F.col("nodeid").alias("_found"))
+    dim = one_per_key(dim, ["foreign_source", "foreign_id"])
     out = lookup_join(keyed, dim, {"_fs": "foreign_source", "_fi": "foreign_id"}, **join)
     return out.withColumn("nodeid", F.coalesce("_found", "nodeid")).drop("_fs", "_fi", "_found")
 
@@ -42,6 +48,7 @@ def enrich_node(df: DataFrame, nodes: DataFrame, **join) -> DataFrame:
         F.col("nodeid"), F.col("label").alias("_label"), F.col("location").alias("_location"),
         F.col("foreign_source").alias("_fs"), F.col("foreign_id").alias("_fi"),
     )
+    dim = one_per_key(dim, ["nodeid"])
     clean = lambda c, missing: F.coalesce(sanitize_html(F.col(c)), F.lit(missing))
     return lookup_join(df, dim, {"nodeid": "nodeid"}, **join).withColumns({
         "nodelabel": clean("_label", "Unknown"), "nodelocation": clean("_location", "Unknown"),
@@ -51,14 +58,14 @@ def enrich_node(df: DataFrame, nodes: DataFrame, **join) -> DataFrame:
 
 def lookup_host(df: DataFrame, interfaces: DataFrame, host: str = "host", **join) -> DataFrame:
     """Add ``event_host``: the interface's host name, else the host itself."""
-    dim = interfaces.select("nodeid", "ip", F.col("hostname").alias("_name"))
+    dim = one_per_key(interfaces.select("nodeid", "ip", F.col("hostname").alias("_name")), ["nodeid", "ip"])
     out = lookup_join(df, dim, {"nodeid": "nodeid", host: "ip"}, **join)
     return out.withColumn("event_host", F.coalesce("_name", host)).drop("_name")
 
 
 def lookup_ifalias(df: DataFrame, interfaces: DataFrame, address: str = "interface", **join) -> DataFrame:
     """Add ``ifalias``: for a known node its alias, which may be null; else the interface."""
-    dim = interfaces.select("nodeid", "ip", F.col("if_alias").alias("_alias"))
+    dim = one_per_key(interfaces.select("nodeid", "ip", F.col("if_alias").alias("_alias")), ["nodeid", "ip"])
     known = F.coalesce(F.col("nodeid") > 0, F.lit(False)) & F.col(address).isNotNull()
     out = lookup_join(df, dim, {"nodeid": "nodeid", address: "ip"}, **join)
     return out.withColumn("ifalias", F.when(known, F.col("_alias")).otherwise(F.col(address))).drop("_alias")
@@ -73,7 +80,7 @@ def lookup_asset(df: DataFrame, assets: DataFrame, field: str, out: str = "asset
     column = _string_fields(assets, ()).get(field.lower())
     if column is None:
         return df.withColumn(out, F.lit("Unknown"))
-    dim = assets.select("nodeid", F.col(column).alias("_asset"))
+    dim = one_per_key(assets.select("nodeid", F.col(column).alias("_asset")), ["nodeid"])
     found = lookup_join(df, dim, {"nodeid": "nodeid"}, **join)
     return found.withColumn(out, F.coalesce("_asset", F.lit("Unknown"))).drop("_asset")
 
@@ -134,83 +141,82 @@ def resolve_refs(
     event's, else the local one. Blank and unknown names are passed over."""
     named = lambda c: F.when(F.trim(F.col(c)) != "", F.col(c))
     out = df.withColumns({"_first": named(header), "_second": named(event)})
-    by_name = services.select(F.col("name"), F.col("service_id"))
+    by_name = one_per_key(services.select("name", "service_id"), ["name"])
     out = lookup_join(out, by_name, {"service": "name"}, **join)
     for key, found in (("_first", "_found_1"), ("_second", "_found_2")):
-        known = systems.select(F.col("system_id"), F.col("system_id").alias(found))
+        known = systems.select(F.col("system_id"), F.col("system_id").alias(found)).distinct()
         out = lookup_join(out, known, {key: "system_id"}, **join)
     return out.withColumn("resolved_system", F.coalesce("_found_1", "_found_2", F.lit(local))).drop(
         "_first", "_second", "_found_1", "_found_2"
     )
 
 
-def _value_matches(value: Column, wanted: Column) -> Column:
-    """Equal; ``prefix%``; or ``~regex`` over the whole value."""
-    return (
-        F.when(F.endswith(wanted, F.lit("%")), F.startswith(value, F.substr(wanted, F.lit(1), F.length(wanted) - 1)))
-        .when(F.startswith(wanted, F.lit("~")), F.rlike(value, F.concat(F.lit(r"\A(?:"), F.substr(wanted, F.lit(2)), F.lit(r")\z"))))
-        .otherwise(value == wanted)
-    )
+# Definitions in one generated expression; more are tried block by block.
+_BLOCK = 100
 
 
-def match_masks(df: DataFrame, masks: DataFrame, elements: dict[str, Column]) -> DataFrame:
-    """Add ``def_no``: the earliest definition whose every mask element has a fitting value.
-
-    ``masks`` holds (def_no, element, val). Matching runs once per distinct combination of
-    element values, which are far fewer than events, so only combinations are multiplied
-    and grouped; the result is joined back to the events.
-    """
-    names = list(elements)
-    slots = [f"_m{i}" for i in range(len(names))]
-    tagged = df.withColumns({s: elements[n].cast("string") for s, n in zip(slots, names)})
-    combos = tagged.select(*slots).distinct()
-    pieces = F.array(*[
-        F.struct(F.lit(n).alias("element"), F.col(s).alias("value")) for n, s in zip(names, slots)
-    ])
-    exploded = combos.select(*slots, F.inline(F.filter(pieces, lambda p: p["value"].isNotNull())))
-    flexible = F.col("val").endswith("%") | F.col("val").startswith("~")
-    exact = exploded.join(
-        masks.filter(~flexible).select("def_no", "element", F.col("val").alias("value")), ["element", "value"]
-    ).select(*slots, "def_no", "element")
-    loose = exploded.join(masks.filter(flexible), "element").filter(
-        _value_matches(F.col("value"), F.col("val"))
-    ).select(*slots, "def_no", "element")
-    needed = masks.groupBy("def_no").agg(F.count_distinct("element").alias("_needed"))
-    best = (
-        exact.union(loose)
-        .groupBy(*slots, "def_no").agg(F.count_distinct("element").alias("_have"))
-        .join(needed, "def_no").filter(F.col("_have") == F.col("_needed"))
-        .groupBy(*slots).agg(F.min("def_no").alias("def_no"))
-    )
-    same = F.lit(True)
-    for s in slots:
-        same = same & F.col(s).eqNullSafe(F.col(f"{s}_b"))
-    best = best.withColumnsRenamed({s: f"{s}_b" for s in slots})
-    return tagged.join(best, same, "left").drop(*slots, *[f"{s}_b" for s in slots])
+def _mask_test(by_element: dict[str, list[str]], elements: dict[str, Column]) -> Column:
+    """Whether every element of a mask has a fitting value: equal; ``prefix%``; or ``~regex`` over all of it."""
+    fits = F.lit(True)
+    for element, values in by_element.items():
+        value = elements[element].cast("string") if element in elements else F.lit(None).cast("string")
+        plain = [v for v in values if not v.endswith("%") and not v.startswith("~")]
+        test = value.isin(plain) if plain else F.lit(False)
+        for v in dict.fromkeys(v for v in values if v not in plain):
+            if v.endswith("%"):
+                test = test | F.startswith(value, F.lit(v[:-1]))
+            else:
+                test = test | value.rlike(rf"\A(?:{v[1:]})\z")
+        fits = fits & test
+    return F.coalesce(fits, F.lit(False))
 
 
-def match_masks_literal(
-    df: DataFrame, masks: list[tuple[int, str, str]], elements: dict[str, Column]
+def match_masks(
+    df: DataFrame, masks: list[tuple[int, str, str]] | DataFrame, elements: dict[str, Column], index: str | None = None
 ) -> DataFrame:
-    """``match_masks`` for a short list of (def_no, element, value): no shuffle at all."""
+    """Add ``def_no``: the earliest definition whose every mask element has a fitting value.
+
+    ``masks`` holds (def_no, element, value); a table of them is configuration and is read on the
+    driver. They become literal tests, each regex compiled once per task, and nothing is
+    shuffled. ``index`` names an element that most definitions give exact values for (a name
+    or an id): the definitions of one value are then tried only for events that have it.
+    """
+    if isinstance(masks, DataFrame):
+        masks = [(r.def_no, r.element, r.val) for r in masks.select("def_no", "element", "val").collect()]
     by_def: dict[int, dict[str, list[str]]] = {}
     for def_no, element, value in masks:
         by_def.setdefault(def_no, {}).setdefault(element, []).append(value)
-    number: Column | None = None
+    keyed: dict[str, list[int]] = {}
+    others: list[int] = []
     for def_no in sorted(by_def):
-        fits = F.lit(True)
-        for element, values in by_def[def_no].items():
-            value = elements[element].cast("string") if element in elements else F.lit(None).cast("string")
-            plain = [v for v in values if not v.endswith("%") and not v.startswith("~")]
-            test = value.isin(plain) if plain else F.lit(False)
-            for v in set(values) - set(plain):
-                if v.endswith("%"):
-                    test = test | F.startswith(value, F.lit(v[:-1]))
-                else:
-                    test = test | value.rlike(rf"\A(?:{v[1:]})\z")
-            fits = fits & test
-        number = (number.when if number is not None else F.when)(fits, F.lit(def_no))
-    return compute_once(df, {"def_no": number if number is not None else F.lit(None).cast("int")})
+        values = by_def[def_no].get(index or "", [])
+        if values and index in elements and not any(v.endswith("%") or v.startswith("~") for v in values):
+            for v in dict.fromkeys(values):
+                keyed.setdefault(v, []).append(def_no)
+        else:
+            others.append(def_no)
+
+    def first_of(numbers: list[int]) -> Column:
+        found: Column | None = None
+        for n in numbers:
+            found = (found.when if found is not None else F.when)(_mask_test(by_def[n], elements), F.lit(n))
+        return found
+
+    blocks = [others[k:k + _BLOCK] for k in range(0, len(others), _BLOCK)]
+    tests = [first_of(b) for b in blocks]
+    values = list(keyed)
+    for k in range(0, len(values), _BLOCK):
+        chosen: Column | None = None
+        for v in values[k:k + _BLOCK]:
+            hit = elements[index].cast("string") == v
+            chosen = (chosen.when if chosen is not None else F.when)(hit, first_of(keyed[v]))
+        tests.append(chosen)
+    out = df
+    for k, test in enumerate(tests):
+        out = compute_once(out, {f"_found_{k}": test})
+    names = [f"_found_{k}" for k in range(len(tests))]
+    number = F.lit(None).cast("int") if not names else F.col(names[0]) if len(names) == 1 else F.least(*names)
+    return out.withColumn("def_no", number).drop(*names)
 
 
 def mask_rows(defs: DataFrame) -> DataFrame:

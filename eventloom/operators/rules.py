@@ -12,6 +12,9 @@ from ..functions.columns import PARM_TYPE, empty_parms, parm, trim_control
 from ..functions.fixed import FACILITY_NAMES, SEVERITY_NAMES, UNKNOWN_FACILITY, UNKNOWN_SEVERITY
 from .joins import compute_once
 
+# Rules in one generated expression; more are tried block by block.
+_BLOCK = 100
+
 # Line ends that a one-line message may hold only as its very last character.
 _ONE_LINE = r"\A.*$"
 
@@ -109,7 +112,7 @@ def _rule_parms(rule: Rule, message: Column, good: dict[str, int | None]) -> Col
 
 def match_rules(
     df: DataFrame,
-    rules: list[Rule],
+    rules: list[Rule] | DataFrame,
     discard_uei: str = "",
     message: str = "message",
     hostaddr: str = "host_address",
@@ -119,15 +122,17 @@ def match_rules(
 
     Rows caught by a rule with the discard name are dropped, and so are rows without a
     message that a rule would have looked at; ``keep_discarded`` keeps both, told apart
-    by ``discarded`` and ``reject_reason``. Cheap list tests come before regexes.
+    by ``discarded`` and ``reject_reason``. Cheap list tests come before regexes. A table of
+    rules (``rules_frame``) is read on the driver. Long lists are tried block by block.
     """
-    ordered = sorted(rules, key=lambda r: r.rule_no)
+    ordered = sorted(rules_from(rules) if isinstance(rules, DataFrame) else rules, key=lambda r: r.rule_no)
     regexes = [r.expression for r in ordered if r.match_type != "substr"]
     regexes += [e for r in ordered for e in (r.process_expr, r.hostname_expr, r.hostaddr_expr) if e]
     good = _group_counts(df, regexes)
     text = F.col(message)
-    number: Column | None = None
+    found: list[Column] = []
     looked_at = F.lit(False)
+    usable = 0
     for rule in ordered:
         test = _message_test(rule, text, good)
         if test is None:
@@ -140,11 +145,17 @@ def match_rules(
             _find_in(hostaddr, rule.hostaddr_expr, good),
         ])
         looked_at = looked_at | before
-        number = (number.when if number is not None else F.when)(before & test, F.lit(rule.rule_no))
-    out = compute_once(df, {
-        "rule_no": number if number is not None else F.lit(None).cast("int"),
-        "reject_reason": F.when(text.isNull() & looked_at, "null_message"),
-    })
+        if usable % _BLOCK == 0:
+            found.append(F.when(before & test, F.lit(rule.rule_no)))
+        else:
+            found[-1] = found[-1].when(before & test, F.lit(rule.rule_no))
+        usable += 1
+    out = df
+    for k, block in enumerate(found):
+        out = compute_once(out, {f"_block_{k}": block if k == 0 else F.coalesce(f"_block_{k - 1}", block)})
+    number = F.col(f"_block_{len(found) - 1}") if found else F.lit(None).cast("int")
+    out = compute_once(out, {"rule_no": number, "reject_reason": F.when(text.isNull() & looked_at, "null_message")})
+    out = out.drop(*[f"_block_{k}" for k in range(len(found))])
     by_no = {r.rule_no: r for r in ordered}
     discarding = [n for n, r in by_no.items() if r.uei == discard_uei]
     uei: Column | None = None
@@ -164,68 +175,38 @@ def match_rules(
 
 
 def rules_frame(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The rules as a table of the shape that ``match_rules_table`` takes."""
+    """The rules as a table of the shape that ``match_rules`` takes."""
+    pair = T.StructType([T.StructField("group", T.IntegerType()), T.StructField("name", T.StringType())])
     schema = T.StructType([
         T.StructField("rule_no", T.IntegerType()), T.StructField("match_type", T.StringType()),
         T.StructField("expression", T.StringType()), T.StructField("uei", T.StringType()),
         T.StructField("facilities", T.ArrayType(T.StringType())),
         T.StructField("severities", T.ArrayType(T.StringType())),
         T.StructField("process_expr", T.StringType()), T.StructField("hostname_expr", T.StringType()),
-        T.StructField("hostaddr_expr", T.StringType()),
+        T.StructField("hostaddr_expr", T.StringType()), T.StructField("default_mapping", T.BooleanType()),
+        T.StructField("assignments", T.ArrayType(pair)),
     ])
     rows = [
         (r.rule_no, r.match_type, r.expression, r.uei, list(r.facilities), list(r.severities),
-         r.process_expr, r.hostname_expr, r.hostaddr_expr)
+         r.process_expr, r.hostname_expr, r.hostaddr_expr, r.default_mapping, list(r.assignments))
         for r in rules
     ]
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def match_rules_table(
-    df: DataFrame, rules: DataFrame, discard_uei: str = "", message: str = "message", hostaddr: str = "host_address"
-) -> DataFrame:
-    """``match_rules`` for a rule table too large for one expression chain.
-
-    Rules are gathered per (facility, severity) pair, of which there are at most 250, so
-    the join is one to one: no row is multiplied and none needs to be grouped again. Spark
-    broadcasts the gathered table when it is small and otherwise shuffles, splitting hot
-    pairs. All expressions must be valid regexes.
-    """
-    names = lambda known, unknown: F.array(*[F.lit(n) for n in [*known, unknown]])
-    every = lambda col, known, unknown: F.when(
-        F.size(F.coalesce(F.col(col), F.array())) == 0, F.transform(names(known, unknown), F.lower)
-    ).otherwise(F.array_distinct(F.transform(F.col(col), F.lower)))
-    gathered = (
-        rules.withColumn("f_key", F.explode(every("facilities", FACILITY_NAMES, UNKNOWN_FACILITY)))
-        .withColumn("s_key", F.explode(every("severities", SEVERITY_NAMES, UNKNOWN_SEVERITY)))
-        .groupBy("f_key", "s_key")
-        .agg(F.array_sort(F.collect_list(F.struct(
-            "rule_no", "match_type", "expression", "uei", "process_expr", "hostname_expr", "hostaddr_expr"
-        ))).alias("candidates"))
-    )
-    found = lambda col, regex: regex.isNull() | F.coalesce(
-        F.rlike(F.col(col), F.concat(F.lit("(?m)"), regex)), F.lit(False)
-    )
-
-    def matches(rule: Column) -> Column:
-        by_message = F.when(rule["match_type"] == "substr", F.contains(F.col(message), rule["expression"])).when(
-            F.startswith(rule["match_type"], F.lit("regex")),
-            F.rlike(F.col(message), F.concat(F.lit("(?m)"), rule["expression"])),
-        ).otherwise(F.lit(False))
-        return (
-            found("process_name", rule["process_expr"]) & found("hostname", rule["hostname_expr"])
-            & found(hostaddr, rule["hostaddr_expr"]) & by_message
+def rules_from(rules: DataFrame) -> list[Rule]:
+    """A rule table as the list that ``match_rules`` takes. Rules are configuration, read on the driver."""
+    have = set(rules.columns)
+    pairs = lambda row: tuple((a["group"], a["name"]) for a in row.assignments or ())
+    return [
+        Rule(
+            r.rule_no, r.match_type, r.expression, r.uei, tuple(r.facilities or ()), tuple(r.severities or ()),
+            r.process_expr, r.hostname_expr, r.hostaddr_expr,
+            r.default_mapping is not False if "default_mapping" in have else True,
+            pairs(r) if "assignments" in have else (),
         )
-
-    keyed = df.withColumns({"f_key": F.lower("facility"), "s_key": F.lower("severity")})
-    first = F.try_element_at(F.filter(F.coalesce("candidates", F.array()), matches), F.lit(1))
-    return (
-        keyed.join(gathered, ["f_key", "s_key"], "left")
-        .withColumn("rule", first)
-        .withColumns({"rule_no": F.col("rule.rule_no"), "uei": F.col("rule.uei")})
-        .filter(F.coalesce(F.col("uei") != discard_uei, F.lit(True)))
-        .drop("f_key", "s_key", "candidates", "rule")
-    )
+        for r in rules.orderBy("rule_no").collect()
+    ]
 
 
 @dataclass(frozen=True)

@@ -9,8 +9,9 @@ from ...operators.expand import (
 )
 from ...operators.lookup import lookup_definition
 from ...plans.chain import run_chain
-from ...schema import as_events
+from ...schema import DEFINITION_FIELDS, as_events
 from .. import views as V
+from ..flow import Config, build_events, templates_by_field
 from .lookups import DEFAULT_UEI, definitions
 from .registry import AMOUNT, query, with_views
 
@@ -165,7 +166,9 @@ select event_id,
   case when def_no = 10 then concat('uei.example.org/error:', n, ':x') end as clear_key,
   case when def_no = 1 then concat('by ', u1) end as note from d""")
 def event_expand(spark, sf):
-    out = run_chain(defined_events(spark, sf), [fill_from_definition, add_default_parms, expand_event])
+    known = templates_by_field(definitions(spark))
+    out = run_chain(defined_events(spark, sf), [
+        fill_from_definition, add_default_parms, lambda df: expand_event(df, known)])
     return out.select(
         "event_id", "descr", F.col("logmsg.content").alias("content"), "operinstruct", F.col("tticket.content").alias("tticket"),
         F.try_element_at("autoaction", F.lit(1))["content"].alias("autoaction"),
@@ -213,3 +216,27 @@ select event_type, count(*) as n from events where event_id % 2 = 0 group by 1""
 def step_chain(spark, sf):
     return run_chain(V.table(spark, sf, "events"), [
         lambda d: d.filter(F.col("event_id") % 2 == 0), lambda d: d.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))])
+
+
+@query("flow_node_tokens", with_views("node_events", "interfaces", "nodes", "assets") + """
+select event_id, concat('on ', coalesce(n.label, 'Unknown'), ' in ', coalesce(n.location, 'Unknown'), ' of ',
+    coalesce(a.category, 'Unknown'), ', ', case when i.nodeid is not null then coalesce(i.if_alias, '') else e.interface end) as descr,
+  concat('did #', case when event_id % 2 = 0 then 'even' else 'odd' end) as content
+from node_events e left join interfaces i on e.location = i.location and e.interface = i.ip and i.nodeid > 0
+left join nodes n on i.nodeid = n.nodeid left join assets a on i.nodeid = a.nodeid""")
+def flow_node_tokens(spark, sf):
+    """The whole flow finds out by itself which dimensions and filters its definitions need."""
+    text = F.concat(F.lit("did "), F.when(F.col("event_id") % 2 == 0, "even").otherwise("odd"))
+    matched = V.node_events(spark, sf).select(
+        "event_id", "location", F.col("interface").alias("source_address"), F.lit("user").alias("facility"),
+        F.lit("Notice").alias("severity"), text.alias("message"), text.alias("raw"), F.lit("p").alias("process_name"),
+        F.lit(1).alias("process_id"), F.col("time").alias("event_time"))
+    row = dict(def_no=1, uei=DEFAULT_UEI, descr="on %nodelabel% in %nodelocation% of %asset[Category]%, %ifalias%",
+               logmsg=("logonly", "%parm[syslogmessage]%"), severity="Minor",
+               filters=[("syslogmessage", "uei.example.org/syslog/user/Notice", "(even|odd)$", "#$1")])
+    defs = spark.createDataFrame([tuple(row.get(n) for n in DEFINITION_FIELDS)], ", ".join(f"{n} {t}" for n, t in DEFINITION_FIELDS.items()))
+    filtered = defs.union(defs.withColumns({"def_no": F.lit(2), "uei": F.lit("uei.example.org/syslog/user/Notice")}))
+    config = Config(patterns=[], rules=[], definitions=filtered, default_uei=DEFAULT_UEI, interfaces=V.interfaces(spark, sf),
+                    nodes=V.nodes(spark, sf), assets=V.assets(spark, sf))
+    out = build_events(matched, config)
+    return out.select("event_id", "descr", F.filter("parms", lambda p: p["name"] == "syslogmessage")[0]["value"].alias("content"))

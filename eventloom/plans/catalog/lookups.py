@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ...functions.columns import PARM_TYPE, parm
 from ...operators.lookup import (
     add_dimension_tokens, enrich_node, lookup_asset, lookup_definition, lookup_hardware, lookup_host,
-    lookup_ifalias, lookup_node, match_masks, match_masks_literal, resolve_foreign_node, resolve_refs, unpivot_assets,
+    lookup_ifalias, lookup_node, match_masks, resolve_foreign_node, resolve_refs, unpivot_assets,
 )
 from ...schema import DEFINITION_FIELDS
 from .. import views as V
@@ -158,7 +158,7 @@ def mask_match(spark, sf):
 
 @query("mask_match_literal", f"select event_id, {MASK_SQL} as def_no from events")
 def mask_match_literal(spark, sf):
-    return match_masks_literal(V.table(spark, sf, "events"), MASKS, _mask_elements()).select("event_id", "def_no")
+    return match_masks(V.table(spark, sf, "events"), MASKS, _mask_elements(), "event_type").select("event_id", "def_no")
 
 
 DEFAULT_UEI = "uei.example.org/default/event"
@@ -213,3 +213,50 @@ def definition_lookup(spark, sf):
         "def_no", F.when((F.col("event_type") == "error") & (F.col("event_id") % 2 == 0), F.lit(1)))
     return lookup_definition(events, definitions(spark), DEFAULT_UEI).select(
         "event_id", "def_no", F.col("def.severity").alias("severity"))
+
+
+@query("lookup_repeated_keys", with_views("node_events", "nodes", "interfaces", "assets") + """
+select event_id, i.nodeid as found, coalesce(n.label, 'Unknown') as nodelabel,
+  coalesce(h.hostname, e.interface) as event_host,
+  case when coalesce(e.nodeid, 0) > 0 then h.if_alias else e.interface end as ifalias,
+  coalesce(a.category, 'Unknown') as category, s.service_id
+from (select *, concat('s', event_id % 7) as service from node_events) e
+left join interfaces i on e.location = i.location and e.interface = i.ip and i.nodeid > 0
+left join nodes n on e.nodeid = n.nodeid
+left join interfaces h on e.nodeid = h.nodeid and e.interface = h.ip
+left join assets a on e.nodeid = a.nodeid
+left join (select concat('s', n_nationkey % 5) as name, min(n_nationkey) as service_id from nation group by 1) s on e.service = s.name""")
+def lookup_repeated_keys(spark, sf):
+    """Dimensions whose keys repeat, with later values behind the true ones: no event is doubled."""
+    twice = lambda df, **worse: df.union(df.withColumns(worse).select(*df.columns))
+    after = lambda c: F.concat(F.col(c), F.lit("~"))
+    interfaces, nodes = V.interfaces(spark, sf), V.nodes(spark, sf)
+    assets = V.assets(spark, sf)
+    services = V.table(spark, sf, "nation").select(
+        F.concat(F.lit("s"), (F.col("n_nationkey") % 5).cast("string")).alias("name"), F.col("n_nationkey").alias("service_id"))
+    systems = spark.createDataFrame([("dp1",), ("dp1",)], "system_id string")
+    events = V.node_events(spark, sf).withColumns({
+        "event_nodeid": F.col("nodeid"), "service": F.concat(F.lit("s"), (F.col("event_id") % 7).cast("string")),
+        "header_dp": F.lit("dp1"), "dist_poller": F.lit(None).cast("string")})
+    out = lookup_node(events, twice(interfaces, nodeid=F.col("nodeid") * 2)).withColumn("found", F.col("nodeid"))
+    out = out.withColumn("nodeid", F.col("event_nodeid"))
+    out = enrich_node(out, twice(nodes, label=after("label")))
+    out = lookup_host(out, twice(interfaces, hostname=after("hostname")), "interface")
+    out = lookup_ifalias(out, twice(interfaces, if_alias=after("if_alias")))
+    out = lookup_asset(out, twice(assets, category=after("category")), "category", "category")
+    return resolve_refs(out, services, systems, "here").select(
+        "event_id", "found", "nodelabel", "event_host", "ifalias", "category", "service_id")
+
+
+MANY_SQL = """(case when user_id % 400 >= 2 and user_id % 400 < 302 and event_type in ('click', 'view') then user_id % 400 + 1
+  when starts_with(event_type, 'sig') and regexp_full_match(cast(event_id % 100 as varchar), '[0-4].?') then 1001 end)"""
+
+
+@query("mask_many", f"select event_id, {MANY_SQL} as def_no from events")
+def mask_many(spark, sf):
+    """Three hundred definitions by an index element, and one by prefix and varbind regex."""
+    masks = [row for k in range(2, 302) for row in ((k + 1, "id", f".1.{k}"), (k + 1, "event_type", "click"), (k + 1, "event_type", "view"))]
+    masks += [(1001, "event_type", "sig%"), (1001, "varbind#1", "~[0-4].?")]
+    elements = {"id": F.concat(F.lit(".1."), (F.col("user_id") % 400).cast("string")), "event_type": F.col("event_type"),
+                "varbind#1": F.col("event_id") % 100}
+    return match_masks(V.table(spark, sf, "events"), masks, elements, "id").select("event_id", "def_no")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ...functions.columns import PARM_TYPE, parm, pretty_parms
 from ...operators.events import broadcastable, is_reload, persistable
 from ...operators.formats import full_text
-from ...operators.rules import ParmFilter, Rule, mark_hidden, match_rules, match_rules_table, rewrite_parms, rules_frame
+from ...operators.rules import ParmFilter, Rule, mark_hidden, match_rules, rewrite_parms, rules_frame
 from ...session import shared_dir
 from ...sources.config import read_hide_rules, read_rules, rule_list
 from .. import views as V
@@ -52,8 +52,7 @@ def rule_match(spark, sf):
 select event_id, rule_no, {NAMES} as uei from matched where rule_no is null or rule_no <> 3""")
 def rule_match_table(spark, sf):
     lines = _lines(spark, sf)
-    valid = rules_frame(lines, [r for r in RULES if r.rule_no != 6])
-    return match_rules_table(lines, valid, "DISCARD").select("event_id", "rule_no", "uei")
+    return match_rules(lines, rules_frame(lines, RULES), "DISCARD").select("event_id", "rule_no", "uei")
 
 
 @query("rule_discard", with_views("lines", more=MATCHED) + """
@@ -192,3 +191,32 @@ select event_id, concat('user=', user_id, ', kind =', event_type, ',amount=', {A
 def pretty(spark, sf):
     return V.parm_events(spark, sf).select(
         "event_id", F.array_join(pretty_parms(F.slice("parms", 1, 3)), ",").alias("pretty"))
+
+
+EDGE_SQL = """edge as (select event_id, case event_id % 5 when 0 then null when 1 then 'nowhere' else facility end as facility,
+    case event_id % 7 when 0 then null when 1 then 'Odd' else severity end as severity, process_name, hostname,
+    case when event_id % 6 <> 0 then message end as message, event_type, user_id, value from lines),
+judged as (select *, case when contains(message, 'did view') then 1
+    when facility in ('local0', 'local1') and regexp_matches(message, 'amount ([0-9]+)') then 2
+    when severity = 'Error' and regexp_matches(message, 'did (error|click)') then 3
+    when process_name is not null and starts_with(process_name, 'sign') and regexp_matches(message, 'user ([0-9]+) did ([a-z]+)') then 4
+    when regexp_matches(hostname, 'host1[0-9]') and regexp_matches(message, 'user ([0-9]+) did ([a-z]+)') then 5
+    when event_id % 3 = 0 and contains(message, 'purchase') then 7 end as rule_no from edge)"""
+
+
+@query("rule_forms", with_views("lines", more=EDGE_SQL) + """
+select event_id, form, rule_no, message is null as null_message, rule_no is not null and rule_no = 3 as discarded,
+  case rule_no when 2 then 1 when 3 then 1 when 4 then 2 when 5 then 3 else 0 end as n_parms
+from judged, (values ('list'), ('table')) f(form)""")
+def rule_forms(spark, sf):
+    """A list and a table of rules give the same: null and unlisted levels, null messages, a bad regex, parms."""
+    k = F.col("event_id")
+    lines = _lines(spark, sf).withColumns({
+        "facility": F.when(k % 5 == 0, None).when(k % 5 == 1, "nowhere").otherwise(F.col("facility")),
+        "severity": F.when(k % 7 == 0, None).when(k % 7 == 1, "Odd").otherwise(F.col("severity")),
+        "message": F.when(k % 6 != 0, F.col("message"))})
+    forms = {"list": RULES, "table": rules_frame(lines, RULES)}
+    parts = [match_rules(lines, rules, "DISCARD", keep_discarded=True).select(
+        "event_id", F.lit(form).alias("form"), "rule_no", (F.col("reject_reason") == "null_message").eqNullSafe(True).alias("null_message"),
+        "discarded", F.size("rule_parms").alias("n_parms")) for form, rules in forms.items()]
+    return parts[0].union(parts[1])

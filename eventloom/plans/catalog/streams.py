@@ -3,13 +3,17 @@
 from pyspark.sql import functions as F
 
 from ...operators.events import is_reload
+from ...operators.expand import fill_from_definition
+from ...operators.lookup import lookup_definition
+from ...schema import as_events
 from ...session import shared_dir
+from ...sources.config import read_event_defs
 from ...sources.kafka import read_file_logs
 from ...streaming.stream import Sinks, batch_by_source_stream, run_stream, split_errors, with_reload, reload_result, write_batch_folder
 from ..flow import Config, parse_messages
 from .. import views as V
 from .lookups import DEFAULT_UEI, definitions
-from .registry import facility_sql, query, ref_time, severity_sql, with_views
+from .registry import STAMP, facility_sql, query, ref_time, severity_sql, stamp, with_views
 from .rules import RULES
 from .text import MIXED, PATTERNS, _envelope
 
@@ -100,48 +104,61 @@ def kafka_log_replay(spark, sf):
 
 
 @query("stream_reload", """
-select 'uei.example.org/internal/reloadSuccessful' as uei, 'daemonName=events' as parms
+select 'uei.example.org/internal/reloadSuccessful' as uei, 'daemonName=events' as parms, 'first' as descr_before, 'second' as descr_after
 from events where event_type = 'signup' having count(*) > 0""")
 def stream_reload(spark, sf):
-    """A control event inside the stream makes it read its definitions again, once per batch."""
+    """A control event makes the stream read its definition file again: the next batch shows the changed text."""
     root = shared_dir(spark, "reload")
-    V.table(spark, sf, "events").coalesce(1).write.parquet(f"{root}/in")
-    seen = []
+    events = V.table(spark, sf, "events").select("event_id", "event_type")
+    events.write.parquet(f"{root}/in/part=0")
+    versions = iter(["first", "second"])
 
     def reader():
-        seen.append(len(seen))
-        return len(seen)
-
-    def batch(df, batch_id, state):
-        return df.select(
-            F.concat(F.lit("uei.example.org/"), "event_type").alias("uei"),
-            F.array().cast("array<struct<name:string,value:string>>").alias("parms"), F.lit(state).alias("state"))
+        text = next(versions)
+        path = f"{root}/definitions-{text}"
+        xml = f"<events><event><uei>{DEFAULT_UEI}</uei><descr>{text}</descr><severity>Minor</severity></event></events>"
+        spark.createDataFrame([(xml,)], "value string").write.text(path)
+        return read_event_defs(spark, path)
+
+    def batch(df, batch_id, defs):
+        named = as_events(df.select("event_id", F.concat(F.lit("uei.example.org/"), "event_type").alias("uei")))
+        filled = fill_from_definition(lookup_definition(named, defs, DEFAULT_UEI))
+        write_batch_folder(filled.groupBy("descr").agg(F.count(F.lit(1)).alias("n")), f"{root}/seen", batch_id)
+        return filled
 
     def emit(reason, batch_id, session):
         result = reload_result(session, "uei.example.org/internal/reloadSuccessful", "events", reason)
         write_batch_folder(result.select("uei", "parms"), f"{root}/out", batch_id)
 
     step = with_reload(batch, reader, is_reload("uei.example.org/reload", "uei.example.org/signup", "events"), emit)
-    schema = spark.read.parquet(f"{root}/in").schema
-    run = spark.readStream.schema(schema).parquet(f"{root}/in").writeStream.foreachBatch(step).option(
-        "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-    run.awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
-    return out.select("uei", F.array_join(F.transform("parms", lambda p: F.concat(p["name"], F.lit("="), p["value"])), ",").alias("parms"))
-
-
-@query("stream_source_batches", with_views("packets") + """
-select source_ip, source_port, count(*) as items, min(event_id) as first_id, max(event_id) as last_id from packets group by 1, 2""")
+    for turn in range(2):
+        if turn:
+            events.filter("event_type <> 'signup'").write.parquet(f"{root}/in/part=1")
+        run = spark.readStream.schema(events.schema).parquet(f"{root}/in/*").writeStream.foreachBatch(step).option(
+            "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        run.awaitTermination()
+    seen = spark.read.parquet(f"{root}/seen").agg(
+        F.min_by("descr", "batch_id").alias("descr_before"), F.max_by("descr", "batch_id").alias("descr_after"))
+    shown = F.array_join(F.transform("parms", lambda p: F.concat(p["name"], F.lit("="), p["value"])), ",").alias("parms")
+    return spark.read.parquet(f"{root}/out").select("uei", shown).join(seen)
+
+
+@query("stream_source_batches", with_views("packets") + f"""
+select source_ip, source_port, strftime(slot, {STAMP}) as slot, batch_no, string_agg(cast(event_id as varchar), ',' order by ts, event_id) as payloads
+from (select *, (row_number() over (partition by source_ip, source_port, slot order by ts, event_id) - 1) // 2 as batch_no
+  from (select *, time_bucket(interval '1 hour', ts) as slot from packets)) group by 1, 2, 3, 4""")
 def stream_source_batches(spark, sf):
-    """Batches of the stream, summed up per source: none of the packets is lost."""
+    """Each batch comes out once, when its interval is over; a packet of a far later time ends them all."""
     root = shared_dir(spark, "batches")
-    V.packets(spark, sf).write.parquet(f"{root}/in")
-    packets = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).parquet(f"{root}/in")
-    batches = batch_by_source_stream(packets, "1 hour", "0 seconds", 2, "event_id")
-    run = batches.writeStream.outputMode("update").foreachBatch(
+    packets = V.packets(spark, sf)
+    last = packets.limit(1).withColumn("ts", F.lit("2100-01-01").cast("timestamp"))
+    packets.union(last).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(packets.schema).parquet(f"{root}/in")
+    batches = batch_by_source_stream(stream, "1 hour", "0 seconds", 2, "event_id", shards=1)
+    run = batches.writeStream.outputMode("append").foreachBatch(
         lambda df, batch_id: write_batch_folder(df, f"{root}/out", batch_id)
     ).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    out = spark.read.parquet(f"{root}/out").select("source_ip", "source_port", F.explode("payloads").alias("event_id"))
-    return out.distinct().groupBy("source_ip", "source_port").agg(
-        F.count(F.lit(1)).alias("items"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    return spark.read.parquet(f"{root}/out").select(
+        "source_ip", "source_port", stamp("slot").alias("slot"), F.col("batch_no").cast("bigint").alias("batch_no"),
+        F.array_join("payloads", ",").alias("payloads"))

@@ -354,3 +354,52 @@ def format_registry(spark, sf):
     lines = V.table(spark, sf, "events").select("event_id", V.line_body().alias("raw"))
     return parse_lines(lines, "raw", "pairs", ref_time()).filter("parsed").select(
         "event_id", "hostname", "process_name", "message")
+
+
+@query("event_time_fractions", f"""
+select event_id, case event_id % 6
+  when 0 then strftime(ts, '%Y-%m-%d %H:%M:%S') || '.250000' when 1 then strftime(ts, '%Y-%m-%d %H:%M:%S') || '.500000'
+  when 2 then strftime(ts, '%Y-%m-%d %H:%M:%S') || '.000000' when 3 then '{REF_TEXT}.000000'
+  when 4 then '{REF_TEXT}.000000' else strftime(ts, '%Y-%m-%d') || ' 00:00:00.000000' end as event_time from events""")
+def event_time_fractions(spark, sf):
+    """Fractions, times with a date of their own, full month names, and texts that only begin like a time or month."""
+    kind = F.col("event_id") % 6
+    entry = lambda name, when, value: F.struct(F.lit(name).alias("k"), F.when(when, value).alias("v"))
+    entries = F.array(
+        entry("date", kind == 0, stamp("ts", "yyyy-MM-dd")),
+        entry("timestamp", kind == 0, F.concat(stamp("ts", "HH:mm:ss"), F.lit(".25"))),
+        entry("timestamp", kind == 1, stamp("ts", "yyyy-MM-dd'T'HH:mm:ss'.5Z'")),
+        entry("year", kind == 2, stamp("ts", "yyyy")), entry("month", kind == 2, stamp("ts", "MMMM")),
+        entry("day", kind == 2, stamp("ts", "d")), entry("timestamp", kind == 2, stamp("ts", "HH:mm:ss")),
+        entry("month", kind == 3, F.lit("Marble")), entry("day", kind == 3, F.lit("3")),
+        entry("date", kind == 4, stamp("ts", "yyyy-MM-dd")),
+        entry("timestamp", kind == 4, F.concat(stamp("ts", "HH:mm:ss"), F.lit("junk"))),
+        entry("timestamp", kind == 5, stamp("ts", "yyyy/MM/dd")),
+    )
+    params = F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull()))
+    return V.table(spark, sf, "events").select(
+        "event_id", stamp(parse_event_time(params, ref_time()), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"))
+
+
+@query("envelope_many_messages", f"""
+select event_id, no as message_no, {ip_sql('user_id')} as source_address, concat(event_type, ' ', no) as raw
+from events, range(3) r(no) where no < event_id % 4
+union all select event_id, null, {ip_sql('user_id')}, null from events where event_id % 4 = 0""")
+def envelope_many_messages(spark, sf):
+    """None to three messages in an envelope; each is a row."""
+    body = lambda n: F.base64(F.encode(F.concat("event_type", F.lit(f" {n}")), "UTF-8"))
+    messages = F.concat(*[F.when(F.col("event_id") % 4 > n, F.concat(F.lit("<messages>"), body(n), F.lit("</messages>"))).otherwise("")
+                          for n in range(3)])
+    envelopes = V.table(spark, sf, "events").select("event_id", F.concat(
+        F.lit('<syslog-message-log source-address="'), V.ip_of(F.col("user_id")), F.lit('">'), messages, F.lit("</syslog-message-log>"),
+    ).alias("value"))
+    return read_envelopes(envelopes).select("event_id", F.col("message_no").cast("bigint").alias("message_no"), "source_address", "raw")
+
+
+@query("event_log_remainder", "select event_id, 'cut <log><events>' as doc from events where event_id % 3 = 0")
+def event_log_remainder(spark, sf):
+    """Text behind the last document is a reject, not lost."""
+    tail = F.when(F.col("event_id") % 3 == 0, F.lit(" cut <log><events>")).otherwise("\n ")
+    streams = V.table(spark, sf, "events").select("event_id", F.concat(
+        F.lit("<log><events><event><uei>x</uei></event></events></log>"), tail).alias("stream"))
+    return read_documents(streams, "stream", ["event_id"])[1].select("event_id", "doc")

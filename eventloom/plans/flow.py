@@ -12,14 +12,11 @@ from ..operators.expand import add_default_parms, expand_event, fill_from_defini
 from ..operators.extract import extract_fields, to_messages
 from ..operators.lookup import (
     add_dimension_tokens, enrich_node, lookup_definition, lookup_host, lookup_ifalias, lookup_node,
-    mask_elements, match_masks, match_masks_literal, resolve_foreign_node, resolve_refs,
+    mask_elements, match_masks, resolve_foreign_node, resolve_refs,
 )
 from ..operators.rules import ParmFilter, Rule, flag_rejects, match_rules, rewrite_parms
 from ..functions.tokens import template_tokens
 
-# Mask rows up to this number are written into the plan; a longer table is joined.
-LITERAL_MASKS = 600
-
 
 @dataclass
 class Config:
@@ -45,6 +42,8 @@ class Config:
     uei_prefix: str = "uei.example.org/syslog"
     strict_patterns: bool = False
     varbinds: int = 0
+    mask_index: str | None = "uei"
+    salts: int = 1
 
 
 def parse_messages(df: DataFrame, config: Config, ref_time: Column) -> DataFrame:
@@ -61,55 +60,71 @@ def parse_messages(df: DataFrame, config: Config, ref_time: Column) -> DataFrame
 
 
 def build_events(matched: DataFrame, config: Config) -> DataFrame:
-    """Matched messages to expanded events. Only the dimensions that the templates name are joined."""
+    """Matched messages to expanded events. Only the dimensions that the templates name are joined.
+
+    ``templates`` in the configuration take the place of those in the definitions. ``parm_filters``
+    come before the filters of the definitions. ``salts`` splits hot keys in every lookup.
+    """
     events = to_events(matched, config.uei_prefix)
     if config.interfaces is not None:
-        events = lookup_node(events, config.interfaces)
+        events = lookup_node(events, config.interfaces, salts=config.salts)
     if config.nodes is not None:
-        events = resolve_foreign_node(events, config.nodes)
-    if config.masks is None:
-        masked = events
-    elif isinstance(config.masks, list) and len(config.masks) <= LITERAL_MASKS:
-        masked = match_masks_literal(events, config.masks, mask_elements(config.varbinds))
-    else:
-        table = config.masks
-        if isinstance(table, list):
-            table = events.sparkSession.createDataFrame(table, "def_no int, element string, val string")
-        masked = match_masks(events, table, mask_elements(config.varbinds))
+        events = resolve_foreign_node(events, config.nodes, salts=config.salts)
+    masked = events
+    if config.masks is not None:
+        masked = match_masks(events, config.masks, mask_elements(config.varbinds), config.mask_index)
     if config.definitions is None:
         return masked
-    out = lookup_definition(masked, config.definitions, config.default_uei)
+    out = lookup_definition(masked, config.definitions, config.default_uei, salts=config.salts)
     out = add_default_parms(fill_from_definition(out, config.secure_tags))
-    if config.parm_filters:
-        out = rewrite_parms(out, config.parm_filters)
-    used = template_tokens(*config.templates)
+    filters = config.parm_filters + definition_filters(config.definitions)
+    if filters:
+        out = rewrite_parms(out, filters)
+    by_field = templates_by_field(config.definitions)
+    templates = config.templates or [t for texts in by_field.values() for t in texts]
+    used = template_tokens(*templates)
     if config.nodes is not None and used & {"nodelabel", "nodelocation", "foreignsource", "foreignid"}:
-        out = enrich_node(out, config.nodes)
+        out = enrich_node(out, config.nodes, salts=config.salts)
     if config.interfaces is not None and "ifalias" in used:
-        out = lookup_ifalias(out, config.interfaces)
+        out = lookup_ifalias(out, config.interfaces, salts=config.salts)
     if any(t.startswith(("asset[", "hardware[")) for t in used):
-        out = add_dimension_tokens(out, config.templates, config.assets, config.hardware)
-    return expand_event(out)
+        out = add_dimension_tokens(out, templates, config.assets, config.hardware, salts=config.salts)
+    return expand_event(out, by_field)
 
 
 def add_row_lookups(events: DataFrame, config: Config) -> DataFrame:
     """Join what only the flat event table needs."""
     if config.interfaces is not None:
-        events = lookup_host(events, config.interfaces)
+        events = lookup_host(events, config.interfaces, salts=config.salts)
     if config.services is not None and config.systems is not None:
         if "header_dp" not in events.columns:
             events = events.withColumn("header_dp", F.lit(None).cast("string"))
-        events = resolve_refs(events, config.services, config.systems, config.local_system)
+        events = resolve_refs(events, config.services, config.systems, config.local_system, salts=config.salts)
     return events
 
 
+def templates_by_field(definitions: DataFrame) -> dict[str, list[str]]:
+    """The templates of the definitions per field of ``EXPANDED``. They are configuration, read once."""
+    texts = {
+        "parms": F.coalesce(F.col("parameters.value"), F.array()), "descr": F.array("descr"), "logmsg": F.array("logmsg.content"),
+        "operinstruct": F.array("operinstruct"), "autoaction": F.coalesce(F.col("autoaction.content"), F.array()),
+        "operaction": F.coalesce(F.col("operaction.content"), F.array()), "tticket": F.array("tticket.content"),
+        "reduction_key": F.array("alarm_data.reduction_key"), "clear_key": F.array("alarm_data.clear_key"),
+    }
+    each = F.concat(*[F.transform(t, lambda x, n=n: F.struct(F.lit(n).alias("field"), x.alias("text"))) for n, t in texts.items()])
+    rows = definitions.select(F.inline(each)).filter(F.col("text").contains("%")).distinct().orderBy("field", "text").collect()
+    out: dict[str, list[str]] = {}
+    for r in rows:
+        out.setdefault(r.field, []).append(r.text)
+    return out
+
+
 def definition_templates(definitions: DataFrame) -> list[str]:
-    """All template texts of the definitions. They are configuration, read once."""
-    texts = definitions.select(F.explode(F.array_compact(F.concat(
-        F.array("descr", "logmsg.content", "operinstruct", "tticket.content",
-                "alarm_data.reduction_key", "alarm_data.clear_key"),
-        F.coalesce(F.col("autoaction.content"), F.array()),
-        F.coalesce(F.col("operaction.content"), F.array()),
-        F.coalesce(F.col("parameters.value"), F.array()),
-    ))).alias("text")).filter(F.col("text").contains("%")).distinct()
-    return [r.text for r in texts.collect()]
+    """All template texts of the definitions."""
+    return sorted({t for texts in templates_by_field(definitions).values() for t in texts})
+
+
+def definition_filters(definitions: DataFrame) -> list[ParmFilter]:
+    """The parm filters that the definitions carry, earlier definitions first."""
+    rows = definitions.select("def_no", "uei", F.posexplode("filters").alias("pos", "f")).orderBy("def_no", "pos")
+    return [ParmFilter(r.f["parm"], r.uei, r.f["pattern"], r.f["replacement"]) for r in rows.collect()]

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.rules import Rule
+from ..operators.rules import Rule, rules_from
 from ..schema import as_definitions
 
 _EXPR = "struct<_expression:string>"
@@ -45,15 +45,14 @@ _TAG_PREFIX = r"(</?)[A-Za-z0-9]+:"
 
 
 def _documents(spark: SparkSession, paths: list[str], schema: str, trim: bool = True) -> DataFrame:
-    files = spark.read.text(paths, wholetext=True)
-    if len(paths) == 1:
-        file_no = F.lit(0)
-    else:
-        order = F.create_map(*[x for i, p in enumerate(paths) for x in (F.lit(p.rsplit("/", 1)[-1]), F.lit(i))])
-        file_no = order[F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)]
     parsed = F.from_xml(F.regexp_replace("value", _TAG_PREFIX, "$1"), F.lit(schema), {
         "mode": "PERMISSIVE", "ignoreSurroundingSpaces": str(trim).lower()})
-    return files.select(file_no.alias("file_no"), parsed.alias("doc"))
+    # Each file is read by itself, so its number depends on no file name.
+    files = [spark.read.text(p, wholetext=True).select(F.lit(i).alias("file_no"), "value") for i, p in enumerate(paths)]
+    together = files[0]
+    for more in files[1:]:
+        together = together.union(more)
+    return together.select("file_no", parsed.alias("doc"))
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -78,14 +77,7 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def rule_list(rules: DataFrame) -> list[Rule]:
     """The rules on the driver, to be written into the plan. Rules are configuration."""
-    return [
-        Rule(
-            r.rule_no, r.match_type, r.expression, r.uei, tuple(r.facilities), tuple(r.severities),
-            r.process_expr, r.hostname_expr, r.hostaddr_expr, r.default_mapping,
-            tuple((a["group"], a["name"]) for a in r.assignments),
-        )
-        for r in rules.orderBy("rule_no").collect()
-    ]
+    return rules_from(rules)
 
 
 def read_hide_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -111,6 +103,8 @@ def read_event_defs(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Event definitions; ``def_no`` follows the file list, then the position in a file."""
     files = [paths] if isinstance(paths, str) else list(paths)
     rows = _documents(spark, files, _DEFS).select("file_no", F.posexplode("doc.event").alias("pos", "e"))
+    # The files are configuration: a rank over all of their definitions is small.
+    rows = rows.withColumn("def_no", F.row_number().over(Window.orderBy("file_no", "pos")))
     action = lambda c, *names: F.transform(f"e.{c}", lambda a: F.struct(
         F.trim(a["_VALUE"]).alias("content"), *[a[f"_{n}"].alias(n) for n in names]
     ))
@@ -124,7 +118,7 @@ def read_event_defs(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         ))
     )))
     return as_definitions(rows.select(
-        (F.col("file_no") * 100000 + F.col("pos") + 1).alias("def_no"),
+        "def_no",
         F.col("e.uei"), F.col("e.event-label").alias("label"),
         F.transform("e.mask.maskelement", lambda m: F.struct(m["mename"].alias("name"), m["mevalue"].alias("values"))).alias("mask"),
         F.transform("e.mask.varbind", lambda v: F.struct(v["vbnumber"].alias("number"), v["vbvalue"].alias("values"))).alias("varbinds"),

@@ -9,8 +9,10 @@ from ..functions.columns import PARM_TYPE, empty_parms
 from ..functions.times import parse_iso_time
 from ..operators.joins import compute_once
 
-# A record runs from the first "<" after the one before to the next closing tag.
-_RECORD = r"(?s)<.*?</(?:[a-zA-Z0-9]+:)?log>"
+# A record runs from the first "<" after the one before to the next closing tag; what is left
+# behind the last closing tag, if it is more than blanks, is a record too, and a broken one.
+_RECORD = r"(?s)<.*?</(?:[a-zA-Z0-9]+:)?log>|\S(?!.*?</(?:[a-zA-Z0-9]+:)?log>).*\z"
+_CLOSED = r"</(?:[a-zA-Z0-9]+:)?log>\z"
 _TAG_PREFIX = r"(</?)[A-Za-z0-9]+:"
 _EVENT = (
     "struct<_uuid:string,dbid:bigint,uei:string,source:string,nodeid:bigint,time:string,host:string,"
@@ -50,7 +52,8 @@ def _parms(col: Column) -> Column:
 def read_documents(df: DataFrame, text: str, log_id: list[str]) -> tuple[DataFrame, DataFrame]:
     """(events, rejected documents) of text that holds log documents."""
     docs = split_documents(df, text, log_id)
-    bad = F.col("log").isNull() | F.col("log._corrupt_record").isNotNull()
+    # Both parts come from one flagged frame; the caller may persist what it reads twice.
+    bad = F.col("log").isNull() | F.col("log._corrupt_record").isNotNull() | ~F.col("doc").rlike(_CLOSED)
     rejects = docs.filter(bad).select(*log_id, "doc_no", "doc")
     events = docs.filter(~bad).select(
         *log_id, "doc_no", F.col("log.header.dpName").alias("header_dp"),

@@ -44,13 +44,18 @@ def write_batch_folder(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
+# Characters of a failure's text that a reload event carries: its parm is meant for display.
+REASON_CHARS = 128
+
+
 def reload_result(
-    spark: SparkSession, success_uei: str, daemon: str, reason: str | None
+    spark: SparkSession, success_uei: str, daemon: str, reason: str | None, reason_chars: int = REASON_CHARS
 ) -> DataFrame:
-    """The event that tells how a reload went. A failure has the same name and a reason."""
+    """The event that tells how a reload went. A failure has the same name and a reason of
+    ``reason_chars`` characters at most."""
     parms = F.array(parm("daemonName", F.lit(daemon)))
     if reason is not None:
-        parms = F.concat(parms, F.array(parm("reason", F.lit(reason[:128]))))
+        parms = F.concat(parms, F.array(parm("reason", F.lit(reason[:reason_chars]))))
     return as_events(spark.range(1).select(
         F.lit(success_uei).alias("uei"), F.lit(f"{daemon}:reload").alias("source"),
         F.coalesce(parms, empty_parms()).alias("parms"),
@@ -159,6 +164,9 @@ def batch_by_source_stream(
 ) -> DataFrame:
     """Batches of a source per ``interval``, cut at ``size`` items.
 
+    Write it in append mode: a batch then comes out once, when the watermark has passed its
+    interval. Later rows are dropped by Spark and counted in the query's progress
+    (``numRowsDroppedByWatermark``), so ``watermark`` should cover the lateness there is.
     State holds what is inside the watermark. A busy source is spread over ``shards``
     groups, each of which batches on its own; ``shards=1`` keeps a source together.
     """

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,7 @@ def spark():
     session = get_spark(
         "eventloom-tests", "local[8]", **{
             "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="eventloom-tests-"),
         })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -12,7 +12,7 @@ from eventloom.operators.events import persistable
 from eventloom.operators.expand import expand_event, fill_from_definition
 from eventloom.operators.formats import parse_lines
 from eventloom.operators.joins import compute_once, lookup_join
-from eventloom.operators.lookup import match_masks, match_masks_literal
+from eventloom.operators.lookup import match_masks
 from eventloom.operators.route import effective_subscriptions, name_keys, route
 from eventloom.operators.rules import Rule, mark_hidden, match_rules
 from eventloom.plans.catalog.expansion import defined_events
@@ -73,9 +73,14 @@ def test_event_time_falls_back(spark):
     ref = F.lit("2024-06-15 12:30:00").cast("timestamp")
     time = lambda **p: str(one(spark, parse_event_time(F.create_map(*[F.lit(x) for kv in p.items() for x in kv]), ref)))
     assert time(month="Feb", day="31", timestamp="10:00:00") == "2024-06-15 12:30:00"
-    assert time(month="Feb", day="3", timestamp="10:00:00.123") == "2024-02-03 10:00:00"
+    assert time(month="Feb", day="3", timestamp="10:00:00.123") == "2024-02-03 10:00:00.123000"
     assert time(timestamp="10:00:01") == "2024-06-15 10:00:01"
     assert time(date="2024/02/03", timestamp="25:00:00") == "2024-06-15 12:30:00"
+    assert time(date="2024/02/03", timestamp="10:00:00.75junk") == "2024-06-15 12:30:00"
+    assert time(month="Marble", day="3", timestamp="10:00:00") == "2024-06-15 12:30:00"
+    assert time(month="MARCH", day="3", timestamp="10:00:00") == "2024-03-03 10:00:00"
+    assert time(timestamp="2024-02-03T10:00:00.25Z") == "2024-02-03 10:00:00.250000"
+    assert time(date="2023-01-02", timestamp="2024/02/03T10:00:00Z") == "2023-01-02 10:00:00"
 
 
 def test_custom_format_edges(spark):
@@ -165,7 +170,7 @@ def test_masks_agree(spark):
     elements = {"p": F.col("p"), "q": F.col("q"), "r": F.col("r")}
     table = spark.createDataFrame(masks, "def_no int, element string, val string")
     a = {r.id: r.def_no for r in match_masks(df, table, elements).collect()}
-    b = {r.id: r.def_no for r in match_masks_literal(df, masks, elements).collect()}
+    b = {r.id: r.def_no for r in match_masks(df, masks, elements, "q").collect()}
     assert a == b and set(a.values()) == {None, 1, 2, 3, 4}
 
 

@@ -47,7 +47,7 @@ DEFS = """<events xmlns="urn:x"><event><mask><maskelement><mename>id</mename><me
 def test_event_definitions(spark):
     first, second = put("b.xml", DEFS), put("a.xml", DEFS.replace("u/", "v/"))
     rows = read_event_defs(spark, [first, second]).orderBy("def_no").collect()
-    assert [(r.def_no, r.uei) for r in rows] == [(1, "u/1"), (2, "u/2"), (100001, "v/1"), (100002, "v/2")]
+    assert [(r.def_no, r.uei) for r in rows] == [(1, "u/1"), (2, "u/2"), (3, "v/1"), (4, "v/2")]
     r = rows[0]
     assert r.logmsg.dest == "logonly" and r.alarm_data.reduction_key == "%uei%:%nodeid%"
     assert r.alarm_data.update_fields[0].field == "severity" and r.decodes == {"parm[#1]": {"1": "up", "2": "down"}}
