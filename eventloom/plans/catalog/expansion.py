@@ -233,7 +233,7 @@ def flow_node_tokens(spark, sf):
         F.lit(1).alias("process_id"), F.col("time").alias("event_time"))
     row = dict(def_no=1, uei=DEFAULT_UEI, descr="on %nodelabel% in %nodelocation% of %asset[Category]%, %ifalias%",
                logmsg=("logonly", "%parm[syslogmessage]%"), severity="Minor",
-               filters=[("syslogmessage", "uei.example.org/syslog/user/Notice", "(even|odd)$", "#$1")])
+               filters=[("syslogmessage", "(even|odd)$", "#$1")])
     defs = spark.createDataFrame([tuple(row.get(n) for n in DEFINITION_FIELDS)], ", ".join(f"{n} {t}" for n, t in DEFINITION_FIELDS.items()))
     filtered = defs.union(defs.withColumns({"def_no": F.lit(2), "uei": F.lit("uei.example.org/syslog/user/Notice")}))
     config = Config(patterns=[], rules=[], definitions=filtered, default_uei=DEFAULT_UEI, interfaces=V.interfaces(spark, sf),
