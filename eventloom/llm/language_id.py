@@ -51,7 +51,7 @@ def codewords(n: int, seed: int) -> np.ndarray:
     """A codeword per language: all splits in two up to five languages, else the best of many random codes."""
     if n <= 5:
         splits = [[1 if k == 0 or (bits >> (k - 1)) & 1 else -1 for k in range(n)] for bits in range((1 << max(0, n - 1)) - 1)]
-        return np.array(splits, dtype=np.int8).T.reshape(n, -1)
+        return np.array(splits, dtype=np.int8).T.reshape(n, len(splits))
     width, best, gap = int(np.ceil(10 * np.log2(n))), None, -1
     draw = np.random.default_rng(seed)
     for _ in range(200):
