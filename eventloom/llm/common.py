@@ -45,6 +45,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores in front as it takes to clash with no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """Partitions so that each gets about ``per_part`` rows, and no fewer than the session's own number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))

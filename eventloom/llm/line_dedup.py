@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, written
+from .common import fresh, mix, written
 
 _STRIP = " \t\n\x0b\x0c\r"
 #: Frequent keys that one filter shard is planned for, and the least number of shards.
@@ -276,19 +276,20 @@ def dropped_keys(index: LineIndex) -> DataFrame:
 
 
 def with_kept_text(docs: DataFrame, index: LineIndex) -> DataFrame:
-    """``docs`` with ``text`` cut to the kept lines, and ``n_lines``, ``n_dropped`` behind it as ``_lines``.
+    """``docs`` with ``text`` cut to the kept lines, and a last column, ``struct<n_lines, n_dropped>``.
 
     Documents whose lines all go have an empty text.
     """
-    drops = dropped_keys(index).groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_set(F.struct("k1", "k2")).alias("_keys"))
-    joined = docs.join(drops, docs.doc_id.eqNullSafe(F.col("_doc")), "left").select(*docs.columns, "_keys")
+    doc_name, keys_name, last = fresh(docs, "_doc", "_keys", "_lines")
+    drops = dropped_keys(index).groupBy(F.col("doc_id").alias(doc_name)).agg(
+        F.collect_set(F.struct("k1", "k2")).alias(keys_name))
+    joined = docs.join(drops, docs.doc_id.eqNullSafe(F.col(doc_name)), "left").select(*docs.columns, keys_name)
     names, min_chars = docs.columns, index.rules.min_chars
     where = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts, drops_of = [], [], batch.column("_keys").to_pylist()
+            texts, counts, drops_of = [], [], batch.column(keys_name).to_pylist()
             for text, keys in zip(batch.column(where).to_pylist(), drops_of, strict=True):
                 n_lines = (text or "").count("\n") + 1
                 n_dropped = 0
@@ -301,10 +302,10 @@ def with_kept_text(docs: DataFrame, index: LineIndex) -> DataFrame:
             columns = list(batch.columns[:-1])
             columns[where] = pa.array(texts, pa.string())
             columns.append(pa.array(counts, pa.struct([("n_lines", pa.int64()), ("n_dropped", pa.int64())])))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "_lines"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, last])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(run, f"{kinds}, _lines struct<n_lines: bigint, n_dropped: bigint>")
+    return joined.mapInArrow(run, f"{kinds}, {last} struct<n_lines: bigint, n_dropped: bigint>")
 
 
 def dedup_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:  # noqa: B008
@@ -321,7 +322,7 @@ def dedup_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
 
 def dedup_filter(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:  # noqa: B008
     """The documents with repeated lines taken out of ``text``; ``n_chars``, where there is one, follows."""
-    out = with_kept_text(docs, build_index(docs, rules)).drop("_lines")
+    out = with_kept_text(docs, build_index(docs, rules)).select(*docs.columns)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out
