@@ -75,10 +75,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 keys.append(word)
                 counts.append(n)
                 waiting += len(word)
-                if waiting > 1_500_000:
+                if waiting > 800_000:
                     word, n = _merged(keys, counts)
                     keys, counts, waiting = [word], [n], len(word)
-                    if len(word) > 1_000_000:
+                    if len(word) > 500_000:
                         yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], names=["word", "n"])
                         keys, counts, waiting = [], [], 0
         if keys:
