@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from ..operators.joins import compute_once
+from .common import fresh, parts_for, written
 
 #: What counts as a token: a run of anything but space and 0x09-0x0D.
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -74,7 +75,8 @@ def source_targets(sizes: DataFrame, rules: MixRules) -> DataFrame:
     # Behind the first source that isn't full no other is.
     open_level = F.min_by("share", F.when(~full, F.struct("level", "source_no"))).over(whole)
     target = F.when(full, F.col("most").cast("double")).otherwise(open_level * F.col("weight"))
-    slots = F.least(F.round(F.col("target") / rules.block).cast("long"), rules.cap * F.col("blocks"))
+    # A block holds source_size / blocks words on average, the last one being shorter.
+    slots = F.least(F.round(F.col("target") * F.col("blocks") / F.greatest("source_size", F.lit(1))).cast("long"), rules.cap * F.col("blocks"))
     return (left.withColumn("target", target)
             .withColumn("blocks", F.ceil(F.col("source_size") / rules.block).cast("long")).withColumn("slots", slots)
             .withColumn("first_slot", F.sum("slots").over(by_name) - F.col("slots"))
@@ -114,10 +116,14 @@ def drawn_slots(sources: DataFrame, rules: MixRules) -> DataFrame:
     all shards together meet the targets. A source's n-th slot takes the block that its own
     permutation puts n-th; after all blocks it starts over.
     """
-    step = 65536
+    # Each task makes the slots of some pieces; the planner takes their number for that of the sources, so
+    # it is told how many tasks to use here, and not to broadcast what comes out.
+    step = 32768
+    n_pieces = sources.agg(F.coalesce(F.sum(F.ceil(F.col("slots") / step)), F.lit(0))).first()[0]
+    tasks = parts_for(sources.sparkSession, int(n_pieces), 8)
     piece = (sources.filter("slots > 0").select("source_no", "blocks", "slots", "first_slot", "all_slots",
              F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / step))).alias("piece"))
-             .repartition("source_no", "piece"))
+             .repartition(tasks, "source_no", "piece"))
     nth = piece.select("source_no", "blocks", "first_slot", "all_slots", F.explode(F.sequence(
         F.col("piece") * step, F.least((F.col("piece") + 1) * step, F.col("slots")) - 1)).alias("nth"))
     slot = permuted(F.col("first_slot") + F.col("nth"), F.col("all_slots"), F.lit(rules.seed), rules.rounds)
@@ -166,19 +172,19 @@ def shard_counts(mix: Mix) -> DataFrame:
 
 def mixed_pieces(mix: Mix) -> DataFrame:
     """``shard, slot, doc_id, from_word, to_word``: the mixed stream, in pieces of documents."""
-    return mix.slots.join(mix.pieces, ["source_no", "block"]).select("shard", "slot", "doc_id", "from_word", "to_word")
+    return mix.slots.hint("merge").join(mix.pieces.hint("merge"), ["source_no", "block"]).select("shard", "slot", "doc_id", "from_word", "to_word")
 
 
 def taken_words(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:  # noqa: B008
     """``doc_id, size, source_size, target, taken``, a row per row of ``docs``; see ``plan_mix``."""
     mix = plan_mix(docs, rules)
     uses = mix.slots.groupBy("source_no", "block").agg(F.count("*").alias("uses"))
-    taken = (mix.pieces.join(uses, ["source_no", "block"]).groupBy("source_no", "begin")
+    taken = (mix.pieces.join(uses.hint("merge"), ["source_no", "block"]).groupBy("source_no", "begin")
              .agg(F.sum((F.col("to_word") - F.col("from_word")) * F.col("uses")).alias("words")))
     # A document without words shares its place with the next one, and takes none.
     rows = mix.placed.withColumn("place", F.when(F.col("size") > 0, F.col("begin")))
     taken = taken.select(F.col("source_no").alias("no"), F.col("begin").alias("place_of"), "words")
-    out = rows.join(taken, (rows.source_no == taken.no) & (rows.place == taken.place_of), "left")
+    out = rows.join(taken.hint("merge"), (rows.source_no == taken.no) & (rows.place == taken.place_of), "left")
     totals = mix.sources.select("source_no", "source_size", "target")
     return out.join(totals, "source_no").select(
         "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
@@ -193,17 +199,18 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """
     names = docs.columns
     mix = plan_mix(docs, rules)
-    runs = (mix.slots.select("source_no", "block", "pass").join(mix.pieces, ["source_no", "block"])
-            .groupBy(F.col("doc_id").alias("_doc"), F.col("pass").alias("_pass"), F.col("begin").alias("_begin"), F.col("size").alias("_size"))
-            .agg(F.sum(F.col("to_word") - F.col("from_word")).alias("_n"),
+    doc, nth, begin, size, n, pieces = fresh(docs, "_doc", "_pass", "_begin", "_size", "_n", "_runs")
+    runs = (mix.slots.select("source_no", "block", "pass").hint("merge").join(mix.pieces, ["source_no", "block"])
+            .groupBy(F.col("doc_id").alias(doc), F.col("pass").alias(nth), F.col("begin").alias(begin), F.col("size").alias(size))
+            .agg(F.sum(F.col("to_word") - F.col("from_word")).alias(n),
                  F.sort_array(F.collect_list(F.struct(F.col("from_word").cast("int").alias("at"),
-                                                      F.col("to_word").cast("int").alias("to")))).alias("_runs")))
+                                                      F.col("to_word").cast("int").alias("to")))).alias(pieces)))
     once = docs.dropDuplicates(["doc_id"])
-    out = once.join(runs, once.doc_id.eqNullSafe(runs._doc))
+    out = once.join(runs.hint("merge"), once.doc_id.eqNullSafe(runs[doc]))
     words = F.filter(F.split("text", _GAP), lambda w: w != "")
-    some = F.array_join(F.flatten(F.transform("_runs", lambda r: F.slice(words, r["at"] + 1, r["to"] - r["at"]))), " ")
-    text = F.when(F.col("_n") == F.col("_size"), F.col("text")).otherwise(some)
-    new = {"text": text}
+    some = F.array_join(F.flatten(F.transform(pieces, lambda r: F.slice(words, r["at"] + 1, r["to"] - r["at"]))), " ")
+    text = F.when(F.col(n) == F.col(size), F.col("text")).otherwise(some)
+    out = compute_once(out, {"text": text})
     if "n_chars" in names:
-        new["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
-    return out.withColumns(new).select(*names)
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*names)
