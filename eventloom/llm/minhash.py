@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, joined, mix, owners, span_hashes, text_slices, word_spans, written
+from .common import components, fresh, joined, mix, owners, roots, runs, span_hashes, text_slices, tiled, word_spans, written
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,9 @@ class NearRules:
     seed: int = 11
     #: Tasks that the pairs of one pivot are dealt to.
     salts: int = 64
+    #: Members of a bucket, and texts of a cluster, that one task compares with as many others.
+    bucket_block: int = 512
+    cluster_block: int = 128
 
     @property
     def minima(self) -> int:
@@ -186,13 +189,95 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame
             .mapInArrow(run, "a long, b long"))
 
 
+# --- what is left between components -----------------------------------------------------
+
+
+def _pairs_across(table: pa.Table, rules: NearRules) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a tile's rows that may be alike and lie in different components."""
+    signs = np.array(table["signature"].to_pylist(), dtype=np.int64).view(np.uint64)
+    owner, side = table["component"].to_numpy(), table["side"].to_numpy()
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    ones = np.uint64(sum(1 << k for k in range(0, 64, rules.bits)))
+    found_a, found_b = [], []
+    most = (1 - (rules.percent / 100 - rules.margin) * (1 - 2.0**-rules.bits) - 2.0**-rules.bits) * rules.minima
+    for a in left.tolist():
+        others = right[(owner[right] != owner[a]) & ((side[right] != 2) | (right > a))]
+        bits = signs[others] ^ signs[a]
+        spread = bits
+        for k in range(1, rules.bits):
+            spread = spread | (bits >> np.uint64(k))
+        hit = others[np.bitwise_count(spread & ones).sum(axis=1) <= most]
+        found_a.append(np.full(len(hit), a))
+        found_b.append(hit)
+    return np.concatenate([*found_a, np.zeros(0, np.int64)]), np.concatenate([*found_b, np.zeros(0, np.int64)])
+
+
+def _edges(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Links that join what the pairs join, one per id at most."""
+    root = roots(len(ids), a, b)
+    mine = np.flatnonzero(root != np.arange(len(ids)))
+    return pa.RecordBatch.from_arrays([pa.array(ids[root[mine]], pa.int64()), pa.array(ids[mine], pa.int64())], names=["a", "b"])
+
+
+def clustered(members: DataFrame, rules: NearRules) -> DataFrame:
+    """``id, component_id``: documents joined up by pairs across components that may be alike.
+
+    ``members(bucket, size, rep, component, signature)``. Pairs never leave their task.
+    """
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, ["bucket", "tile"]):
+            yield _edges(table["rep"].to_numpy(), *_pairs_across(table, rules))
+
+    dealt = tiled(members, "bucket", "rep", "size", rules.bucket_block).select("bucket", "tile", "side", "rep", "component", "signature")
+    return components(dealt.repartition(parts, "bucket", "tile").sortWithinPartitions("bucket", "tile", "side", "rep")
+                      .mapInArrow(run, "a long, b long"), "near-clusters")
+
+
+def links_across(texts: DataFrame, rules: NearRules) -> DataFrame:
+    """Links ``(a, b)`` between components, confirmed on full sets; enough of them to join all they join.
+
+    ``texts(cluster, size, rep, component, signature, text)``. A tile holds two blocks of texts at
+    most. Pairs that links found before already join are passed over.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, ["cluster", "tile"]):
+            ids, column = table["rep"].to_numpy(), table["text"].combine_chunks()
+            a, b = _pairs_across(table, rules)
+            sets: list[np.ndarray] = []
+            for start, stop in text_slices(column):
+                made, owner, _, _ = shingle_sets(_raw(column.slice(start, stop - start)), rules.words)
+                sets.extend(np.split(made, np.searchsorted(owner, np.arange(1, stop - start))))
+            _, owner = np.unique(table["component"].to_numpy(), return_inverse=True)
+            link_a, link_b = [], []
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                small, large = sorted((len(sets[x]), len(sets[y])))
+                if owner[x] == owner[y] or 100 * small < rules.percent * large:
+                    continue
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= rules.percent * (small + large - both):
+                    link_a.append(x)
+                    link_b.append(y)
+                    owner[owner == owner[y]] = owner[x]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[link_a], pa.int64()), pa.array(ids[link_b], pa.int64())], names=["a", "b"])
+
+    dealt = tiled(texts, "cluster", "rep", "size", rules.cluster_block).select("cluster", "tile", "side", "rep", "component", "signature", "text")
+    return (dealt.repartition(parts, "cluster", "tile").sortWithinPartitions("cluster", "tile", "side", "rep")
+            .mapInArrow(run, "a long, b long"))
+
+
 def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:  # noqa: B008
     """``doc_id, n_shingles, component_id, kept``, a row per row of ``docs``.
 
     Documents with one word sequence are a class, and its smallest id stands for it. In each
     band bucket the smallest member is compared with all others, and the links found joined up
-    to components. Then only buckets that still hold several components are left, and all
-    their pairs across components are compared, so no link that would join two is missed.
+    to components. Then only buckets that still hold several components are left. All their
+    pairs across components are screened, and what may be alike is put together in clusters,
+    inside which sets are compared in tiles of two blocks: no link that would join two
+    components is missed, and no pair is a row.
 
     A null text, or one without words, links with nothing. Repeated rows of one ``doc_id`` (also
     null ones) get one answer; they are taken to be the same text. Other columns are not read.
@@ -217,14 +302,17 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
     found = written(components(links), "near-components")
     placed = members.join(found, members.rep == found.id, "left").select(
         "bucket", "rep", F.coalesce("component_id", "rep").alias("component"))
-    split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    split = written(split.select("bucket"), "near-split")
-    open_members = written(placed.join(split, "bucket").join(sets.select("rep", "signature"), "rep"), "near-open")
-    left = open_members.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("signature").alias("sa"))
-    right = open_members.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("signature").alias("sb"))
-    alike = estimated(F.col("sa"), F.col("sb"), rules) >= rules.percent / 100 - rules.margin
-    across = left.join(right, (left.bucket == right.bucket) & (F.col("ca") < F.col("cb")) & alike).select("a", "b").distinct()
-    more = confirmed(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), texts, rules)
+    placed = written(placed, "near-placed")
+    split = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    split = written(split.filter("low < high").select("bucket", "size"), "near-split")
+    signs = sets.select("rep", "signature")
+    cluster = written(clustered(placed.join(split, "bucket").join(signs, "rep"), rules), "near-clusters")
+    sizes = written(cluster.groupBy(F.col("component_id").alias("cluster")).agg(F.count("*").alias("size")), "near-sizes")
+    one = placed.select("rep", "component").distinct().withColumnRenamed("rep", "k")
+    open_texts = (cluster.join(sizes, cluster.component_id == sizes.cluster).join(one, F.col("id") == F.col("k"))
+                  .join(signs, F.col("id") == signs.rep).drop("rep").join(texts, F.col("id") == texts.rep)
+                  .select("cluster", "size", "rep", "component", "signature", "text"))
+    more = links_across(open_texts, rules)
     every = links.union(written(more, "near-links"))
 
     final = written(components(every), "near-components")
@@ -238,6 +326,7 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
 
 def near_filter(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:  # noqa: B008
     """One document of each group, the one with the smallest id, with its own columns; repeated rows go too."""
-    kept = near_components(docs, rules).filter("kept").select(F.col("doc_id").alias("_keep")).distinct()
+    (name,) = fresh(docs, "_keep")
+    kept = near_components(docs, rules).filter("kept").select(F.col("doc_id").alias(name)).distinct()
     once = docs.dropDuplicates(["doc_id"])
-    return once.join(kept, once.doc_id.eqNullSafe(kept._keep), "left_semi")
+    return once.join(kept, once.doc_id.eqNullSafe(kept[name]), "left_semi")
