@@ -19,7 +19,9 @@ class Bands:
 
     Prose loses its redundancy slowly: short texts hardly compress, long ones level off. Text
     under ``low`` repeats itself, text over ``high`` is noise. Beyond the outer knots the
-    outer limits hold.
+    outer limits hold. ``low`` is per code point: scripts of two or three bytes a letter repeat
+    their lead bytes, which says nothing of the text. It lies under natural prose with its lists
+    and set phrases (documentation, licences, copyright files); milder repeats are left to the base rules.
     """
 
     level: int = 3
@@ -29,15 +31,17 @@ class Bands:
     #: Share of chunks outside their band above which a text of two chunks or more goes.
     bad_chunks: float = 0.5
     low: tuple[tuple[int, float], ...] = (
-        (64, 0.50), (256, 0.56), (512, 0.535), (1024, 0.497), (2048, 0.470), (4096, 0.442),
-        (8192, 0.424), (16384, 0.409), (32768, 0.395), (65536, 0.380), (262144, 0.350))
+        (64, 0.40), (256, 0.40), (512, 0.36), (1024, 0.30), (2048, 0.26), (4096, 0.21),
+        (8192, 0.20), (16384, 0.19), (32768, 0.17), (65536, 0.15), (262144, 0.12))
     high: tuple[tuple[int, float], ...] = (
         (64, 1.30), (128, 1.00), (256, 0.85), (512, 0.82), (1024, 0.74), (4096, 0.66), (16384, 0.62))
 
-    def limits(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.log2(np.maximum(sizes, 1))
-        return tuple(np.interp(at, [np.log2(n) for n, _ in knots], [r for _, r in knots])
-                     for knots in (self.low, self.high))
+    def limits(self, sizes: np.ndarray, points: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Limits of the ratio of bytes, for texts of so many bytes and code points (one byte each if not given)."""
+        points = sizes if points is None else points
+        low, high = (np.interp(np.log2(np.maximum(n, 1)), [np.log2(k) for k, _ in knots], [r for _, r in knots])
+                     for n, knots in ((points, self.low), (sizes, self.high)))
+        return low * points / np.maximum(sizes, 1), high
 
 
 FIELDS = [
@@ -96,20 +100,26 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     return out
 
 
+def code_points(text: bytes) -> int:
+    """Code points that begin in ``text``."""
+    return int(np.count_nonzero((np.frombuffer(text, dtype=np.uint8) & 0xC0) != 0x80))
+
+
 def compression(text: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[float, int, int, str]:
     """Whole ratio, chunks judged, chunks outside their band, and the verdict's name."""
     if not text:
         return 0.0, 0, 0, "empty"
     ratio = len(packer.compress(text)) / len(text)
-    low, high = bands.limits(np.array([len(text)]))
-    sizes, ratios = [], []
+    low, high = bands.limits(np.array([len(text)]), np.array([code_points(text)]))
+    sizes, points, ratios = [], [], []
     if len(text) > bands.chunk_bytes:
         for k in range(0, len(text), bands.chunk_bytes):
             chunk = text[k:k + bands.chunk_bytes]
             if len(chunk) >= bands.least_chunk:
                 sizes.append(len(chunk))
+                points.append(code_points(chunk))
                 ratios.append(len(packer.compress(chunk)) / len(chunk))
-    chunk_low, chunk_high = bands.limits(np.array(sizes, dtype=np.int64))
+    chunk_low, chunk_high = bands.limits(np.array(sizes, dtype=np.int64), np.array(points, dtype=np.int64))
     under, over = int(np.sum(ratios < chunk_low)), int(np.sum(ratios > chunk_high))
     if ratio < low[0]:
         band = "repetitive"
