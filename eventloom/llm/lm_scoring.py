@@ -1,9 +1,10 @@
 """Cross-entropy difference of texts under two bigram models, of a target and of the background.
 
-Both models have one vocabulary and one form: a bigram's probability is its count with the
-unigram probability as a prior. Counts are gathered from all documents and all target texts. They
-travel packed: a slice of documents sends each shard of the bigram space one row with its own
-bigrams there, the shard adds them up, and answers with the slice's partial losses.
+Both models have one vocabulary, all words of both corpora, and one form: a bigram's probability
+is its count with the unigram probability as a prior. Words and bigrams are 64-bit hashes. A slice
+of documents sends each shard of the hash space one row with its own distinct keys there and their
+counts; the shard adds them up over all slices, and answers with the sums of both corpora; the
+slice then works out the losses of its texts.
 """
 
 from __future__ import annotations
@@ -13,47 +14,45 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import joined, mix, owners, span_hashes, text_slices, word_spans, written
 
-#: Numbers of the tokens that are no words; words follow.
-OTHER, BEGIN, END, FIRST = 0, 1, 2, 3
+#: Keys of the tokens that are no words.
+OTHER, BEGIN, END = (np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
+#: Text bytes of a slice: the more, the more often its texts share a bigram, which is sent once.
+SLICE = 8 << 20
 
 
 @dataclass(frozen=True)
 class ModelRules:
-    """``vocabulary``: most words either model tells apart, the most frequent of both corpora;
-    equally frequent ones are in or out together. ``bigram_prior`` and ``unigram_prior``: weights of
-    the priors in tokens. ``shard_tokens``: tokens per shard of the bigram space."""
+    """``vocabulary``: none tells all words apart; a number keeps the most frequent words of both corpora,
+    equally frequent ones in or out together, and counts the others as one. ``bigram_prior`` and
+    ``unigram_prior``: weights of the priors in tokens. ``shard_tokens``: tokens per shard of the hash space."""
 
-    vocabulary: int = 65_000
+    vocabulary: int | None = None
     bigram_prior: float = 20.0
     unigram_prior: float = 100.0
     shard_tokens: int = 2_000_000
 
 
 @dataclass(frozen=True)
-class SharedVocabulary:
-    """Word hashes in order; per token number the counts in background and target, ends of text included."""
+class Corpora:
+    """``words``: number of words told apart; ``chosen``: their hashes in order, where the vocabulary is
+    limited; ``background`` and ``target``: tokens of each, ends of text included."""
 
-    hashes: np.ndarray
-    numbers: np.ndarray
-    background: np.ndarray
-    target: np.ndarray
+    words: int
+    chosen: np.ndarray | None
+    background: int
+    target: int
 
-    def unigram(self, counts: np.ndarray, prior: float) -> np.ndarray:
-        """Smoothed share of each token among those that can follow another, all but the text's begin."""
-        shares = counts.astype(float) + prior / (len(counts) - 1)
-        shares[BEGIN] = 0
-        return shares / shares.sum()
 
-
-def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of each word; A-Z count as a-z."""
-    buf, starts = joined([(t or "").encode().lower() for t in texts])
+    buf, starts = joined([t.lower() for t in texts])
     at, to = word_spans(buf)
     return span_hashes(buf, at, to), owners(starts, at)
 
@@ -70,7 +69,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         keys, counts, waiting = [], [], 0
         for batch in batches:
             for start, stop in text_slices(batch.column("text")):
-                hashes, _ = _words(batch.column("text").slice(start, stop - start).to_pylist())
+                hashes, _ = _words([(t or "").encode() for t in batch.column("text").slice(start, stop - start).to_pylist()])
                 word, n = np.unique(hashes, return_counts=True)
                 keys.append(word)
                 counts.append(n)
@@ -88,117 +87,157 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def shared_vocabulary(docs: DataFrame, target: DataFrame, rules: ModelRules) -> SharedVocabulary:
-    """Count the words of both corpora and take the most frequent ones.
+def corpora(docs: DataFrame, target: DataFrame, rules: ModelRules) -> Corpora:
+    """Sizes of both corpora and of their vocabulary; only a limited vocabulary comes to the driver.
 
     The least count that lets no more than ``vocabulary`` words in is found from a histogram of
-    counts, so words are never sorted; only the chosen ones come to the driver.
+    counts, which has about as many rows as the root of the number of tokens.
     """
     none = F.lit(0).cast("long")
-    words = written(word_counts(docs).select("word", F.col("n").alias("b"), none.alias("t"))
-                    .union(word_counts(target).select("word", none, F.col("n")))
-                    .groupBy("word").agg(F.sum("b").alias("b"), F.sum("t").alias("t")), "lm-words")
-    both = F.col("b") + F.col("t")
-    # Counts over the limit are one class of the histogram, so that it stays short.
-    most = F.least(both, F.lit(1_000_000))
-    shape = words.groupBy(most.alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).toPandas()
-    total = shape["words"].cumsum()
-    inside = shape["n"][total <= rules.vocabulary]
-    limit = int(inside.min()) if len(inside) else 1_000_001
-    rows = words.filter(both >= limit).toPandas().sort_values("word") if len(inside) else words.limit(0).toPandas()
-    sums = words.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("b"), F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
-    texts = [x.count() for x in (docs, target)]
-    hashes = rows["word"].to_numpy(dtype=np.int64).view(np.uint64)
-    counts = []
-    for name, n_texts in zip("bt", texts, strict=True):
-        mine = rows[name].to_numpy(dtype=np.int64)
-        counts.append(np.concatenate(([sums[name] - mine.sum(), n_texts, n_texts], mine)))
-    order = np.argsort(hashes)
-    return SharedVocabulary(hashes[order], (np.arange(len(hashes)) + FIRST)[order].astype(np.uint32), *counts)
-
-
-def token_numbers(hashes: np.ndarray, vocabulary: SharedVocabulary) -> np.ndarray:
-    if not len(vocabulary.hashes):
-        return np.full(len(hashes), OTHER, dtype=np.uint32)
-    where = np.minimum(np.searchsorted(vocabulary.hashes, hashes), len(vocabulary.hashes) - 1)
-    return np.where(vocabulary.hashes[where] == hashes, vocabulary.numbers[where], OTHER).astype(np.uint32)
-
-
-def bigrams_of(texts: list[str | None], vocabulary: SharedVocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(bigram << 20 | text number, count) of each text's distinct bigrams, its begin and end included."""
-    hashes, owner = _words(texts)
-    token = token_numbers(hashes, vocabulary).astype(np.uint64)
-    n = len(texts)
+    words = (word_counts(docs).select("word", F.col("n").alias("b"), none.alias("t"))
+             .union(word_counts(target).select("word", none, F.col("n")))
+             .groupBy("word").agg(F.sum("b").alias("b"), F.sum("t").alias("t")))
+    if rules.vocabulary is not None:
+        words = written(words, "lm-words")
+    sums = words.agg(F.count("*").alias("words"), F.coalesce(F.sum("b"), none).alias("b"), F.coalesce(F.sum("t"), none).alias("t")).first()
+    chosen, n_words = None, sums["words"]
+    if rules.vocabulary is not None:
+        both = F.col("b") + F.col("t")
+        shape = words.groupBy(both.alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).toPandas()
+        inside = shape["n"][shape["words"].cumsum() <= rules.vocabulary]
+        rows = words.filter(both >= int(inside.min())) if len(inside) else words.limit(0)
+        chosen = np.sort(rows.select("word").toPandas()["word"].to_numpy(dtype=np.int64).view(np.uint64))
+        n_words = len(chosen)
+    return Corpora(n_words, chosen, sums["b"] + docs.count(), sums["t"] + target.count())
+
+
+def as_planes(values: np.ndarray) -> bytes:
+    """64-bit values byte by byte, all first bytes before all second ones: small values compress well."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def of_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+SLICES = "slice long, target boolean, ids array<long>, sizes binary, texts binary"
+
+
+def text_rows(texts: DataFrame, target: bool) -> DataFrame:
+    """``SLICES`` rows of ``texts(doc_id, text)``: many texts in each, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, packer = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for start, stop in text_slices(batch.column("text"), SLICE):
+                mine = [(t or "").encode() for t in batch.column("text").slice(start, stop - start).to_pylist()]
+                ids = batch.column("doc_id").slice(start, stop - start).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()), pa.array([target]), pa.array([ids], pa.list_(pa.int64())),
+                     pa.array([np.array([len(t) for t in mine], dtype=np.int64).tobytes()], pa.binary()),
+                     pa.array([packer.compress(b"".join(mine))], pa.binary())], names=["slice", "target", "ids", "sizes", "texts"])
+                number += 1
+
+    return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SLICES)
+
+
+@dataclass(frozen=True)
+class Tokens:
+    """Keys of the steps from a token to the next in a slice's texts, and the text of each step."""
+
+    first: np.ndarray
+    second: np.ndarray
+    pair: np.ndarray
+    text: np.ndarray
+
+
+def tokens_of(sizes: bytes, texts: bytes, chosen: np.ndarray | None) -> Tokens:
+    """The steps of a packed slice; each text is laid out as begin, words, end."""
+    data, ends = zstandard.ZstdDecompressor().decompress(texts), np.cumsum(np.frombuffer(sizes, dtype=np.int64)).tolist()
+    n = len(ends)
+    token, owner = _words([data[a:b] for a, b in zip([0, *ends], ends, strict=False)])
+    if chosen is not None:
+        at = np.minimum(np.searchsorted(chosen, token), max(0, len(chosen) - 1))
+        token = np.where(chosen[at] == token, token, OTHER) if len(chosen) else np.full(len(token), OTHER)
     counts = np.bincount(owner, minlength=n)
-    # Each text is laid out as begin, words, end.
     begins = np.concatenate(([0], np.cumsum(counts + 2)))
     line = np.empty(begins[-1], dtype=np.uint64)
     line[begins[:-1]], line[begins[1:] - 1] = BEGIN, END
     line[np.arange(len(token)) + 2 * owner + 1] = token
-    text = np.repeat(np.arange(n, dtype=np.uint64), counts + 2)
     inner = np.ones(len(line), dtype=bool)
     inner[begins[1:] - 1] = False
     at = np.flatnonzero(inner)
-    return np.unique((((line[at] << np.uint64(16)) | line[at + 1]) << np.uint64(20)) | text[at], return_counts=True)
+    first, second = line[at], line[at + 1]
+    return Tokens(first, second, mix(mix(first) + second), np.repeat(np.arange(n), counts + 1))
+
+
+def keys_of(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order: the begin, what follows, and pairs; with the place of each step's pair and of all three."""
+    return np.unique(np.concatenate((tokens.first[tokens.first == BEGIN], tokens.second, tokens.pair)), return_inverse=True, return_counts=True)
 
 
-PACKED = "shard long, slice long, target boolean, n_texts int, grams binary, texts binary, counts binary, ids binary, sizes binary"
+REQUESTS = "shard long, slice long, target boolean, keys binary, counts binary"
 
 
-def packed_bigrams(texts: DataFrame, vocabulary: SharedVocabulary, shards: int, target: bool) -> DataFrame:
-    """``PACKED`` rows of ``texts(doc_id, text)``: one per slice and shard, and one with shard -1 for the slice itself."""
+def requests(slices: DataFrame, shards: int, chosen: np.ndarray | None) -> DataFrame:
+    """``REQUESTS`` rows: one per slice and shard with the slice's distinct keys there, as steps from key to key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 24
         for batch in batches:
-            ids = np.array(batch.column("doc_id").fill_null(-(1 << 63)), dtype=np.int64)
-            for start, stop in text_slices(batch.column("text")):
-                mine = batch.column("text").slice(start, stop - start).to_pylist()
-                both, count = bigrams_of(mine, vocabulary)
-                gram, text = (both >> np.uint64(20)).astype(np.uint32), (both & np.uint64((1 << 20) - 1)).astype(np.uint32)
-                shard = (mix(gram.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
-                gram, text, count, shard = gram[order], text[order], count[order].astype(np.uint32), shard[order]
-                cuts = np.flatnonzero(np.diff(shard, prepend=-1))
-                ends = np.append(cuts[1:], len(shard))
-                sizes = np.bincount(text, weights=count, minlength=len(mine)).astype(np.int64)
-                rows = [(int(shard[a]), number, target, len(mine), gram[a:b].tobytes(), text[a:b].tobytes(), count[a:b].tobytes(), None, None)
-                        for a, b in zip(cuts.tolist(), ends.tolist(), strict=True)]
-                if not target:
-                    rows.append((-1, number, target, len(mine), None, None, None, ids[start:stop].tobytes(), sizes.tobytes()))
-                number += 1
-                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), *[pa.binary()] * 5]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds],
-                                                 names=["shard", "slice", "target", "n_texts", "grams", "texts", "counts", "ids", "sizes"])
-
-    return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PACKED)
-
-
-def shard_losses(rows: pa.Table, vocabulary: SharedVocabulary, rules: ModelRules) -> pa.Table:
-    """The partial losses that one shard's bigrams give to the texts of each slice: ``slice, target_loss, background_loss``."""
-    unpack = lambda name: [np.frombuffer(x, dtype=np.uint32) for x in rows[name].to_pylist()]
-    grams, texts, counts, target = unpack("grams"), unpack("texts"), unpack("counts"), rows["target"].to_pylist()
-    n_texts, slices = rows["n_texts"].to_pylist(), rows["slice"].to_pylist()
-    gram, inverse = np.unique(np.concatenate(grams), return_inverse=True)
-    of_target = np.repeat(np.array(target, dtype=bool), [len(x) for x in grams])
-    count = np.concatenate(counts).astype(float)
-    first, second = gram >> np.uint32(16), gram & np.uint32(0xFFFF)
-    loss = []
-    for corpus, mine in ((vocabulary.target, of_target), (vocabulary.background, ~of_target)):
-        seen = np.bincount(inverse, weights=count * mine, minlength=len(gram))
-        prior = rules.bigram_prior * vocabulary.unigram(corpus, rules.unigram_prior)[second]
-        loss.append(-np.log((seen + prior) / (corpus[first] + rules.bigram_prior)))
-    out: dict[str, list] = {"slice": [], "target_loss": [], "background_loss": []}
-    at = 0
-    for k, mine in enumerate(grams):
-        if not target[k]:
-            here = inverse[at:at + len(mine)]
-            out["slice"].append(slices[k])
-            for name, per_gram in zip(("target_loss", "background_loss"), loss, strict=True):
-                out[name].append(np.bincount(texts[k], weights=counts[k] * per_gram[here], minlength=n_texts[k]).tobytes())
-        at += len(mine)
-    return pa.table([pa.array(out["slice"], pa.int64()), pa.array(out["target_loss"], pa.binary()), pa.array(out["background_loss"], pa.binary())],
-                    names=list(out))
+            for row in batch.to_pylist():
+                keys, _, counts = keys_of(tokens_of(row["sizes"], row["texts"], chosen))
+                shard = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+                cuts = np.flatnonzero(np.diff(shard.astype(np.int64), prepend=-1))
+                out = [(int(shard[a]), row["slice"], row["target"], as_planes(np.diff(keys[a:b], prepend=np.uint64(0))), as_planes(counts[a:b]))
+                       for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=True)]
+                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                                 names=["shard", "slice", "target", "keys", "counts"])
+
+    return slices.select("slice", "target", "sizes", "texts").mapInArrow(run, REQUESTS)
+
+
+def shard_sums(rows: pa.Table) -> pa.Table:
+    """``shard, slice, background, target``: for each slice's keys, in its own order, their counts in both corpora."""
+    keys = [np.cumsum(of_planes(x), dtype=np.uint64) for x in rows["keys"].to_pylist()]
+    counts = np.concatenate([of_planes(x) for x in rows["counts"].to_pylist()]).astype(float)
+    of_target = np.repeat(np.array(rows["target"], dtype=bool), [len(k) for k in keys])
+    _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = [np.bincount(inverse, weights=counts * mine).astype(np.int64) for mine in (~of_target, of_target)]
+    ends = np.cumsum([len(k) for k in keys]).tolist()
+    ask = [k for k, t in enumerate(rows["target"].to_pylist()) if not t]
+    answers = [pa.array([as_planes(s[inverse[ends[k] - len(keys[k]):ends[k]]]) for k in ask], pa.binary()) for s in sums]
+    own = pa.array(ask, pa.int64())
+    return pa.table([rows["shard"].take(own), rows["slice"].take(own), *answers], names=["shard", "slice", "background", "target"])
+
+
+KINDS = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64()), ("difference", pa.float64())]
+
+
+def slice_losses(head: pa.Table, answers: pa.Table, sizes: Corpora, rules: ModelRules) -> pa.Table:
+    """The losses of a slice's texts from the sums of all its keys."""
+    if not len(head):
+        return pa.table({n: pa.array([], k) for n, k in KINDS})
+    tokens = tokens_of(head["sizes"][0].as_py(), head["texts"][0].as_py(), sizes.chosen)
+    keys, inverse, _ = keys_of(tokens)
+    answers = answers.sort_by("shard")
+    n = len(tokens.second)
+    second, pair = inverse[-2 * n:-n], inverse[-n:]
+    # What a step starts from is the begin, the first key of all, or what the step before ended with.
+    first = np.where(tokens.first == BEGIN, inverse[0], np.roll(second, 1))
+    length = np.bincount(tokens.text)
+    loss = {}
+    for name, size in (("target", sizes.target), ("background", sizes.background)):
+        seen = np.concatenate([of_planes(x) for x in answers[name].to_pylist()]).astype(float)
+        if len(seen) != len(keys):
+            raise ValueError(f"{len(seen)} sums for {len(keys)} keys of slice {head['slice'][0]}")
+        # Words, ends and the rest can follow; no more.
+        share = (seen[second] + rules.unigram_prior / (sizes.words + 2)) / (size + rules.unigram_prior)
+        each = -np.log((seen[pair] + rules.bigram_prior * share) / (seen[first] + rules.bigram_prior))
+        loss[name] = np.bincount(tokens.text, weights=each) / length
+    ids = head["ids"].combine_chunks().flatten()
+    return pa.table([ids, pa.array(length.astype(np.int64)), pa.array(loss["target"]), pa.array(loss["background"]),
+                     pa.array(loss["target"] - loss["background"])], names=[n for n, _ in KINDS])
 
 
 def cross_entropy(docs: DataFrame, target: DataFrame, rules: ModelRules = ModelRules()) -> DataFrame:  # noqa: B008
@@ -209,25 +248,12 @@ def cross_entropy(docs: DataFrame, target: DataFrame, rules: ModelRules = ModelR
     target. Null and empty texts are an end only. An empty target leaves its model with the prior
     alone. A null ``doc_id`` stays null. Other columns are not read.
     """
-    vocabulary = shared_vocabulary(docs, target, rules)
-    n_tokens = int(vocabulary.background.sum() - vocabulary.background[BEGIN])
-    shards = max(16, -(-n_tokens // rules.shard_tokens))
-    rows = written(packed_bigrams(docs, vocabulary, shards, False).union(
-        packed_bigrams(target.select(F.lit(0).alias("doc_id"), "text"), vocabulary, shards, True)), "lm-bigrams")
-    partial = rows.filter("shard >= 0").select("shard", "slice", "target", "n_texts", "grams", "texts", "counts").groupBy("shard").applyInArrow(
-        lambda t: shard_losses(t, vocabulary, rules), "slice long, target_loss binary, background_loss binary")
-    heads = rows.filter("shard < 0").select("slice", "ids", "sizes")
-
-    def add_up(head: pa.Table, parts: pa.Table) -> pa.Table:
-        if not len(head):
-            return pa.table({n: pa.array([], k) for n, k in kinds})
-        ids, sizes = (np.frombuffer(head[c][0].as_py(), dtype=np.int64) for c in ("ids", "sizes"))
-        # In a fixed order, so that runs agree to the last bit.
-        total = [np.sum(np.sort(np.array([np.frombuffer(x) for x in parts[c].to_pylist()]).reshape(-1, len(ids)), axis=0), axis=0) / sizes
-                 for c in ("target_loss", "background_loss")]
-        return pa.table([pa.array(ids, mask=ids == -(1 << 63)), pa.array(sizes), pa.array(total[0]), pa.array(total[1]), pa.array(total[0] - total[1])],
-                        names=[n for n, _ in kinds])
-
-    kinds = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64()), ("difference", pa.float64())]
-    return heads.groupBy("slice").cogroup(partial.groupBy("slice")).applyInArrow(
-        add_up, "doc_id long, n_tokens long, target_loss double, background_loss double, difference double")
+    sizes = corpora(docs, target, rules)
+    shards = max(16, -(-sizes.background // rules.shard_tokens))
+    slices = written(text_rows(docs, False).union(text_rows(target.select(F.lit(0).alias("doc_id"), "text"), True)), "lm-slices")
+    sums = requests(slices, shards, sizes.chosen).groupBy("shard").applyInArrow(
+        shard_sums, "shard long, slice long, background binary, target binary")
+    heads = slices.filter("not target").select("slice", "ids", "sizes", "texts")
+    return heads.groupBy("slice").cogroup(sums.groupBy("slice")).applyInArrow(
+        lambda head, answers: slice_losses(head, answers, sizes, rules),
+        "doc_id long, n_tokens long, target_loss double, background_loss double, difference double")

@@ -170,3 +170,13 @@ def test_lm_edges(spark, odd):
     assert got.count() == odd.count() and got.filter("doc_id is null").count() == 1
     assert lm_scoring.cross_entropy(odd.limit(0), target).count() == 0
     assert lm_scoring.cross_entropy(odd, target.limit(0)).filter("difference is not null").count() == odd.count()
+
+
+def test_lm_tells_all_words_apart(spark, docs_of):
+    words = [f"w{k}" for k in range(70_000)]
+    docs = {k: " ".join(words[k * 7000:(k + 1) * 7000] * 2) for k in range(10)} | {10: "rare words of the target", 11: "rare words elsewhere"}
+    target = ["rare words of the target"]
+    got = lm_scoring.cross_entropy(docs_of([(k, t, "en", "s") for k, t in docs.items()]), spark.createDataFrame([(t,) for t in target], "text string")).collect()
+    want = plain_losses(docs, target, ModelRules(vocabulary=1_000_000))
+    for r in got:
+        assert (r.target_loss, r.background_loss) == pytest.approx(want[r.doc_id]), r.doc_id
