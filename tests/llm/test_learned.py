@@ -180,3 +180,12 @@ def test_lm_tells_all_words_apart(spark, docs_of):
     want = plain_losses(docs, target, ModelRules(vocabulary=1_000_000))
     for r in got:
         assert (r.target_loss, r.background_loss) == pytest.approx(want[r.doc_id]), r.doc_id
+
+
+def test_lm_limit_beyond_a_million(spark, docs_of):
+    docs, target = {0: "a " * 1_000_001 + "b " * 1_000_002, 1: "a b"}, ["b"]
+    rules = ModelRules(vocabulary=1)
+    got = lm_scoring.cross_entropy(docs_of([(k, t, "en", "s") for k, t in docs.items()]), spark.createDataFrame([(t,) for t in target], "text string"), rules).collect()
+    want = plain_losses(docs, target, rules)
+    for r in got:
+        assert (r.target_loss, r.background_loss) == pytest.approx(want[r.doc_id]), r.doc_id
