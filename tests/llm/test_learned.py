@@ -189,3 +189,9 @@ def test_lm_limit_beyond_a_million(spark, docs_of):
     want = plain_losses(docs, target, rules)
     for r in got:
         assert (r.target_loss, r.background_loss) == pytest.approx(want[r.doc_id]), r.doc_id
+
+
+def test_lm_entries_do_not_grow_with_documents(spark, docs_of):
+    slices = lm_scoring.text_rows(docs_of(["same words"] * 500).coalesce(1), False)
+    rows = lm_scoring.requests(slices, 4, None).collect()
+    assert slices.count() == 1 and sum(len(r["keys"]) // 8 for r in rows) == 4 + 3
