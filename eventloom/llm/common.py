@@ -32,16 +32,22 @@ def work_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def new_dir(spark: SparkSession, purpose: str) -> str:
+    """A new path in the shared folder; what is written there goes when the session ends."""
+    path = f"{work_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
+
+
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
     The files go when the session ends.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    path = new_dir(spark, purpose)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
