@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    html_text, language_id, line_dedup, lm_scoring, minhash, mixing, quality, sentence_pieces, toxicity, vector_dedup,
+    alignment, html_text, language_id, line_dedup, lm_scoring, minhash, mixing, periodic_runs, quality, sentence_pieces,
+    token_files, toxicity, vector_dedup,
 )
-from .common import on_workers
+from .common import new_dir, on_workers
 from .oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +83,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.cross_entropy(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_dir(spark, "token-files")
+    token_files.write_token_files(token_files.tokenize(table(spark, sf_dir, "documents")), path)
+    return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.made_periodic(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
