@@ -13,7 +13,9 @@ repeated leaves nothing behind; it puts a line feed after each block.
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +41,7 @@ SEPARATOR = b"\n"
 class FileRules:
     """A frequency is a share of ``2 ** bits``; lanes follow a block's length, so that it takes about ``steps``.
 
-    ``shard_tokens`` is the mean size of a file. ``words_kept`` bounds what a task remembers of words.
+    ``shard_tokens`` is the mean size of a file. ``words_kept`` bounds what a task remembers of words, and of their parts.
     """
 
     bits: int = 20
@@ -48,47 +50,98 @@ class FileRules:
     check_every: int = 256
     least_lanes: int = 4
     shard_tokens: int = 4_000_000
-    words_kept: int = 600_000
+    words_kept: int = 500_000
 
 
 # --- ids of texts ------------------------------------------------------------------
 
 
+# Between ASCII letters and anything else, and behind any letters before ASCII punctuation, a token
+# ends, but for an apostrophe; a special token has "<|".
+_ASCII_PART = re.compile(r"[a-z]+|[^a-z]+")
+_LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+
+
 class WordEncoder:
-    """Ids of whole texts, by way of their words.
+    """Ids of whole texts, by way of their words and the words' parts.
 
-    Only for a tokenizer that drops white space and lets no token reach over it, so that a text's
-    ids are those of its words one after the other. Words are remembered; the memory starts over
-    at ``kept`` words.
+    Only for a tokenizer that ignores case, drops white space, tells letters from other characters and
+    lets no token reach over either border, so that a text's ids are those of its parts one after the
+    other. Words and parts are remembered; each memory starts over at ``kept`` entries.
     """
 
     def __init__(self, model: str, kept: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        for text, parts in (("Ab c\n 9", ["Ab", "c", "9"]), ("x  \t y", ["x", "y"])):
+        for text, parts in (("Ab c\n 9", ["ab", "c", "9"]), ("x  \t y,(z12", ["x", "y", ",(", "z", "12"])):
             alone = [i for p in parts for i in self._ids([p])[0]]
             if self._ids([text])[0] != alone:
-                raise ValueError("a tokenizer that keeps white space is not supported")
+                raise ValueError("a tokenizer that keeps white space or case is not supported")
+        ending = self.tokenizer.model.end_of_word_suffix
+        self.ends = np.array([bool(ending) and (self.tokenizer.id_to_token(k) or "").endswith(ending)
+                              for k in range(self.tokenizer.get_vocab_size())])
         self.kept = kept
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _parts_of(word: bytes) -> list[str]:
+        text = word.decode()
+        if "'" in text or "<|" in text:
+            return [text]
+        if text.isascii():
+            return _ASCII_PART.findall(text.lower())
+        found = _LETTERS_THEN_MARKS.fullmatch(text)
+        # Some letters become a letter and a mark, which would go with what follows.
+        plain = found and unicodedata.normalize("NFC", found[1]).lower().isalnum()
+        return list(found.groups()) if plain else [text]
+
+    def _learn(self, words: list[bytes]) -> None:
+        parts = {w: self._parts_of(w) for w in words}
+        new = {p for ps in parts.values() for p in ps if p not in self.parts}
+        if len(self.parts) + len(new) > self.kept:
+            self.parts = {}
+            new = {p for ps in parts.values() for p in ps}
+        # Letters alone are one word of the tokenizer each: many are encoded as one text, cut at words' ends.
+        letters = [p for p in new if p.isalpha()]
+        for at in range(0, len(letters), 5_000):
+            piece = letters[at:at + 5_000]
+            ids = np.array(self._ids([" ".join(piece)])[0], dtype="<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(piece):
+                data, begin = ids.tobytes(), 0
+                for p, end in zip(piece, (4 * ends).tolist(), strict=True):
+                    self.parts[p] = data[begin:end]
+                    begin = end
+        rest = [p for p in new if p not in self.parts]
+        for at in range(0, len(rest), 5_000):
+            piece = rest[at:at + 5_000]
+            for p, ids in zip(piece, self._ids(piece), strict=True):
+                self.parts[p] = np.array(ids, dtype="<u4").tobytes()
+        if len(self.known) + len(words) > self.kept:
+            self.known = {}
+        for w, ps in parts.items():
+            self.known[w] = b"".join([self.parts[p] for p in ps])
+
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers, and ``end`` after them."""
-        words = [t.split() for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.known})
-        if new and len(self.known) + len(new) > self.kept:
-            self.known.clear()
-            new = list({w for ws in words for w in ws})
-        for at in range(0, len(new), 10_000):
-            piece = new[at:at + 10_000]
-            for w, ids in zip(piece, self._ids([w.decode() for w in piece]), strict=True):
-                self.known[w] = np.array(ids, dtype="<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in ws]) + end for ws in words]
+        split = [t.split() for t in texts]
+        words = [w for ws in split for w in ws]
+        ids = list(map(self.known.get, words))
+        new = [k for k, x in enumerate(ids) if x is None]
+        if new:
+            self._learn(list({words[k] for k in new}))
+            for k in new:
+                ids[k] = self.known[words[k]]
+        out, at = [], 0
+        for ws in split:
+            out.append(b"".join(ids[at:at + len(ws)]) + end)
+            at += len(ws)
+        return out
 
 
 _ENCODERS: dict[tuple[int, int], WordEncoder] = {}

@@ -11,7 +11,8 @@ from tokenizers import Tokenizer
 
 from eventloom.llm.queries import QUERIES
 from eventloom.llm.token_files import (
-    Coder, FileRules, block_tokens, pack_block, read_block, read_token_files, shares, tokenize, write_token_files,
+    Coder, FileRules, WordEncoder, block_tokens, default_tokenizer, pack_block, read_block, read_token_files, shares, tokenize,
+    write_token_files,
 )
 
 
@@ -103,3 +104,17 @@ def test_empty_table(spark, odd):
     path = f"{tempfile.mkdtemp(prefix='eventloom-tests-')}/files"
     write_token_files(tokenize(odd.filter(F.lit(False))), path)
     assert read_token_files(spark, path).count() == 0
+
+
+def test_words_and_their_parts():
+    """Any mix of letters, marks, digits, case and combining characters, through memories that start over."""
+    with open(default_tokenizer(), encoding="utf-8") as f:
+        encoder = WordEncoder(f.read(), kept=50)
+    rng = np.random.default_rng(6)
+    letters = [*"abzAZ09.,;:'<|>=/-_^", "é", "É", "ẖ", "H̱", "̸", "…", "½", "İ", "Σ", "क़", "漢", "<|endoftext|>", "'s", "'LL", "</w>", " "]
+    texts = ["".join(rng.choice(letters, rng.integers(0, 12))) for _ in range(1500)]
+    tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    for at in range(0, len(texts), 50):
+        some = texts[at:at + 50]
+        got = encoder.encode([t.encode() for t in some], b"")
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
