@@ -422,7 +422,14 @@ def _histogram(tokens: DataFrame) -> np.ndarray:
     return counts
 
 
-def _coded(freq: np.ndarray, rules: FileRules):
+def _shard_of(ids: pa.Array, ties: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The file of each document. An id that fills several files is dealt to them by its rows' ties."""
+    known = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+    first, last = np.searchsorted(bounds, known, side="left"), np.searchsorted(bounds, known, side="right")
+    return first + ties % (last - first + 1)
+
+
+def _coded(freq: np.ndarray, bounds: np.ndarray, rules: FileRules):
     """Arrow batches of documents to batches of their blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,17 +438,20 @@ def _coded(freq: np.ndarray, rules: FileRules):
             for start, stop in text_slices(batch.column("ids"), 4 << 20):
                 part = batch.slice(start, stop - start)
                 rows, blocks = [], []
-                for doc_id, tie, ids in zip(part.column("doc_id").to_pylist(), part.column("tie").to_pylist(), part.column("ids"), strict=True):
+                ties = part.column("tie").to_numpy()
+                shards = _shard_of(part.column("doc_id"), ties, bounds).tolist()
+                for doc_id, tie, shard, ids in zip(part.column("doc_id").to_pylist(), ties.tolist(), shards, part.column("ids"), strict=True):
                     ids = np.frombuffer(ids.as_buffer(), dtype="<u4")
                     for no, at in enumerate(range(0, len(ids), rules.block_tokens)):
                         piece = ids[at:at + rules.block_tokens]
-                        rows.append((doc_id, tie, no, at + rules.block_tokens >= len(ids)))
+                        rows.append((doc_id, tie, no, at + rules.block_tokens >= len(ids), shard))
                         blocks.append(piece)
                 packed = [pack_block(doc_id, no, last, lanes, len(ids), payload, coder)
-                          for (doc_id, _, no, last), ids, (lanes, payload) in zip(rows, blocks, coder.encode(blocks), strict=True)]
+                          for (doc_id, _, no, last, _), ids, (lanes, payload) in zip(rows, blocks, coder.encode(blocks), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                     pa.array([r[2] for r in rows], pa.int32()), pa.array(packed, pa.binary())], names=["doc_id", "tie", "no", "block"])
+                     pa.array([r[2] for r in rows], pa.int32()), pa.array([r[4] for r in rows], pa.int32()), pa.array(packed, pa.binary())],
+                    names=["doc_id", "tie", "no", "shard", "block"])
 
     return run
 
@@ -478,8 +488,12 @@ def write_token_files(tokens: DataFrame, path: str, rules: FileRules = FileRules
     _write_bytes(spark.createDataFrame([(bytearray(coder.table_record()),)], "value binary").coalesce(1), f"{path}/table")
     total = int(kept.agg(F.sum(F.length("ids"))).first()[0] or 0) // 4
     tie = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    coded = kept.withColumn("tie", tie).select("doc_id", "tie", "ids").mapInArrow(_coded(freq, rules), "doc_id long, tie long, no int, block binary")
-    placed = coded.repartitionByRange(parts_for(spark, total, rules.shard_tokens), "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "no")
+    n = parts_for(spark, total, rules.shard_tokens)
+    # Bounds come from the ids alone: a range partitioning of the blocks would code them a first time to sample them.
+    cuts = kept.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else None
+    coded = kept.withColumn("tie", tie).select("doc_id", "tie", "ids").mapInArrow(
+        _coded(freq, np.array(cuts or [], dtype=np.int64), rules), "doc_id long, tie long, no int, shard int, block binary")
+    placed = coded.repartitionById(n, "shard").sortWithinPartitions("doc_id", "tie", "no")
     _write_bytes(placed.select("block"), f"{path}/shards")
     files = _files(spark, path).mapInArrow(_totals, "shard long, file string, n_docs long, n_tokens long")
     written(files, "token-shards").withColumn(
