@@ -18,6 +18,7 @@ import secrets
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +147,8 @@ class Pair:
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError("pieces that reach over a space are not supported")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(MARK, " ").encode() for k, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.digits = [str(k) for k in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.space = self.b.piece_to_id(MARK)
         self.kept = kept
         self._forget()
@@ -168,8 +171,24 @@ class Pair:
         return b"".join([self.a_bytes[k] for k in a]) == unit == b"".join([self.b_bytes[k] for k in b])
 
     def ends(self, a: list[int], b: list[int], start: int = 0) -> tuple[list[int], list[int]]:
-        return ((start + np.cumsum([len(self.a_bytes[k]) for k in a], dtype=np.int64)).tolist(),
-                (start + np.cumsum([len(self.b_bytes[k]) for k in b], dtype=np.int64)).tolist())
+        return (list(accumulate([self.a_sizes[k] for k in a], initial=start))[1:],
+                list(accumulate([self.b_sizes[k] for k in b], initial=start))[1:])
+
+    def closed(self, a: list[int], b: list[int]) -> tuple[bytes, list[int]]:
+        """The groups of a unit, whose end is a cut, as text, and its links."""
+        sizes, others, digits = self.a_sizes, self.b_sizes, self.digits
+        groups, links = [], []
+        j = p = q = x = y = 0
+        for i, k in enumerate(a, 1):
+            x += sizes[k]
+            while y < x:
+                y += others[b[j]]
+                j += 1
+            if x == y:
+                groups.append(",".join([digits[t] for t in a[p:i]]) + "|" + ",".join([digits[t] for t in b[q:j]]))
+                links.append(_pair(k, b[j - 1]))
+                p, q = i, j
+        return ";".join(groups).encode(), links
 
     def learn(self, units: list[list[bytes]]) -> None:
         """Work out all units not known yet. A unit whose tokens don't give its bytes gets no text."""
@@ -180,13 +199,13 @@ class Pair:
         for at in range(0, len(new), 10_000):
             piece = new[at:at + 10_000]
             for unit, (a, b) in zip(piece, self.tokens(piece), strict=True):
-                found = fragment(a, self.ends(a, [])[0], b, self.ends([], b)[1]) if self.exact(unit, a, b) else None
+                text, links = self.closed(a, b) if self.exact(unit, a, b) else (b"", None)
                 self.known[unit] = len(self.texts)
-                self.texts.append(found.groups() if found else b"")
-                self.links.append(np.repeat(found.pairs, found.counts).tobytes() if found else b"")
+                self.texts.append(text)
+                self.links.append(array("q", links or []).tobytes())
                 self.n_a.append(len(a))
                 self.n_b.append(len(b))
-                self.n_groups.append(found.n_closed + 1 if found else -1)
+                self.n_groups.append(-1 if links is None else len(links))
 
 
 _PAIRS: dict[tuple[int, int, int], Pair] = {}
