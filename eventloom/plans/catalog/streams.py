@@ -9,6 +9,8 @@ from ...schema import as_events
 from ...session import shared_dir
 from ...sources.config import read_event_defs
 from ...sources.kafka import read_file_logs
+from ...streaming.batch_log import with_late_rows
+from ...streaming.size_or_time import batch_by_size_or_time
 from ...streaming.stream import Sinks, batch_by_source_stream, run_stream, split_errors, with_reload, reload_result, write_batch_folder
 from ..flow import Config, parse_messages
 from .. import views as V
@@ -162,3 +164,54 @@ def stream_source_batches(spark, sf):
     return spark.read.parquet(f"{root}/out").select(
         "source_ip", "source_port", stamp("slot").alias("slot"), F.col("batch_no").cast("bigint").alias("batch_no"),
         F.array_join("payloads", ",").alias("payloads"))
+
+
+@query("stream_size_or_time", "with recursive " + with_views("packets")[len("with "):] + """, item as (
+  select source_ip, source_port, event_id, row_number() over own as rn,
+    count(*) over (own range between unbounded preceding and interval '5 days 23 hours 59 minutes 59.999999 seconds' following) as inside,
+    count(*) over (partition by source_ip, source_port) as n from packets window own as (partition by source_ip, source_port order by ts)),
+numbered as (select source_ip, source_port, event_id, inside, n,
+    row_number() over (partition by source_ip, source_port order by rn, event_id) as rn from item),
+step as (select *, least(rn + 4, inside + 1) as following from numbered),
+batch as (
+  select source_ip, source_port, rn, following, 0 as batch_no from step where rn = 1
+  union all
+  select s.source_ip, s.source_port, s.rn, s.following, b.batch_no + 1 from batch b join step s
+    on s.source_ip = b.source_ip and s.source_port = b.source_port and s.rn = b.following)
+select b.source_ip, b.source_port, b.batch_no, case when b.following - b.rn = 4 then 'size' else 'time' end as reason,
+  string_agg(cast(s.event_id as varchar), ',' order by s.rn) as payloads
+from batch b join step s on s.source_ip = b.source_ip and s.source_port = b.source_port and s.rn >= b.rn and s.rn < b.following
+group by all""")
+def stream_size_or_time(spark, sf):
+    """Batches of four packets, or of six days from their first; a packet of a far later time ends them all."""
+    root = shared_dir(spark, "size-or-time")
+    packets = V.packets(spark, sf)
+    last = packets.limit(1).withColumn("ts", F.lit("2100-01-01").cast("timestamp"))
+    packets.union(last).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(packets.schema).parquet(f"{root}/in")
+    batches = batch_by_size_or_time(stream, 4, 6 * 86400, "0 seconds", "event_id", "event_id", shards=1)
+    run = batches.writeStream.outputMode("append").foreachBatch(
+        lambda df, batch_id: write_batch_folder(df, f"{root}/out", batch_id)
+    ).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(
+        "source_ip", "source_port", "batch_no", "reason", F.array_join("payloads", ",").alias("payloads"))
+
+
+@query("stream_late_rows", """
+with mark as (select max(ts) filter (where event_id % 3 = 0) - interval '10 days' as first_mark,
+  max(ts) filter (where event_id % 3 <> 2) - interval '10 days' as second_mark from events)
+select event_id, case when event_id % 3 = 1 and ts < first_mark or event_id % 3 = 2 and ts < second_mark then 'late' end as reject_reason
+from events, mark""")
+def stream_late_rows(spark, sf):
+    """Three batches over the same days: rows ten days behind what came before go to the error channel."""
+    root = shared_dir(spark, "late")
+    events = V.table(spark, sf, "events").select("event_id", "ts")
+    step = with_late_rows(lambda df, batch_id: write_batch_folder(df, f"{root}/good", batch_id), "ts", 10 * 86400, f"{root}/late", f"{root}/log")
+    for turn in range(3):
+        events.filter(F.col("event_id") % 3 == turn).coalesce(1).write.parquet(f"{root}/in/part={turn}")
+        run = spark.readStream.schema(events.schema).parquet(f"{root}/in/*").writeStream.foreachBatch(step).option(
+            "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        run.awaitTermination()
+    good = spark.read.parquet(f"{root}/good").select("event_id", F.lit(None).cast("string").alias("reject_reason"))
+    return good.union(spark.read.parquet(f"{root}/late").select("event_id", "reject_reason"))

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.operators.events import is_reload
@@ -6,6 +9,8 @@ from eventloom.plans.flow import build_events, parse_messages
 from eventloom.plans import views as V
 from eventloom.session import shared_dir
 from eventloom.sources.envelopes import read_envelopes
+from eventloom.streaming.batch_log import with_late_rows, with_versions
+from eventloom.streaming.size_or_time import batch_by_size_or_time
 from eventloom.streaming.stream import batch_by_source_stream, reload_result, split_errors, with_reload, write_batch_folder
 
 
@@ -64,3 +69,100 @@ def test_flow_in_batch(spark, sf):
     rows = events.filter("uei = 'uei.example.org/view'").select("severity", "descr", "nodeid", "interface").collect()
     assert rows and {(r.severity, r.descr) for r in rows} == {("Warning", "100 sure %")}
     assert bad.count() > 0
+
+
+def _plain_batches(items, size, seconds, mark):
+    """(payloads, reason) of one source's (second, place) items that leave up to ``mark``."""
+    out, held = [], []
+    for at, place in sorted(x for x in items if x[0] <= mark):
+        if held and at >= held[0][0] + seconds:
+            out.append(([str(p) for _, p in held], "time"))
+            held = []
+        held.append((at, place))
+        if len(held) == size:
+            out.append(([str(p) for _, p in held], "size"))
+            held = []
+    if held and held[0][0] + seconds <= mark:
+        out.append(([str(p) for _, p in held], "time"))
+    return out
+
+
+def test_size_or_time_over_restarts(spark):
+    """Items out of order inside the watermark, three runs over one checkpoint: each item is in one batch."""
+    root = shared_dir(spark, "test-size-or-time")
+    rng = random.Random(11)
+    items = [(f"s{k % 3}", int(10 * k + rng.randint(-40, 40)), k) for k in range(120)] + [("end", 2000, 999)]
+    for turn in range(3):
+        part = items[turn * 40:(turn + 1) * 40 + (turn == 2)]
+        spark.createDataFrame(part, "source string, s long, no long").withColumn("ts", F.timestamp_seconds("s")).coalesce(1).write.parquet(f"{root}/in/part={turn}")
+        stream = spark.readStream.schema("source string, s long, no long, ts timestamp").parquet(f"{root}/in/*")
+        out = batch_by_size_or_time(stream, 4, 60, "100 seconds", "no", "no", keys=("source",), shards=1)
+        run = out.writeStream.outputMode("append").foreachBatch(
+            lambda df, i: write_batch_folder(df, f"{root}/out", i)).option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start()
+        run.awaitTermination()
+    rows = sorted(spark.read.parquet(f"{root}/out").collect(), key=lambda r: (r.source, r.batch_no))
+    for source in ("s0", "s1", "s2"):
+        mine = [r for r in rows if r.source == source]
+        want = _plain_batches([(s, k) for x, s, k in items if x == source], 4, 60, 1900)
+        assert [(r.payloads, r.reason) for r in mine] == want
+        assert [r.batch_no for r in mine] == list(range(len(want)))
+    assert {r.reason for r in rows} == {"size", "time"}
+
+
+def test_late_rows_and_a_repeated_batch(spark):
+    root = shared_dir(spark, "test-late")
+    seen = {}
+
+    def keep(df, batch_id):
+        seen[batch_id] = sorted(r.s for r in df.filter("s is not null").collect()), df.filter("s is null").count()
+        if len(seen) == 2 and not fails:
+            fails.append(1)
+            raise RuntimeError("lost")
+
+    fails = []
+    step = with_late_rows(keep, "ts", 10, f"{root}/late", f"{root}/log")
+
+    def batch(*seconds):
+        return spark.createDataFrame([(s,) for s in seconds], "s int").withColumn("ts", F.timestamp_seconds("s"))
+
+    step(batch(100, 50, None), 0)
+    with pytest.raises(RuntimeError):
+        step(batch(89, 90, 300), 1)
+    step(batch(89, 90, 300), 1)
+    step(batch(200, 290, None), 2)
+    assert seen == {0: ([50, 100], 1), 1: ([90, 300], 0), 2: ([290], 1)}
+    late = {(r.batch_id, r.s, r.reject_reason) for r in spark.read.parquet(f"{root}/late").collect()}
+    assert late == {(1, 89, "late"), (2, 200, "late")}
+
+
+def test_version_in_force_survives_a_restart(spark):
+    """A batch killed behind a reload, then a new process: it works on the version it first had."""
+    root = shared_dir(spark, "test-versions")
+    used, emitted, files = [], [], {"now": "v1", "bad": {"v3"}}
+
+    def read(version):
+        if version in files["bad"]:
+            raise RuntimeError(f"no {version}")
+        return version
+
+    def start(fail_on=None):
+        def batch(df, batch_id, state):
+            used.append((batch_id, state))
+            if batch_id == fail_on:
+                raise RuntimeError("killed")
+            return df
+
+        return with_versions(batch, lambda: files["now"], read, is_reload("r", "changed", "d"),
+                             lambda reason, i, s: emitted.append((i, reason)), f"{root}/log")
+
+    step = start()
+    step(_events(spark, "other"), 0)
+    files["now"] = "v2"
+    step(_events(spark, "changed"), 1)
+    files["now"] = "v3"
+    with pytest.raises(RuntimeError):
+        start(fail_on=2)(_events(spark, "changed"), 2)
+    start()(_events(spark, "changed"), 2)
+    start()(_events(spark, "other"), 3)
+    assert used == [(0, "v1"), (1, "v1"), (2, "v2"), (2, "v2"), (3, "v2")]
+    assert emitted == [(1, None), (2, "no v3")]
