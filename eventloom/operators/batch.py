@@ -16,31 +16,65 @@ def time_slice(ts: str, seconds: float) -> Column:
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(width)))
 
 
+def _same(names: list[str], suffix: str) -> Column:
+    same = F.lit(True)
+    for k in names:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}{suffix}"))
+    return same
+
+
+def _at_most(bounds: Column, value: Column, bits: int = 24) -> Column:
+    """How many of the sorted ``bounds`` are not above ``value``, by halving."""
+    steps = F.transform(F.sequence(F.lit(bits - 1), F.lit(0)), lambda k: F.pow(F.lit(2), k).cast("int"))
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(
+        (low + step <= F.size(bounds)) & (F.get(bounds, low + step - 1) <= value), low + step).otherwise(low))
+
+
+def _sub_slices(sliced: DataFrame, keys: list[str], ts: str, order: list[str], counts: DataFrame, slice_rows: int) -> DataFrame:
+    """Add ``_sub``: slices of more than ``slice_rows`` rows are cut at bounds in (ts, order).
+
+    The bounds are every 16th of a sample by hash that holds about 16 rows per part, so that a run
+    repeats them. Only such slices are sampled; the others are part 0.
+    """
+    by, place = [*keys, "_slice"], F.struct(ts, *order)
+    hot = counts.filter(F.col("_n") > slice_rows).select(*[F.col(k).alias(f"{k}_h") for k in by])
+    sampled = sliced.filter(F.pmod(F.xxhash64(ts, *order), F.lit(max(1, slice_rows // 16))) == 0)
+    bounds = sampled.join(hot, _same(by, "_h"), "left_semi").groupBy(*by).agg(F.array_sort(F.collect_list(place)).alias("_all")).select(
+        *[F.col(k).alias(f"{k}_b") for k in by], F.filter("_all", lambda x, i: i % 16 == 15).alias("_bounds"))
+    joined = sliced.join(bounds, _same(by, "_b"), "left")
+    sub = F.when(F.col("_bounds").isNotNull(), _at_most(F.col("_bounds"), place)).otherwise(0)
+    return joined.withColumn("_sub", sub).drop("_bounds", *[f"{k}_b" for k in by])
+
+
+def _offsets(counts: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
+    """Per part of a key, the rows of all parts before it (``_before``); names get ``_o`` behind them."""
+    before = Window.partitionBy(*keys).orderBy(*[F.col(p).asc_nulls_first() for p in parts]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return offsets.withColumnsRenamed({k: f"{k}_o" for k in [*keys, *parts]})
+
+
 def number_rows(
-    df: DataFrame, keys: list[str], ts: str, order: list[str], slice_seconds: float = 3600, out: str = "rn"
+    df: DataFrame, keys: list[str], ts: str, order: list[str], slice_seconds: float = 3600, out: str = "rn", slice_rows: int = 1_000_000,
 ) -> DataFrame:
     """Exact row number per key by (ts, order), nulls first, without gathering a key.
 
-    Rows are numbered inside (key, time slice); the counts of earlier slices are added.
+    Rows are numbered inside (key, time slice); the counts of earlier slices are added. A slice of more
+    than ``slice_rows`` rows, such as a source with all its rows in one second, is cut into parts of
+    about that size, each numbered by a task of its own.
     """
     sliced = df.withColumn("_slice", time_slice(ts, slice_seconds))
     counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(F.col("_slice").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    offsets = offsets.withColumnsRenamed({k: f"{k}_o" for k in [*keys, "_slice"]})
-    same = F.lit(True)
-    for k in [*keys, "_slice"]:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}_o"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(
+    cut = _sub_slices(sliced, keys, ts, order, counts, slice_rows)
+    parts = ["_slice", "_sub"]
+    offsets = _offsets(cut.groupBy(*keys, *parts).agg(F.count(F.lit(1)).alias("_n")), keys, parts)
+    inside = Window.partitionBy(*keys, *parts).orderBy(
         F.col(ts).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]
     )
-    numbered = sliced.withColumn("_in_slice", F.row_number().over(inside))
+    numbered = cut.withColumn("_in_slice", F.row_number().over(inside))
     return (
-        numbered.join(offsets, same)
+        numbered.join(offsets, _same([*keys, *parts], "_o"))
         .withColumn(out, F.col("_in_slice") + F.col("_before"))
-        .drop("_slice", "_in_slice", "_before", *[f"{k}_o" for k in [*keys, "_slice"]])
+        .drop(*parts, "_in_slice", "_before", *[f"{k}_o" for k in [*keys, *parts]])
     )
 
 
@@ -79,12 +113,23 @@ def cap_per_connection(
 ) -> DataFrame:
     """The first ``n`` records of every connection; -1 keeps all.
 
-    Records are numbered slice by slice, so no connection is ranked in one task.
+    Each task keeps the first ``n`` of a (connection, slice) before anything is shuffled, so that a busy
+    connection sends few rows; slices behind the ``n``-th record send none further.
     """
     if n < 0:
         return df
-    numbered = number_rows(df, list(connection), ts, list(order), slice_seconds)
-    return numbered.filter(F.col("rn") <= n).drop("rn")
+    keys = list(connection)
+    sliced = df.withColumn("_slice", time_slice(ts, slice_seconds))
+    counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = _offsets(counts, keys, ["_slice"]).filter(F.col("_before") < n)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(
+        F.col(ts).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order])
+    first = sliced.withColumn("_in_slice", F.row_number().over(inside)).filter(F.col("_in_slice") <= n)
+    return (
+        first.join(offsets, _same([*keys, "_slice"], "_o"))
+        .filter(F.col("_in_slice") + F.col("_before") <= n)
+        .drop("_slice", "_in_slice", "_before", *[f"{k}_o" for k in [*keys, "_slice"]])
+    )
 
 
 def receipts(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ...functions.columns import PARM_TYPE, parm
 from ...functions.fixed import EVENT_COLUMNS
 from ...operators.batch import (
-    batch_by_source, cap_per_connection, ingest_metrics, receipts, sort_events,
+    batch_by_source, cap_per_connection, ingest_metrics, number_rows, receipts, sort_events,
 )
 from ...operators.events import log_flags, serialize_list, serialize_parms, to_event_rows
 from ...operators.route import effective_subscriptions, has_listener, route
@@ -166,6 +166,17 @@ def source_batches_timed(spark, sf):
         "source_ip", "source_port", stamp("slot").alias("slot"), "batch_no", "items")
 
 
+@query("hot_source_batches", """
+select batch_no, count(*) as items, min(event_id) as first_id, max(event_id) as last_id
+from (select event_id, (row_number() over (order by event_id) - 1) // 5 as batch_no from events) group by 1""")
+def hot_source_batches(spark, sf):
+    """One source with all packets at the same time: numbered in parts of about a thousand rows."""
+    packets = V.packets(spark, sf).withColumns({"source_ip": F.lit("hot"), "ts": F.lit(REF_TEXT).cast("timestamp")})
+    numbered = number_rows(packets, ["source_ip"], "ts", ["event_id"], slice_rows=1000)
+    return numbered.groupBy(F.floor((F.col("rn") - 1) / 5).alias("batch_no")).agg(
+        F.count(F.lit(1)).alias("items"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+
+
 @query("event_sort", """
 select event_id, user_id as log_id, row_number() over (order by user_id,
   case when event_id % 5 = 0 then null else ts end nulls first, event_id) as place from events""")

@@ -249,3 +249,21 @@ def test_hide_can_replace(spark):
     rows = mark_hidden(df, [("regex", "[Ss]ecret"), ("regex", "(")], apply="message").collect()
     assert [r.hidden for r in rows] == [True, False]
     assert "secret" not in rows[0].message and rows[1].message == "fine"
+
+
+def test_numbers_of_a_hot_slice(spark):
+    """All rows of a key at one time, with nulls and ties in the order, in many parts; other keys beside it."""
+    rows = [("hot", None if k % 50 == 0 else k // 2, k) for k in range(3000)] + [("cold", 5, 1), (None, 1, 1), (None, 2, 2)]
+    df = spark.createDataFrame(rows, "key string, place int, tie int").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    got = {(r.key, r.place, r.tie): r.rn for r in number_rows(df, ["key"], "ts", ["place", "tie"], slice_rows=64).collect()}
+    hot = sorted((r for r in rows if r[0] == "hot"), key=lambda r: (-1 if r[1] is None else r[1], r[2]))
+    assert [got[r] for r in hot] == list(range(1, 3001))
+    assert (got["cold", 5, 1], got[None, 1, 1], got[None, 2, 2]) == (1, 1, 2)
+
+
+def test_cap_over_slices(spark):
+    rows = [("a", 3600 * (k // 2), k) for k in range(9)] + [(None, None, k) for k in range(4)]
+    df = spark.createDataFrame(rows, "connection string, s int, seq int").withColumn("ts", F.timestamp_seconds("s"))
+    assert sorted(r.seq for r in cap_per_connection(df, 3).filter("connection = 'a'").collect()) == [0, 1, 2]
+    assert sorted(r.seq for r in cap_per_connection(df, 3).filter("connection is null").collect()) == [0, 1, 2]
+    assert cap_per_connection(df, 0).count() == 0 and cap_per_connection(df, -1).count() == 13
