@@ -10,7 +10,8 @@ from ...operators.extract import extract_fields, to_messages
 from ...operators.formats import full_text, parse_lines, register_format
 from ...operators.rules import split_rejects
 from ...sources.envelopes import read_envelopes
-from ...sources.event_logs import read_documents
+from ...session import shared_dir
+from ...sources.event_logs import read_documents, read_event_logs
 from .. import views as V
 from .registry import (
     AMOUNT, BODY, BSD, CODE, DAY, HOST, ISO, PID, PROC, REF_TEXT, STAMP, facility_sql, ip_sql, query,
@@ -403,3 +404,20 @@ def event_log_remainder(spark, sf):
     streams = V.table(spark, sf, "events").select("event_id", F.concat(
         F.lit("<log><events><event><uei>x</uei></event></events></log>"), tail).alias("stream"))
     return read_documents(streams, "stream", ["event_id"])[1].select("event_id", "doc")
+
+
+@query("event_log_files", f"""
+select concat('dp', event_id % 3) as header_dp, concat('u', event_id) as uuid, concat('uei.example.org/', event_type) as uei,
+  user_id as nodeid, strftime(ts, {STAMP}) as event_time, concat('did ', event_type) as content from events
+union all
+select null, null, concat('uei.example.org/again/', event_type), null, strftime(ts, {STAMP}), null from events
+union all
+select 'reject', null, null, null, null, null from events where event_id % 10 = 0""")
+def event_log_files(spark, sf):
+    """The streams of all events in files that are read split by split."""
+    path = shared_dir(spark, "event-logs")
+    log_streams(spark, sf).select("stream").write.text(path)
+    events, rejects = read_event_logs(spark, path)
+    out = events.select("header_dp", "uuid", "uei", "nodeid", stamp("time").alias("event_time"), F.col("logmsg.content").alias("content"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in out.dtypes[1:]]
+    return out.union(rejects.select(F.lit("reject").alias("header_dp"), *none))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import PARM_TYPE, empty_parms
@@ -29,7 +29,10 @@ _LONG_TIME = "EEEE, MMMM d, yyyy h:mm:ss a z"
 
 def split_documents(df: DataFrame, text: str, log_id: list[str]) -> DataFrame:
     """One row per record of a stream, with its position and parsed form."""
-    docs = df.select(*log_id, F.posexplode(F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0))).alias("doc_no", "doc"))
+    return _parsed(df.select(*log_id, F.posexplode(F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0))).alias("doc_no", "doc")))
+
+
+def _parsed(docs: DataFrame) -> DataFrame:
     plain = F.regexp_replace("doc", _TAG_PREFIX, "$1")
     log = F.from_xml(plain, F.lit(_LOG), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     return compute_once(docs, {"log": log})
@@ -51,7 +54,10 @@ def _parms(col: Column) -> Column:
 
 def read_documents(df: DataFrame, text: str, log_id: list[str]) -> tuple[DataFrame, DataFrame]:
     """(events, rejected documents) of text that holds log documents."""
-    docs = split_documents(df, text, log_id)
+    return _events_and_rejects(split_documents(df, text, log_id), log_id)
+
+
+def _events_and_rejects(docs: DataFrame, log_id: list[str]) -> tuple[DataFrame, DataFrame]:
     # Both parts come from one flagged frame; the caller may persist what it reads twice.
     bad = F.col("log").isNull() | F.col("log._corrupt_record").isNotNull() | ~F.col("doc").rlike(_CLOSED)
     rejects = docs.filter(bad).select(*log_id, "doc_no", "doc")
@@ -73,8 +79,51 @@ def read_documents(df: DataFrame, text: str, log_id: list[str]) -> tuple[DataFra
     ), rejects
 
 
+_SEPARATOR = "log>"
+
+
+def split_log_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file, doc_no, doc`` of plain files of any size, each read by as many tasks as it has splits.
+
+    Files are cut at every ``log>``, which Spark's reader finds from any offset on. A piece that ends
+    with a closing tag's beginning ends a document. Pieces have a place: their split's offset in the file
+    and their row in the split. Closing tags are counted per split, and the counts of the splits before
+    are added, so that no file is gathered; a document's pieces are joined in order of their places.
+    Junk before a document is left out; what follows the last document is one too, but for blanks.
+    """
+    pieces = spark.read.option("lineSep", _SEPARATOR).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    ends = F.col("value").rlike(r"</(?:[a-zA-Z0-9]+:)?\z")
+    split = pieces.groupBy("file", "block").agg(
+        F.sum(ends.cast("long")).alias("ended"), F.sum(F.octet_length("value") + len(_SEPARATOR)).alias("bytes"), F.max("at").alias("final"))
+    of_file = Window.partitionBy("file")
+    split = split.select(
+        "file", "block", "final",
+        F.coalesce(F.sum("ended").over(of_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.max("block").over(of_file).alias("last"), F.sum("bytes").over(of_file).alias("bytes"))
+    placed = pieces.join(split, ["file", "block"])
+    # The reader doesn't tell whether a file's last piece had a separator behind it; the file's size does.
+    cut = (F.col("block") == F.col("last")) & (F.col("at") == F.col("final")) & (F.col("bytes") != F.col("size"))
+    placed = placed.withColumn("closes", ends & ~cut).withColumn("open_end", cut)
+    inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = placed.withColumn("doc_no", F.col("before") + F.coalesce(F.sum(F.col("closes").cast("long")).over(inside), F.lit(0)))
+    docs = numbered.groupBy("file", "doc_no").agg(
+        F.array_sort(F.collect_list(F.struct("block", "at", "value"))).alias("pieces"),
+        F.max("closes").alias("closed"), F.max("open_end").alias("open_end"))
+    text = F.array_join(F.transform("pieces", lambda p: p["value"]), _SEPARATOR)
+    whole = F.when(F.col("open_end"), text).otherwise(F.concat(text, F.lit(_SEPARATOR)))
+    doc = F.when(F.col("closed"), F.regexp_extract(whole, r"(?s)<.*", 0)).otherwise(F.regexp_extract(whole, r"(?s)\S.*", 0))
+    return docs.select("file", F.col("doc_no").cast("int").alias("doc_no"), doc.alias("doc")).filter(F.col("doc") != "")
+
+
 def read_event_logs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(events, rejected documents) of files. A file is one connection's stream and one
-    task, so streams should be kept in files that fit an executor."""
+    """(events, rejected documents) of files. A file is one connection's stream; a plain one is read in
+    splits (``split_log_files``), of which a document may cross any number."""
+    return _events_and_rejects(_parsed(split_log_files(spark, path)), ["file"])
+
+
+def read_whole_event_logs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """As ``read_event_logs``, with a task per file: for compressed files, which can't be split."""
     files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     return read_documents(files, "value", ["file"])

@@ -10,7 +10,7 @@ from eventloom.schema import as_events
 from eventloom.session import shared_dir
 from eventloom.sources.config import read_event_defs, read_hide_rules, read_patterns, read_rules, read_settings, rule_list
 from eventloom.sources.envelopes import read_envelopes
-from eventloom.sources.event_logs import read_event_logs
+from eventloom.sources.event_logs import read_event_logs, split_documents, split_log_files
 from eventloom.sources.kafka import kafka_options
 from eventloom.sources.sinks import write_events
 from eventloom.plans.catalog.rules import RULE_FILE, RULES
@@ -62,11 +62,11 @@ def test_pattern_table(spark):
 
 
 def test_envelope(spark):
-    xml = ('<syslog-message-log source-address="127.0.0.1" source-port="1514" system-id="99" location="here">\n'
-           '<messages timestamp="1970-01-01T00:00:00Z">PDMxPm1haW46\nIGhpAAA=</messages></syslog-message-log>')
+    xml = ('<syslog-message-log source-address="198.51.100.23" source-port="40112" system-id="relay-b" location="Hall 3">\n'
+           '<messages timestamp="2031-05-06T07:08:09Z">PDQ2PmRpc2s6ID\ngxJSBmdWxsAAA=</messages></syslog-message-log>')
     rows = read_envelopes(spark.createDataFrame([(xml,), ("junk",)], "value string")).collect()
     assert (rows[0].source_address, rows[0].source_port, rows[0].system_id, rows[0].location, rows[0].raw) == (
-        "127.0.0.1", 1514, "99", "here", "<31>main: hi")
+        "198.51.100.23", 40112, "relay-b", "Hall 3", "<46>disk: 81% full")
     assert rows[1].raw is None
 
 
@@ -80,6 +80,26 @@ def test_event_log_file(spark):
     assert rejects.count() == 1
 
 
+@pytest.mark.parametrize("size", [7, 40, 64, 1000])
+@pytest.mark.parametrize("tail", ["", "\n  ", " left <log> over", "</", "</log"])
+def test_event_log_file_in_splits(spark, size, tail):
+    """Documents across any number of splits, with closing tags on their borders, as from the whole file."""
+    docs = ['<log><events><event><uei>é"log>"&lt;/log&gt;</uei></event></events></log>', "junk </catalog> <log></log>",
+            '<n:log xmlns:n="urn:x"><n:events><n:event><n:uei>b</n:uei></n:event></n:events></n:log>', "<log>&broken</log>", " <x></log>"]
+    path = put("split.txt", "\n".join(docs * 4) + tail)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    want = sorted(tuple(r) for r in split_documents(
+        spark.read.text(path, wholetext=True), "value", []).select("doc_no", "doc").collect())
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = sorted((r.doc_no, r.doc) for r in split_log_files(spark, path).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert got == want
+
+
 def test_writer_contract(spark):
     """Nothing to store writes nothing; one or two events are one write."""
     def events(*dests):
