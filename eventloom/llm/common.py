@@ -62,6 +62,23 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """Add a long that tells documents apart: ``doc_id`` where it stands for one text, else a hash of id and text.
+
+    The hash is for null ids, and for all but one text of an id that has several. It is above 2 ** 62, so
+    that such rows come after the others. Rows with the same id and text get one key. Ids that have
+    several texts are found by an aggregation and joined as a table, which is small or else shuffled.
+    """
+    doc_id, text = F.col("doc_id").cast("long"), F.xxhash64("text")
+    odd = docs.filter("doc_id is not null").groupBy(doc_id.alias("_odd")).agg(F.min(text).alias("_low"), F.max(text).alias("_high"))
+    odd = odd.filter("_low <> _high").drop("_high")
+    odd_id, low = fresh(docs, "_odd", "_low")
+    odd = odd.select(F.col("_odd").alias(odd_id), F.col("_low").alias(low))
+    own = doc_id.isNotNull() & (F.col(low).isNull() | (F.col(low) == text))
+    hashed = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return docs.join(odd, doc_id == F.col(odd_id), "left").withColumn(name, F.when(own, doc_id).otherwise(hashed)).drop(odd_id, low)
+
+
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """Partitions so that each gets about ``per_part`` rows, and no fewer than the session's own number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))

@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, fresh, joined, mix, owners, roots, runs, span_hashes, text_slices, tiled, word_spans, written
+from .common import (
+    components, fresh, joined, mix, owners, roots, runs, span_hashes, text_slices, tiled, with_row_key, word_spans, written,
+)
 
 
 @dataclass(frozen=True)
@@ -279,8 +281,9 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
     inside which sets are compared in tiles of two blocks: no link that would join two
     components is missed, and no pair is a row.
 
-    A null text, or one without words, links with nothing. Repeated rows of one ``doc_id`` (also
-    null ones) get one answer; they are taken to be the same text. Other columns are not read.
+    A null text, or one without words, links with nothing; nor does a row with a null id, whose
+    component is null unless another document has its words. Repeated rows of one ``doc_id`` are
+    taken to be the same text. Other columns are not read. ``near_filter`` tells all rows apart.
     """
     signed_docs = written(signed(docs, rules), "near-signed")
     filled = signed_docs.filter("n_shingles > 0 and doc_id is not null")
@@ -325,8 +328,12 @@ def near_components(docs: DataFrame, rules: NearRules = NearRules()) -> DataFram
 
 
 def near_filter(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:  # noqa: B008
-    """One document of each group, the one with the smallest id, with its own columns; repeated rows go too."""
-    (name,) = fresh(docs, "_keep")
-    kept = near_components(docs, rules).filter("kept").select(F.col("doc_id").alias(name)).distinct()
-    once = docs.dropDuplicates(["doc_id"])
-    return once.join(kept, once.doc_id.eqNullSafe(kept[name]), "left_semi")
+    """One document of each group, the one with the smallest id, with its own columns; repeated rows go too.
+
+    Rows with a null id, and different texts of one id, are documents of their own (``with_row_key``).
+    """
+    row, keep = fresh(docs, "_row", "_keep")
+    keyed = with_row_key(docs, row)
+    kept = near_components(keyed.select(F.col(row).alias("doc_id"), "text"), rules).filter("kept").select(F.col("doc_id").alias(keep)).distinct()
+    once = keyed.dropDuplicates([row])
+    return once.join(kept, once[row] == kept[keep], "left_semi").drop(row)

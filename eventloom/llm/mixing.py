@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import compute_once
-from .common import fresh, parts_for, written
+from .common import fresh, parts_for, with_row_key, written
 
 #: What counts as a token: a run of anything but space and 0x09-0x0D.
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -195,18 +195,20 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
 
     A pass that takes the whole document keeps its text; another has the taken words, in
     order and joined by one space. ``n_chars`` follows the text where ``docs`` has it. Documents
-    without a taken word are not in the mix. Rows that share a ``doc_id`` must be the same text.
+    without a taken word are not in the mix. Rows with a null id, and different texts of one id, are
+    documents of their own (``with_row_key``).
     """
     names = docs.columns
-    mix = plan_mix(docs, rules)
-    doc, nth, begin, size, n, pieces = fresh(docs, "_doc", "_pass", "_begin", "_size", "_n", "_runs")
+    row, doc, nth, begin, size, n, pieces = fresh(docs, "_row", "_doc", "_pass", "_begin", "_size", "_n", "_runs")
+    keyed = with_row_key(docs, row)
+    mix = plan_mix(keyed.select(F.col(row).alias("doc_id"), "text", "source"), rules)
     runs = (mix.slots.select("source_no", "block", "pass").hint("merge").join(mix.pieces, ["source_no", "block"])
             .groupBy(F.col("doc_id").alias(doc), F.col("pass").alias(nth), F.col("begin").alias(begin), F.col("size").alias(size))
             .agg(F.sum(F.col("to_word") - F.col("from_word")).alias(n),
                  F.sort_array(F.collect_list(F.struct(F.col("from_word").cast("int").alias("at"),
                                                       F.col("to_word").cast("int").alias("to")))).alias(pieces)))
-    once = docs.dropDuplicates(["doc_id"])
-    out = once.join(runs.hint("merge"), once.doc_id.eqNullSafe(runs[doc]))
+    once = keyed.dropDuplicates([row])
+    out = once.join(runs.hint("merge"), once[row] == runs[doc])
     words = F.filter(F.split("text", _GAP), lambda w: w != "")
     some = F.array_join(F.flatten(F.transform(pieces, lambda r: F.slice(words, r["at"] + 1, r["to"] - r["at"]))), " ")
     text = F.when(F.col(n) == F.col(size), F.col("text")).otherwise(some)

@@ -6,7 +6,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from eventloom.llm import line_dedup, minhash, quality
+from eventloom.llm import line_dedup, minhash, mixing, quality
 from eventloom.llm.line_dedup import CuckooFilter
 
 from . import brute
@@ -171,3 +171,16 @@ def test_odd_rows(spark, odd):
         assert made.count() == 0
     sha = hashlib.sha256(b"").hexdigest()
     assert line_dedup.dedup_lines(odd).filter("doc_id = 1").select(F.sha2(F.coalesce("kept_text", F.lit("")), 256)).first()[0] == sha
+
+
+def test_null_and_repeated_ids_lose_no_document(spark):
+    """Five texts without an id and one id with two texts: each stays, but for the copy of another document."""
+    words = [" ".join(f"w{k}x{j}" for j in range(60)) for k in range(8)]
+    rows = [(1, words[0]), (None, words[0]), *[(None, w) for w in words[1:5]], (7, words[5]), (7, words[6]), (9, words[7]), (9, words[7]), (None, words[4])]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = minhash.near_filter(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id or 0), r.text) for r in kept.collect()) == sorted(
+        [(1, words[0]), *[(0, w) for w in words[1:5]], (7, words[5]), (7, words[6]), (9, words[7])])
+    mixed = mixing.mixed_documents(kept).select("doc_id", "text").distinct().collect()
+    assert {(r.doc_id, r.text) for r in mixed if r.text in words} == {(r.doc_id, r.text) for r in kept.collect()}
