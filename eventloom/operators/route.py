@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -72,6 +72,63 @@ def effective_subscriptions(changes: DataFrame) -> DataFrame:
     return specific.union(everything)
 
 
+def subscription_intervals(changes: DataFrame) -> DataFrame:
+    """(listener, uei, start, stop): from which change to which a subscription is in force; a null ``stop`` is open.
+
+    ``changes`` is as for ``effective_subscriptions``. A change holds from its own ``seq`` on. A name
+    added again begins a further interval, so that those of a listener and name never overlap.
+    """
+    listed = changes.filter(~((F.col("op") == "add") & (F.size(F.coalesce("ueis", F.array())) == 0)))
+    later = Window.partitionBy("listener").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+    seen = listed.withColumns({
+        "cleared": F.min(F.when(F.col("op").isin("add_all", "remove_all"), F.col("seq"))).over(later),
+        "named": F.min(F.when(F.col("op") != "remove", F.col("seq"))).over(later),
+    })
+    each = seen.filter(F.col("op").isin("add", "remove")).select(
+        "seq", "listener", "op", "cleared", F.explode(F.array_distinct("ueis")).alias("uei"))
+    following = F.lead("seq").over(Window.partitionBy("listener", "uei").orderBy("seq"))
+    specific = each.withColumn("next", following).filter(F.col("op") == "add").select(
+        "listener", "uei", F.col("seq").alias("start"), F.least("next", "cleared").alias("stop"))
+    everything = seen.filter(F.col("op") == "add_all").select(
+        "listener", F.lit(None).cast("string").alias("uei"), F.col("seq").alias("start"), F.col("named").alias("stop"))
+    return specific.union(everything)
+
+
+def route_as_of(
+    df: DataFrame, intervals: DataFrame, width: int, uei: str = "uei", seq: str = "seq",
+) -> DataFrame:
+    """One row per (event, listener): the listeners whose subscription was in force at the event's ``seq``.
+
+    Time is cut into slots of ``width``; an interval is listed in each slot it touches up to the last
+    event's. Lists are made once per (name, slot), so that events are joined on both and never multiplied
+    by a key's whole history. Those who take all events are listed per slot, apart from the names. The first and last slot are looked up at once. Events
+    without a ``seq`` go to nobody.
+    """
+    slot = F.floor(F.col(seq) / width)
+    low, high = df.agg(F.min(slot), F.max(slot)).first()
+    low, high = F.lit(low).cast("bigint"), F.lit(high).cast("bigint")
+    events = df.withColumn("_slot", slot)
+    first, final = F.greatest(F.floor(F.col("start") / width), low), F.least(F.coalesce(F.floor(F.col("stop") / width), high), high)
+    listed = (
+        intervals.filter((first <= final) & low.isNotNull())
+        .select("uei", F.struct("listener", "start", "stop").alias("_one"), F.explode(F.sequence(first, final)).alias("_slot"))
+    )
+    named = listed.filter(F.col("uei").isNotNull()).select(F.concat(F.lit("="), "uei").alias("_key"), "_slot", "_one")
+    names = events.select(F.col(uei).alias("_name"), "_slot").filter("_slot is not null").distinct()
+    keys = names.withColumn("_key", F.explode(F.filter(name_keys(F.col("_name")), lambda k: k != "*")))
+    of_name = keys.join(named, ["_key", "_slot"]).groupBy("_name", "_slot").agg(F.collect_set("_one").alias("_named"))
+    of_all = listed.filter(F.col("uei").isNull()).groupBy("_slot").agg(F.collect_set("_one").alias("_every"))
+    joined = (
+        events.join(of_name.withColumnRenamed("_slot", "_of"), (F.col(uei) == F.col("_name")) & (F.col("_slot") == F.col("_of")), "left").drop("_of", "_name")
+        .join(of_all, "_slot", "left")
+    )
+    none = F.array().cast("array<struct<listener:string,start:bigint,stop:bigint>>")
+    candidates = F.concat(*[F.coalesce(F.col(c).cast("array<struct<listener:string,start:bigint,stop:bigint>>"), none) for c in ("_named", "_every")])
+    inside = F.filter(candidates, lambda i: (i["start"] <= F.col(seq)) & (i["stop"].isNull() | (F.col(seq) < i["stop"])))
+    listeners = F.array_distinct(F.transform(inside, lambda i: i["listener"]))
+    return joined.withColumn("listener", F.explode(listeners)).drop("_slot", "_named", "_every")
+
+
 def has_listener(subscriptions: DataFrame) -> DataFrame:
     """(uei, has_listener) for every name that someone asks for by name."""
     return subscriptions.filter(F.col("uei").isNotNull()).groupBy("uei").agg(

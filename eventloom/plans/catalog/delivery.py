@@ -8,7 +8,7 @@ from ...operators.batch import (
     batch_by_source, cap_per_connection, ingest_metrics, number_rows, receipts, sort_events,
 )
 from ...operators.events import log_flags, serialize_list, serialize_parms, to_event_rows
-from ...operators.route import effective_subscriptions, has_listener, route
+from ...operators.route import effective_subscriptions, has_listener, route, route_as_of, subscription_intervals
 from ...schema import as_events
 from ...session import shared_dir
 from ...sources.sinks import write_events
@@ -71,6 +71,26 @@ def subscription_state(spark, sf):
     return effective_subscriptions(subscription_changes(spark, sf))
 
 
+@query("routing_as_of", """
+with ch as (select event_id as seq, cast(user_id % 40 as varchar) as listener, event_type as kind,
+  case event_type when 'click' then ['u' || event_id % 4, 'u' || event_id % 3] when 'view' then ['u' || event_id % 4] end as ueis
+  from events where event_type <> 'purchase'),
+each as (select distinct seq, listener, kind, unnest(ueis) as uei from ch where kind in ('click', 'view')),
+named as (select a.listener, a.uei, a.seq as start,
+  least((select min(b.seq) from each b where b.listener = a.listener and b.uei = a.uei and b.seq > a.seq),
+        (select min(c.seq) from ch c where c.listener = a.listener and c.kind in ('signup', 'error') and c.seq > a.seq)) as stop
+  from each a where a.kind = 'click'),
+every as (select a.listener, a.seq as start,
+  (select min(c.seq) from ch c where c.listener = a.listener and c.kind <> 'view' and c.seq > a.seq) as stop from ch a where a.kind = 'signup')
+select event_id, listener from events e join named i on i.uei = 'u' || e.event_id % 5 and i.start <= e.event_id and (i.stop is null or e.event_id < i.stop)
+union
+select event_id, listener from events e join every i on i.start <= e.event_id and (i.stop is null or e.event_id < i.stop)""")
+def routing_as_of(spark, sf):
+    """Each event goes to those who were subscribed when it came, while the same events change the subscriptions."""
+    events = V.table(spark, sf, "events").select("event_id", F.concat(F.lit("u"), (F.col("event_id") % 5).cast("string")).alias("uei"))
+    return route_as_of(events, subscription_intervals(subscription_changes(spark, sf)), 256, seq="event_id").select("event_id", "listener")
+
+
 @query("listener_summary", """
 select uei, true as has_listener from (select distinct concat('uei.example.org/', event_type) as uei from events)""")
 def listener_summary(spark, sf):

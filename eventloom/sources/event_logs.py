@@ -24,7 +24,8 @@ _EVENT = (
     "value:struct<_type:string,_encoding:string,_expand:boolean,_VALUE:string>>>>>"
 )
 _LOG = f"header struct<dpName:string>, events struct<event:array<{_EVENT}>>, _corrupt_record string"
-_LONG_TIME = "EEEE, MMMM d, yyyy h:mm:ss a z"
+_LONG_TIME = "MMMM d, yyyy h:mm:ss a z"
+_WEEKDAY = r"^\s*[A-Za-z]+,\s*"
 
 
 def split_documents(df: DataFrame, text: str, log_id: list[str]) -> DataFrame:
@@ -39,7 +40,9 @@ def _parsed(docs: DataFrame) -> DataFrame:
 
 
 def _time(col: Column) -> Column:
-    return F.coalesce(parse_iso_time(col), F.try_to_timestamp(F.regexp_replace(col, r"\s+", " "), F.lit(_LONG_TIME)))
+    # Spark reads no weekday, which says nothing that the date doesn't.
+    plain = F.regexp_replace(F.regexp_replace(col, _WEEKDAY, ""), r"\s+", " ")
+    return F.coalesce(parse_iso_time(col), F.try_to_timestamp(plain, F.lit(_LONG_TIME)))
 
 
 def _parms(col: Column) -> Column:

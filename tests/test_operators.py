@@ -13,7 +13,7 @@ from eventloom.operators.expand import expand_event, fill_from_definition
 from eventloom.operators.formats import parse_lines
 from eventloom.operators.joins import compute_once, lookup_join
 from eventloom.operators.lookup import match_masks
-from eventloom.operators.route import effective_subscriptions, name_keys, route
+from eventloom.operators.route import effective_subscriptions, name_keys, route, route_as_of, subscription_intervals
 from eventloom.operators.rules import Rule, mark_hidden, match_rules
 from eventloom.plans.catalog.expansion import defined_events
 from eventloom.schema import as_events
@@ -267,3 +267,20 @@ def test_cap_over_slices(spark):
     assert sorted(r.seq for r in cap_per_connection(df, 3).filter("connection = 'a'").collect()) == [0, 1, 2]
     assert sorted(r.seq for r in cap_per_connection(df, 3).filter("connection is null").collect()) == [0, 1, 2]
     assert cap_per_connection(df, 0).count() == 0 and cap_per_connection(df, -1).count() == 13
+
+
+def test_routing_as_of(spark):
+    """Directories, names added again, everything switched on and off, and events at the changes themselves."""
+    changes = spark.createDataFrame([
+        (1, "a", "add", ["x/"]), (3, "a", "add", ["x/"]), (5, "a", "remove", ["x/"]), (7, "a", "add_all", None), (9, "a", "add", ["y"]),
+        (2, "b", "add_all", None), (4, "b", "add", []), (6, "b", "remove_all", None), (8, "b", "add", ["x/1", "x/"]),
+    ], "seq long, listener string, op string, ueis array<string>")
+    events = spark.createDataFrame([(k, u) for k in range(12) for u in ("x/1", "y", None)] + [(None, "y")], "seq long, uei string")
+    got = {}
+    for width in (2, 5, 100):
+        rows = route_as_of(events, subscription_intervals(changes), width).collect()
+        assert len({(r.seq, r.uei, r.listener) for r in rows}) == len(rows)
+        got[width] = {(r.seq, r.uei, r.listener) for r in rows}
+    want = {(k, "x/1", "a") for k in (1, 2, 3, 4, 7, 8)} | {(k, u, "a") for k in (7, 8) for u in ("y", None)} | {(k, "y", "a") for k in (9, 10, 11)}
+    want |= {(k, u, "b") for k in (2, 3, 4, 5) for u in ("x/1", "y", None)} | {(k, "x/1", "b") for k in (8, 9, 10, 11)}
+    assert got[2] == got[5] == got[100] == want

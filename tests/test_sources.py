@@ -10,7 +10,7 @@ from eventloom.schema import as_events
 from eventloom.session import shared_dir
 from eventloom.sources.config import read_event_defs, read_hide_rules, read_patterns, read_rules, read_settings, rule_list
 from eventloom.sources.envelopes import read_envelopes
-from eventloom.sources.event_logs import read_event_logs, split_documents, split_log_files
+from eventloom.sources.event_logs import read_documents, read_event_logs, split_documents, split_log_files
 from eventloom.sources.kafka import kafka_options
 from eventloom.sources.sinks import write_events
 from eventloom.plans.catalog.rules import RULE_FILE, RULES
@@ -100,6 +100,15 @@ def test_event_log_file_in_splits(spark, size, tail):
     assert got == want
 
 
+def test_event_times(spark):
+    """ISO and long times, a missing one, and one that is neither."""
+    times = ["2031-05-06T07:08:09Z", "Tuesday, May 6, 2031 7:08:09 AM UTC", None, "some day"]
+    text = "".join(f"<log><events><event><uei>u</uei>{f'<time>{t}</time>' if t else ''}</event></events></log>" for t in times)
+    events, _ = read_documents(spark.createDataFrame([(text,)], "t string"), "t", [])
+    got = [r.t for r in events.orderBy("doc_no").select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("t")).collect()]
+    assert got == ["2031-05-06 07:08:09"] * 2 + [None, None]
+
+
 def test_writer_contract(spark):
     """Nothing to store writes nothing; one or two events are one write."""
     def events(*dests):
