@@ -19,6 +19,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ class FileRules:
     check_every: int = 256
     least_lanes: int = 4
     shard_tokens: int = 4_000_000
-    words_kept: int = 500_000
+    words_kept: int = 800_000
 
 
 # --- ids of texts ------------------------------------------------------------------
@@ -58,7 +59,7 @@ class FileRules:
 
 # Between ASCII letters and anything else, and behind any letters before ASCII punctuation, a token
 # ends, but for an apostrophe; a special token has "<|".
-_ASCII_PART = re.compile(r"[a-z]+|[^a-z]+")
+_ASCII_PART = re.compile(rb"[a-z]+|[^a-z]+")
 _LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 
@@ -83,65 +84,72 @@ class WordEncoder:
                               for k in range(self.tokenizer.get_vocab_size())])
         self.kept = kept
         self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     @staticmethod
-    def _parts_of(word: bytes) -> list[str]:
-        text = word.decode()
-        if "'" in text or "<|" in text:
-            return [text]
-        if text.isascii():
-            return _ASCII_PART.findall(text.lower())
-        found = _LETTERS_THEN_MARKS.fullmatch(text)
+    def _parts_of(word: bytes) -> list[bytes]:
+        if b"'" in word or b"<|" in word:
+            return [word]
+        if word.isascii():
+            return _ASCII_PART.findall(word.lower())
+        found = _LETTERS_THEN_MARKS.fullmatch(word.decode())
         # Some letters become a letter and a mark, which would go with what follows.
-        plain = found and unicodedata.normalize("NFC", found[1]).lower().isalnum()
-        return list(found.groups()) if plain else [text]
-
-    def _learn(self, words: list[bytes]) -> None:
-        parts = {w: self._parts_of(w) for w in words}
-        new = {p for ps in parts.values() for p in ps if p not in self.parts}
-        if len(self.parts) + len(new) > self.kept:
+        if found and unicodedata.normalize("NFC", found[1]).lower().isalnum():
+            return [found[1].encode(), found[2].encode()]
+        return [word]
+
+    def _learn(self, words: set[bytes]) -> None:
+        single, several = {}, {}
+        for w in words:
+            if w.isalpha():
+                single[w] = w.lower()
+            else:
+                several[w] = self._parts_of(w)
+        used = set(single.values())
+        used.update(chain.from_iterable(several.values()))
+        if len(self.parts) + len(used) > self.kept:
             self.parts = {}
-            new = {p for ps in parts.values() for p in ps}
+        new = used.difference(self.parts)
         # Letters alone are one word of the tokenizer each: many are encoded as one text, cut at words' ends.
-        letters = [p for p in new if p.isalpha()]
+        texts = [(p, p.decode()) for p in new]
+        letters = [(p, t) for p, t in texts if t.isalpha()]
         for at in range(0, len(letters), 5_000):
             piece = letters[at:at + 5_000]
-            ids = np.array(self._ids([" ".join(piece)])[0], dtype="<u4")
+            ids = np.array(self._ids([" ".join([t for _, t in piece])])[0], dtype="<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(piece):
                 data, begin = ids.tobytes(), 0
-                for p, end in zip(piece, (4 * ends).tolist(), strict=True):
+                for (p, _), end in zip(piece, (4 * ends).tolist(), strict=True):
                     self.parts[p] = data[begin:end]
                     begin = end
-        rest = [p for p in new if p not in self.parts]
+        rest = [x for x in texts if x[0] not in self.parts]
         for at in range(0, len(rest), 5_000):
             piece = rest[at:at + 5_000]
-            for p, ids in zip(piece, self._ids(piece), strict=True):
+            for (p, _), ids in zip(piece, self._ids([t for _, t in piece]), strict=True):
                 self.parts[p] = np.array(ids, dtype="<u4").tobytes()
         if len(self.known) + len(words) > self.kept:
             self.known = {}
-        for w, ps in parts.items():
-            self.known[w] = b"".join([self.parts[p] for p in ps])
+        parts = self.parts
+        for w, p in single.items():
+            self.known[w] = parts[p]
+        for w, ps in several.items():
+            self.known[w] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers, and ``end`` after them."""
         split = [t.split() for t in texts]
-        words = [w for ws in split for w in ws]
+        words = list(chain.from_iterable(split))
         ids = list(map(self.known.get, words))
         new = [k for k, x in enumerate(ids) if x is None]
         if new:
-            self._learn(list({words[k] for k in new}))
+            self._learn({words[k] for k in new})
             for k in new:
                 ids[k] = self.known[words[k]]
-        out, at = [], 0
-        for ws in split:
-            out.append(b"".join(ids[at:at + len(ws)]) + end)
-            at += len(ws)
-        return out
+        each = iter(ids)
+        return [b"".join(islice(each, len(ws))) + end for ws in split]
 
 
 _ENCODERS: dict[tuple[int, int], WordEncoder] = {}
