@@ -71,16 +71,16 @@ def raw_mixed(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_id") % 6
     raw = (
         F.when(kind == 0, F.concat(
-            _pri(), F.date_format("ts", "MMM dd HH:mm:ss"), F.lit(" "), _host(), F.lit(" "), _process(),
-            F.lit("["), _pid(), F.lit("]: "), line_body()))
+            _pri(), _process(), F.lit("#"), _pid(), F.lit(" "), _host(), F.lit(" "), F.date_format("ts", "MMM dd HH:mm:ss"),
+            F.lit(" "), line_body()))
         .when(kind == 1, F.concat(
-            _pri(), F.lit("1 "), iso, F.lit(" "), _host(), F.lit(" "), _process(), F.lit(" "), _pid(),
-            F.lit(" ID"), _text(F.col("event_id") % 7), F.lit(" - "), line_body()))
+            _pri(), F.lit("v1 "), iso, F.lit(" "), _host(), F.lit("/"), _process(), F.lit("/"), _pid(),
+            F.lit(" ID"), _text(F.col("event_id") % 7), F.lit("={-} "), line_body()))
         .when(kind == 2, F.concat(
-            _pri(), F.lit("main: "), day, F.lit(" "), _host(), F.lit(" "), _process(), F.lit(": "), line_body()))
-        .when(kind == 3, F.concat(_pri(), F.lit(" "), day, F.lit(" "), _host(), F.lit(" "), line_body()))
+            _pri(), F.lit("main! "), _host(), F.lit("~"), _process(), F.lit("~ "), day, F.lit(" "), line_body()))
+        .when(kind == 3, F.concat(_pri(), _host(), F.lit("@ "), day, F.lit(" "), line_body()))
         .when(kind == 4, F.concat(F.lit("no priority "), line_body()))
-        .otherwise(F.concat(_pri(), F.lit(" first\n"), line_body()))
+        .otherwise(F.concat(_pri(), F.lit("& first\n"), line_body()))
     )
     return table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", raw.alias("raw"))
 
