@@ -15,7 +15,7 @@ from ...streaming.stream import Sinks, batch_by_source_stream, run_stream, split
 from ..flow import Config, parse_messages
 from .. import views as V
 from .lookups import DEFAULT_UEI, definitions
-from .registry import STAMP, facility_sql, query, ref_time, severity_sql, stamp, with_views
+from .registry import BODY, CODE, STAMP, facility_sql, query, ref_time, severity_sql, stamp, with_views
 from .rules import RULES
 from .text import MIXED, PATTERNS, _envelope
 
@@ -34,10 +34,20 @@ def _config(spark, sf):
     )
 
 
+_RUNS: dict[tuple[str, str], Sinks] = {}
+
+
 def _run_flow(spark, sf):
-    """Run the whole stream once and return where its outputs are."""
+    """Run the whole stream, once per session and tables, and return where its outputs are."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        _RUNS[key] = _flow_outputs(spark, sf)
+    return _RUNS[key]
+
+
+def _flow_outputs(spark, sf):
     root = shared_dir(spark, "stream")
-    sinks = Sinks(f"{root}/table", f"{root}/routed", f"{root}/errors", f"{root}/control")
+    sinks = Sinks(f"{root}/table", f"{root}/routed", f"{root}/errors", f"{root}/control", f"{root}/metrics")
     subs = spark.createDataFrame(
         [("audit", None), ("view", "uei.example.org/view"), ("lines", "uei.example.org/syslog/")], "listener string, uei string")
     source = read_file_logs(spark, _envelope_files(spark, sf), wholetext=False)
@@ -61,27 +71,40 @@ named as (select *, case rule_no when 1 then 'uei.example.org/view' when 2 then
 
 
 @query("stream_flow", RULED + """
-select uei as eventuei, case when uei = 'uei.example.org/view' then 'Warning' end as expected, count(*) as n from named group by 1, 2""")
+select uei as eventuei, case when uei = 'uei.example.org/view' then 'Warning' end as expected, message, count(*) as n from named group by all""")
 def stream_flow(spark, sf):
     """The event table that the stream leaves. The log message is the line's own, so every event is stored."""
     rows = spark.read.parquet(_run_flow(spark, sf).table)
-    return rows.groupBy("eventuei").agg(F.count(F.lit(1)).alias("n")).select(
-        "eventuei", F.when(F.col("eventuei") == "uei.example.org/view", "Warning").alias("expected"), "n")
+    return rows.groupBy("eventuei", F.col("eventlogmsg").alias("message")).agg(F.count(F.lit(1)).alias("n")).select(
+        "eventuei", F.when(F.col("eventuei") == "uei.example.org/view", "Warning").alias("expected"), "message", "n")
 
 
 @query("stream_dual_publish", RULED + """
-select listener, count(*) as n from (select 'audit' as listener from named union all
-  select 'view' from named where uei = 'uei.example.org/view' union all
-  select 'lines' from named where starts_with(uei, 'uei.example.org/syslog/')) group by 1""")
+select listener, uei, message, count(*) as n from (select 'audit' as listener, * from named union all
+  select 'view', * from named where uei = 'uei.example.org/view' union all
+  select 'lines', * from named where starts_with(uei, 'uei.example.org/syslog/')) group by all""")
 def stream_dual_publish(spark, sf):
     rows = spark.read.parquet(_run_flow(spark, sf).routed)
-    return rows.groupBy("listener").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("listener", "uei", F.col("logmsg").alias("message")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_errors", "select 'interior_newline' as reject_reason, count(*) as n from events where event_id % 6 = 5")
+@query("stream_errors", f"""
+select 'interior_newline' as reject_reason, concat('<', {CODE}, '>& first', chr(10), {BODY}) as raw, count(*) as n
+from events where event_id % 6 = 5 group by all""")
 def stream_errors(spark, sf):
     rows = spark.read.parquet(_run_flow(spark, sf).errors)
-    return rows.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("reject_reason", "raw").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_metrics", RULED + """
+select 'logs' as stage, count(*) as n from events union all select 'messages', count(*) from events
+union all select 'errors', count(*) from events where event_id % 6 = 5
+union all select 'events', count(*) from named
+union all select 'broadcast', count(*) + count(*) filter (where uei = 'uei.example.org/view' or starts_with(uei, 'uei.example.org/syslog/')) from named""")
+def stream_metrics(spark, sf):
+    """What each stage of the stream counted while it ran, over all batches."""
+    rows = spark.read.parquet(_run_flow(spark, sf).metrics)
+    return rows.groupBy("stage").agg(F.sum("rows").alias("n"))
 
 
 @query("error_split", f"select event_id, 'interior_newline' as reject_reason from events where event_id % 6 = 5")
@@ -91,7 +114,7 @@ def error_split(spark, sf):
 
 
 @query("kafka_log_replay", f"""
-select event_id % 6 as kind, count(*) as n from events group by 1""")
+select event_id, case when event_id % 6 = 4 then concat('no priority ', {BODY}) end as raw from events""")
 def kafka_log_replay(spark, sf):
     """Records of the log topic's shape, replayed from files as a stream."""
     root = shared_dir(spark, "replay")
@@ -101,8 +124,9 @@ def kafka_log_replay(spark, sf):
     run = source.writeStream.format("parquet").option("path", f"{root}/out").option(
         "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    kinds = spark.read.parquet(f"{root}/out").select((F.get_json_object("value", "$.event_id").cast("bigint") % 6).alias("kind"))
-    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    record = F.from_json("value", "event_id bigint, raw string")
+    found = spark.read.parquet(f"{root}/out").select(record.alias("r")).select("r.*")
+    return found.select("event_id", F.when(F.col("event_id") % 6 == 4, F.col("raw")).alias("raw"))
 
 
 @query("stream_reload", """
@@ -142,7 +166,9 @@ def stream_reload(spark, sf):
     seen = spark.read.parquet(f"{root}/seen").agg(
         F.min_by("descr", "batch_id").alias("descr_before"), F.max_by("descr", "batch_id").alias("descr_after"))
     shown = F.array_join(F.transform("parms", lambda p: F.concat(p["name"], F.lit("="), p["value"])), ",").alias("parms")
-    return spark.read.parquet(f"{root}/out").select("uei", shown).join(seen)
+    # One row each: the reload's answer and the two texts.
+    told = spark.read.parquet(f"{root}/out").select(F.lit(1).alias("one"), "uei", shown)
+    return told.join(seen.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 @query("stream_source_batches", with_views("packets") + f"""

@@ -17,6 +17,7 @@ from ..plans.flow import Config, add_row_lookups, build_events, parse_messages
 from ..schema import as_events
 from ..sources.envelopes import read_envelopes
 from ..sources.sinks import write_events
+from .metrics import StageCounts
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,7 @@ class Sinks:
     routed: str
     errors: str
     control: str | None = None
+    metrics: str | None = None
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -93,10 +95,13 @@ def with_reload(
     return run
 
 
-def publish(events: DataFrame, subscriptions: DataFrame, config: Config, sinks: Sinks, batch_id: int) -> None:
+def publish(
+    events: DataFrame, subscriptions: DataFrame, config: Config, sinks: Sinks, batch_id: int, counts: StageCounts | None = None
+) -> None:
     """Hand the same expanded events to the table and to the subscribers."""
+    counts = counts or StageCounts()
     write_events(add_row_lookups(events, config), sinks.table, batch_id)
-    routed = route(broadcastable(events), subscriptions)
+    routed = counts.watch(route(broadcastable(events), subscriptions), "broadcast")
     write_batch_folder(
         routed.select("listener", "uei", "nodeid", "time", "interface", "severity",
                       F.col("logmsg.content").alias("logmsg"), "parms"),
@@ -109,16 +114,21 @@ def process_batch(
 ) -> DataFrame:
     """One micro-batch of envelopes: parse once, then errors, table and subscribers.
 
-    Returns the expanded events, persisted; the caller lets go of them.
+    Returns the expanded events, persisted; the caller lets go of them. With ``sinks.metrics`` the
+    stages' counts follow: log documents and messages with their sizes, errors, events and broadcasts.
     """
-    envelopes = read_envelopes(batch)
+    counts = StageCounts()
+    logs = counts.watch(batch, "logs", F.octet_length("value")) if "value" in batch.columns else batch
+    envelopes = counts.watch(read_envelopes(logs), "messages", F.octet_length("raw"))
     ref_time = F.coalesce("msg_time", F.current_timestamp())
     matched = parse_messages(envelopes, config, ref_time).persist()
     good, bad = split_errors(matched)
-    events = build_events(good, config).persist()
+    events = counts.watch(build_events(good, config), "events").persist()
     try:
-        write_batch_folder(bad, sinks.errors, batch_id)
-        publish(events, subscriptions, config, sinks, batch_id)
+        write_batch_folder(counts.watch(bad, "errors"), sinks.errors, batch_id)
+        publish(events, subscriptions, config, sinks, batch_id, counts)
+        if sinks.metrics:
+            write_batch_folder(counts.rows(batch.sparkSession), sinks.metrics, batch_id)
     finally:
         matched.unpersist()
     return events
