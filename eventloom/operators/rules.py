@@ -91,6 +91,14 @@ def _all(conditions: list[Column | None]) -> Column:
     return result
 
 
+def _any(conditions: list[Column]) -> Column:
+    """All conditions joined by "or" in a tree: a chain of a thousand would be too deep for the planner."""
+    while len(conditions) > 1:
+        pairs = zip(conditions[::2], conditions[1::2], strict=False)
+        conditions = [a | b for a, b in pairs] + (conditions[-1:] if len(conditions) % 2 else [])
+    return conditions[0] if conditions else F.lit(False)
+
+
 def _message_test(rule: Rule, message: Column, good: dict[str, int | None]) -> Column | None:
     """The message part of a rule; None for a rule that can never match."""
     if rule.match_type == "substr":
@@ -131,7 +139,8 @@ def match_rules(
     good = _group_counts(df, regexes)
     text = F.col(message)
     found: list[Column] = []
-    looked_at = F.lit(False)
+    looking: list[Column] = []
+    always = False
     usable = 0
     for rule in ordered:
         test = _message_test(rule, text, good)
@@ -144,12 +153,14 @@ def match_rules(
             _find_in("hostname", rule.hostname_expr, good),
             _find_in(hostaddr, rule.hostaddr_expr, good),
         ])
-        looked_at = looked_at | before
+        looking.append(before)
+        always = always or not (rule.facilities or rule.severities or rule.process_expr or rule.hostname_expr or rule.hostaddr_expr)
         if usable % _BLOCK == 0:
             found.append(F.when(before & test, F.lit(rule.rule_no)))
         else:
             found[-1] = found[-1].when(before & test, F.lit(rule.rule_no))
         usable += 1
+    looked_at = F.lit(True) if always else _any(looking)
     out = df
     for k, block in enumerate(found):
         out = compute_once(out, {f"_block_{k}": block if k == 0 else F.coalesce(f"_block_{k - 1}", block)})

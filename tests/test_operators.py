@@ -284,3 +284,13 @@ def test_routing_as_of(spark):
     want = {(k, "x/1", "a") for k in (1, 2, 3, 4, 7, 8)} | {(k, u, "a") for k in (7, 8) for u in ("y", None)} | {(k, "y", "a") for k in (9, 10, 11)}
     want |= {(k, u, "b") for k in (2, 3, 4, 5) for u in ("x/1", "y", None)} | {(k, "x/1", "b") for k in (8, 9, 10, 11)}
     assert got[2] == got[5] == got[100] == want
+
+
+def test_a_thousand_rules(spark):
+    """A list of the full size, each rule with a condition of its own: planned without a deep chain, first match wins."""
+    rules = [Rule(k, "regex", f"user {k} did ([a-z]+)", f"u/{k}", facilities=("local0", f"f{k}")) for k in range(1, 1001)]
+    rows = [(1, "user 7 did view", "local0"), (2, "user 1000 did sign", "f1000"), (3, "user 5 did view", "f6"), (4, "none", "local0")]
+    df = spark.createDataFrame(rows, "id int, message string, facility string").withColumns({
+        c: F.lit(None).cast("string") for c in ("severity", "process_name", "hostname", "host_address")})
+    got = {r.id: (r.rule_no, r.uei, [p.value for p in r.rule_parms]) for r in match_rules(df, rules).collect()}
+    assert got == {1: (7, "u/7", ["view"]), 2: (1000, "u/1000", ["sign"]), 3: (None, None, []), 4: (None, None, [])}
