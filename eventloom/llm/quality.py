@@ -1,18 +1,30 @@
-"""Quality rules: base counts of a text, and zstandard ratios that must stay inside a band."""
+"""Quality rules: base counts of a text, and zstandard ratios that must stay inside a band fitted to the corpus."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import joined, mix, owners, span_hashes, text_slices, word_spans
 
 
+@dataclass(frozen=True)
+class Fitted:
+    """Limits at some lengths, fitted to a corpus: log2 of bytes, lower and upper limit, in order of length."""
+
+    at: tuple[float, ...]
+    low: tuple[float, ...]
+    high: tuple[float, ...]
+    #: Octaves of bytes that were fitted; texts of other lengths have the fixed limits alone.
+    octaves: tuple[int, ...]
+
+
 @dataclass(frozen=True)
 class Bands:
     """Limits of compressed size / size by length, straight lines between knots on log2(bytes).
@@ -20,8 +32,14 @@ class Bands:
     Prose loses its redundancy slowly: short texts hardly compress, long ones level off. Text
     under ``low`` repeats itself, text over ``high`` is noise. Beyond the outer knots the
     outer limits hold. ``low`` is per code point: scripts of two or three bytes a letter repeat
-    their lead bytes, which says nothing of the text. It lies under natural prose with its lists
-    and set phrases (documentation, licences, copyright files); milder repeats are left to the base rules.
+    their lead bytes, which says nothing of the text. It lies under natural prose of any kind
+    (documentation, licences, copyright files).
+
+    ``fit_bands`` narrows the lower limits to a corpus: ``spreads`` times the distance from the
+    median ratio to the lower quartile, below the median, by octave of length and bytes per code
+    point, but never above the ratio that ``most`` of the texts there are under. The upper limits are
+    widened in the same way where a corpus needs it. Lengths with fewer than ``least_texts`` texts keep
+    the fixed limits.
     """
 
     level: int = 3
@@ -35,13 +53,30 @@ class Bands:
         (8192, 0.20), (16384, 0.19), (32768, 0.17), (65536, 0.15), (262144, 0.12))
     high: tuple[tuple[int, float], ...] = (
         (64, 1.30), (128, 1.00), (256, 0.85), (512, 0.82), (1024, 0.74), (4096, 0.66), (16384, 0.62))
+    spreads: float = 3.0
+    most: float = 0.08
+    least_texts: int = 100
+    #: What ``fit_bands`` found, by (is a chunk, bytes per code point).
+    fitted: tuple[tuple[tuple[bool, int], Fitted], ...] = ()
 
-    def limits(self, sizes: np.ndarray, points: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def limits(self, sizes: np.ndarray, points: np.ndarray | None = None, chunks: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Limits of the ratio of bytes, for texts of so many bytes and code points (one byte each if not given)."""
         points = sizes if points is None else points
         low, high = (np.interp(np.log2(np.maximum(n, 1)), [np.log2(k) for k, _ in knots], [r for _, r in knots])
                      for n, knots in ((points, self.low), (sizes, self.high)))
-        return low * points / np.maximum(sizes, 1), high
+        low = low * points / np.maximum(sizes, 1)
+        length, width = np.log2(np.maximum(sizes, 1)), widths(sizes, points)
+        for (of_chunks, of_width), fit in self.fitted:
+            if of_chunks == chunks:
+                mine = (width == of_width) & np.isin(length.astype(np.int64), fit.octaves)
+                low[mine] = np.maximum(low[mine], np.interp(length[mine], fit.at, fit.low))
+                high[mine] = np.maximum(high[mine], np.interp(length[mine], fit.at, fit.high))
+        return low, high
+
+
+def widths(sizes: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Bytes per code point, rounded: 1 for Latin letters, 2 for Greek or Cyrillic ones, 3 for Chinese."""
+    return (sizes / np.maximum(points, 1) + 0.5).astype(np.int64)
 
 
 FIELDS = [
@@ -97,6 +132,16 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
         for k in range(3):
             in_window[whole[twice] + k] = True
     out["n_repeat_words"] = np.bincount(word_owner[in_window], minlength=n)
+    # Near copies share the least hash of their 5-word windows more often than not.
+    out["near"] = np.zeros(n, dtype=np.uint64)
+    if len(words) > 4:
+        whole = np.flatnonzero(word_owner[4:] == word_owner[:-4])
+        window = words[whole]
+        for k in range(1, 5):
+            window = mix(window) + words[whole + k]
+        window, owner = mix(window), word_owner[whole]
+        heads = np.flatnonzero(np.diff(owner, prepend=-1))
+        out["near"][owner[heads]] = np.minimum.reduceat(window, heads) if len(heads) else 0
     return out
 
 
@@ -105,31 +150,90 @@ def code_points(text: bytes) -> int:
     return int(np.count_nonzero((np.frombuffer(text, dtype=np.uint8) & 0xC0) != 0x80))
 
 
+def ratios_of(text: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, code points and ratio of a text that isn't empty, then of each of its chunks that is judged."""
+    parts = [text]
+    if len(text) > bands.chunk_bytes:
+        parts += [c for k in range(0, len(text), bands.chunk_bytes) if len(c := text[k:k + bands.chunk_bytes]) >= bands.least_chunk]
+    sizes = np.array([len(c) for c in parts], dtype=np.int64)
+    points = np.array([code_points(c) for c in parts], dtype=np.int64)
+    return sizes, points, np.array([len(packer.compress(c)) for c in parts]) / sizes
+
+
 def compression(text: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[float, int, int, str]:
     """Whole ratio, chunks judged, chunks outside their band, and the verdict's name."""
     if not text:
         return 0.0, 0, 0, "empty"
-    ratio = len(packer.compress(text)) / len(text)
-    low, high = bands.limits(np.array([len(text)]), np.array([code_points(text)]))
-    sizes, points, ratios = [], [], []
-    if len(text) > bands.chunk_bytes:
-        for k in range(0, len(text), bands.chunk_bytes):
-            chunk = text[k:k + bands.chunk_bytes]
-            if len(chunk) >= bands.least_chunk:
-                sizes.append(len(chunk))
-                points.append(code_points(chunk))
-                ratios.append(len(packer.compress(chunk)) / len(chunk))
-    chunk_low, chunk_high = bands.limits(np.array(sizes, dtype=np.int64), np.array(points, dtype=np.int64))
-    under, over = int(np.sum(ratios < chunk_low)), int(np.sum(ratios > chunk_high))
+    sizes, points, ratios = ratios_of(text, bands, packer)
+    low, high = bands.limits(sizes[:1], points[:1])
+    chunk_low, chunk_high = bands.limits(sizes[1:], points[1:], chunks=True)
+    under, over = int(np.sum(ratios[1:] < chunk_low)), int(np.sum(ratios[1:] > chunk_high))
+    ratio, n_chunks = float(ratios[0]), len(sizes) - 1
     if ratio < low[0]:
         band = "repetitive"
     elif ratio > high[0]:
         band = "incompressible"
-    elif len(sizes) > 1 and under + over > bands.bad_chunks * len(sizes):
+    elif n_chunks > 1 and under + over > bands.bad_chunks * n_chunks:
         band = "repetitive chunks" if under >= over else "incompressible chunks"
     else:
         band = "inside"
-    return ratio, len(sizes), under + over, band
+    return ratio, n_chunks, under + over, band
+
+
+def base_failed(counts: dict[str, np.ndarray]) -> np.ndarray:
+    return (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
+
+
+SAMPLED = "chunk boolean, octave long, width long, near long, ratio long, length long"
+
+
+def ratio_rows(docs: DataFrame, bands: Bands) -> DataFrame:
+    """``SAMPLED`` rows of ``docs(text)``: each text that passes the base rules, and each of its chunks.
+
+    ``ratio`` counts ten-thousandths, ``length`` thousandths of log2(bytes).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=bands.level)
+        for batch in batches:
+            texts = batch.column("text")
+            for start, stop in text_slices(texts):
+                raw = [(t or "").encode() for t in texts.slice(start, stop - start).to_pylist()]
+                counts = base_counts(raw)
+                for k in np.flatnonzero(~base_failed(counts)).tolist():
+                    sizes, points, ratios = ratios_of(raw[k], bands, packer)
+                    length, place = np.log2(sizes), np.arange(len(sizes))
+                    near = mix(counts["near"][k:k + 1] + place.astype(np.uint64)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (place > 0, length.astype(np.int64), widths(sizes, points), near,
+                                               (ratios * 10_000).astype(np.int64), (length * 1000).astype(np.int64))],
+                        names=["chunk", "octave", "width", "near", "ratio", "length"])
+
+    return docs.select("text").mapInArrow(run, SAMPLED)
+
+
+def fit_bands(docs: DataFrame, bands: Bands = Bands()) -> Bands:  # noqa: B008
+    """``bands`` with limits fitted to all texts of ``docs`` that pass the base rules.
+
+    Of near copies, those that share the least hash of their word windows, the least ratio counts, once: a large group
+    does not draw the limits to itself. Quantiles are exact over ratios rounded to ten-thousandths.
+    A few numbers per octave of length come to the driver. Tables without texts give ``bands`` back.
+    """
+    group = ["chunk", "octave", "width"]
+    one = ratio_rows(docs, bands).groupBy(*group, "near").agg(F.min(F.struct("ratio", "length")).alias("least"))
+    counted = one.groupBy(*group, F.col("least.ratio").alias("ratio")).agg(
+        F.count("*").alias("n"), F.sum("least.length").alias("length"))
+    shares = ", ".join(str(x) for x in (bands.most, 0.25, 0.5, 0.75, 1 - bands.most))
+    rows = counted.groupBy(*group).agg(
+        F.sum("n").alias("n"), F.sum("length").alias("length"), F.expr(f"percentile(ratio, array({shares}), n)").alias("at")
+    ).filter(F.col("n") >= bands.least_texts).orderBy(*group).collect()
+    found: dict[tuple[bool, int], list[tuple[float, float, float, int]]] = {}
+    for r in rows:
+        least, lower, middle, upper, greatest = (x / 10_000 for x in r["at"])
+        found.setdefault((r["chunk"], r["width"]), []).append((
+            r["length"] / r["n"] / 1000, min(least, middle - bands.spreads * (middle - lower)),
+            max(greatest, middle + bands.spreads * (upper - middle)), r["octave"]))
+    return replace(bands, fitted=tuple((k, Fitted(*zip(*v, strict=True))) for k, v in found.items()))
 
 
 def score_batch(texts: pa.Array, bands: Bands) -> list[pa.Array]:
@@ -139,10 +243,11 @@ def score_batch(texts: pa.Array, bands: Bands) -> list[pa.Array]:
     for start, stop in text_slices(texts):
         raw = [(t or "").encode() for t in texts.slice(start, stop - start).to_pylist()]
         counts = base_counts(raw)
-        failed = (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
+        failed = base_failed(counts)
         packed = [compression(t, bands, packer) for t in raw]
         for name, values in counts.items():
-            columns[name].append(values)
+            if name in columns:
+                columns[name].append(values)
         columns["base_failed"].append(failed)
         for name, values in zip(("ratio", "n_chunks", "n_bad_chunks", "band"), zip(*packed), strict=True):
             columns[name].append(np.array(values, dtype=object if name == "band" else None))
@@ -150,13 +255,14 @@ def score_batch(texts: pa.Array, bands: Bands) -> list[pa.Array]:
     return [pa.array(np.concatenate(v) if v else [], type=kind) for (_, kind), v in zip(FIELDS, columns.values(), strict=True)]
 
 
-def quality_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:  # noqa: B008
+def quality_rules(docs: DataFrame, bands: Bands | None = None) -> DataFrame:
     """``(doc_id, n_words, ..., ratio, n_chunks, n_bad_chunks, band, kept)``, a row per document.
 
     Null and empty texts have no words and so fail the base rules. Repeated rows are judged
-    alike; other columns of ``docs`` are not read. No shuffle.
+    alike; other columns of ``docs`` are not read. Without ``bands`` the limits are fitted to ``docs``,
+    which reads the texts once more; with them there is no shuffle.
     """
-    return with_quality(docs.select("doc_id", "text"), bands, ["doc_id"])
+    return with_quality(docs.select("doc_id", "text"), bands or fit_bands(docs), ["doc_id"])
 
 
 def with_quality(docs: DataFrame, bands: Bands, carry: list[str]) -> DataFrame:
@@ -171,9 +277,9 @@ def with_quality(docs: DataFrame, bands: Bands, carry: list[str]) -> DataFrame:
     return docs.mapInArrow(run, f"{kept}, {SCHEMA}")
 
 
-def quality_filter(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:  # noqa: B008
-    """The documents that pass, with their own columns unchanged."""
-    names = docs.columns
+def quality_filter(docs: DataFrame, bands: Bands | None = None) -> DataFrame:
+    """The documents that pass, with their own columns unchanged; limits as in ``quality_rules``."""
+    names, bands = docs.columns, bands or fit_bands(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

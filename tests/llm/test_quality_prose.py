@@ -45,3 +45,20 @@ def test_prose_of_several_scripts(docs_of, lang):
 def test_repeated_prose_still_goes(docs_of, lang):
     [row] = quality.quality_rules(docs_of(["\n".join([PROSE[lang]] * 10)])).collect()
     assert row.band == "repetitive" and not row.kept
+
+
+def test_fitted_limits_reject_bad_texts_and_keep_clean_ones(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").filter("quality is not null").select("doc_id", "quality")
+    got = quality.quality_rules(docs).filter("not base_failed").join(labels, "doc_id")
+    n = {(r.quality, r.kept): r["count"] for r in got.groupBy("quality", "kept").count().collect()}
+    assert n[0, False] > 0.5 * (n[0, False] + n[0, True]), n
+    assert n[1, True] >= 0.99 * (n.get((1, False), 0) + n[1, True]), n
+
+
+def test_copies_do_not_move_the_limits(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    one = docs.filter("length(text) between 1000 and 2000").limit(1)
+    copies = one.crossJoin(spark.range(3000).select("id")).selectExpr("id + 10000000 as doc_id", "text")
+    assert quality.fit_bands(docs) == quality.fit_bands(docs.union(copies)) != quality.Bands()
+    assert quality.fit_bands(docs.limit(0)) == quality.Bands()
