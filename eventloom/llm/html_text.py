@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame
 
 # Names of the HTML standard.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "math"}
+RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "annotation", "annotation-xml"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
     "kbd", "label", "mark", "nobr", "q", "ruby", "rt", "rp", "rb", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
-    "time", "tt", "u", "var", "wbr", "img",
+    "time", "tt", "u", "var", "wbr", "img", "math", "mi", "mn", "mo", "ms", "mspace", "mtext", "mrow", "mfrac", "msqrt", "mroot",
+    "mstyle", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mpadded", "mphantom", "mmultiscripts", "semantics",
 }
 CLOSES_P = {
     "address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption",
@@ -37,15 +38,23 @@ NOISE_TAGS = {
     "head", "nav", "footer", "aside", "form", "button", "select", "option", "menu", "dialog", "search",
     "fieldset", "input", "object", "audio", "video", "canvas", "applet",
 } | RAW
+#: Those of them that can also be a page's outer frame.
+FRAME_TAGS = {"form", "fieldset", "aside", "dialog", "menu", "search", "header"}
 NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form"}
-#: Words of class and id names that mark boxes beside the article.
+#: Words of class and id names that mark boxes beside the article, where a name has no others but plain ones.
 NOISE_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adbox", "adsense", "banner", "promo", "promotion", "sponsor",
-    "sponsored", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "aside", "widget", "related", "recommended", "comment", "comments", "commentlist", "disqus",
-    "replies", "respond", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter",
+    "sponsored", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header", "footer", "sidebar", "aside", "widget",
+    "widgets", "related", "recommended", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter",
     "subscribe", "signup", "login", "share", "sharing", "social", "toolbar", "pagination", "pager", "masthead", "copyright",
     "hidden", "skip", "outbrain", "taboola", "tags", "topbar", "legal", "disclaimer",
 }
+COMMENT_WORDS = {"comment", "comments", "commentlist", "disqus", "reply", "replies", "respond"}
+PLAIN_WORDS = {
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "col", "column", "container", "content", "form", "global", "group",
+    "inner", "item", "items", "left", "links", "list", "main", "outer", "page", "panel", "policy", "post", "posts", "primary",
+    "reader", "right", "secondary", "section", "site", "slot", "thread", "top", "unit", "user", "wrap", "wrapper",
+}
 CONTENT_TAGS = {"article", "main"}
 MARKS = re.compile(r"[.,;:!?¡¿、。，！？；：…]")
 _TOKEN = re.compile(
@@ -58,12 +67,17 @@ _WORDS = re.compile(r"[a-z]+")
 
 @dataclass
 class Block:
-    """Text between two block edges, with the path of tags above it."""
+    """Text between two block edges, with the path of tags above it.
+
+    ``noisy``: in a box beside the article. ``in_content``: in an article or main element; ``article``: path of
+    the outermost article element round it, -1 for none.
+    """
 
     path: int
     text: str
     noisy: bool
     in_content: bool
+    article: int
     link_chars: int = 0
 
 
@@ -99,10 +113,78 @@ class Paths:
 
 
 class _Node:
-    __slots__ = ("tag", "noisy", "content", "path")
-
-    def __init__(self, tag: str, noisy: bool, content: bool, path: int):
-        self.tag, self.noisy, self.content, self.path = tag, noisy, content, path
+    __slots__ = ("tag", "path", "up", "barred", "frame", "boxed", "heading", "talk", "is_main", "is_article",
+                 "chars", "n_articles", "holds_main", "noisy", "in_content", "article")
+
+    def __init__(self, tag: str, path: int, up: _Node | None = None):
+        self.tag, self.path, self.up = tag, path, up
+        #: No text of an article; a box by tag or role; a box by name; a page header; reader comments.
+        self.barred = self.frame = self.boxed = self.heading = self.talk = False
+        self.is_main = self.is_article = False
+        #: Characters outside links, articles and a main element inside.
+        self.chars, self.n_articles, self.holds_main = 0, 0, False
+        self.noisy = self.in_content = False
+        self.article = -1
+
+
+def _named(name: str) -> tuple[bool, bool, bool]:
+    """Whether a class or id name marks a box beside the article, a page header, and reader comments."""
+    box = heading = talk = False
+    for token in name.split():
+        words = set(_WORDS.findall(token)) - PLAIN_WORDS
+        if words == {"header"}:
+            heading = True
+        elif words and words <= NOISE_WORDS | COMMENT_WORDS:
+            box, talk = True, talk or bool(words & COMMENT_WORDS)
+    return box, heading, talk
+
+
+def _node(tag: str, path: int, up: _Node, name: str, attrs: dict[str, str]) -> _Node:
+    node, role = _Node(tag, path, up), attrs.get("role", "").lower()
+    box, heading, node.talk = _named(name) if tag not in ("html", "body") else (False, False, False)
+    node.is_main = tag == "main" or role == "main"
+    node.is_article = tag == "article" and not node.talk
+    node.boxed = box and not (node.is_main or node.is_article)
+    node.heading = tag == "header" or (heading and not (node.is_main or node.is_article))
+    node.frame = tag in FRAME_TAGS or role in NOISE_ROLES
+    node.barred = bool(tag in NOISE_TAGS - FRAME_TAGS or "hidden" in attrs or attrs.get("aria-hidden") == "true"
+                       or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")))
+    return node
+
+
+def _mark(nodes: list[_Node]) -> None:
+    """Tell noise from content, for all nodes in page order, by what each of them holds.
+
+    A box is none if it holds the longest article of the page or a main element, or, on a page without
+    either, most of the text outside links. Comments are noise whatever their length, unless the
+    main element or all articles of the page are inside.
+    """
+    for node in reversed(nodes[1:]):
+        up = node.up
+        up.chars += 0 if node.barred or node.talk else node.chars
+        up.holds_main |= not node.barred and (node.holds_main or node.is_main)
+        up.n_articles += node.n_articles + node.is_article
+    node = max((n for n in nodes if n.is_article), key=lambda n: n.chars, default=None)
+    round_longest = set()
+    while node is not None:
+        round_longest.add(id(node))
+        node = node.up
+    top = nodes[0]
+    framed = top.n_articles > 0 or top.holds_main
+    for node in nodes[1:]:
+        up = node.up
+        if node.talk:
+            noisy = not (node.holds_main or 0 < node.n_articles == top.n_articles)
+        elif node.heading and not node.boxed:
+            noisy = not (up.in_content or node.holds_main or id(node) in round_longest)
+        elif node.frame or node.boxed:
+            most = not framed and (node.boxed or node.tag == "form") and 2 * node.chars > top.chars
+            noisy = not (node.is_main or node.is_article or node.holds_main or id(node) in round_longest or most)
+        else:
+            noisy = False
+        node.noisy = up.noisy or node.barred or noisy
+        node.in_content = up.in_content or node.is_main or node.is_article
+        node.article = up.article if up.article >= 0 else node.path if node.is_article else -1
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -118,7 +200,9 @@ def blocks(page: str) -> tuple[list[Block], Paths]:
     Inline tags do not end a block and take no part in its path, so a paragraph with links or
     bold words is one block.
     """
-    paths, stack, out = Paths(), [_Node("#root", False, False, 0)], []
+    paths, nodes = Paths(), [_Node("#root", 0)]
+    stack = nodes[:]
+    lines: list[tuple[_Node, str, int]] = []
     open_tags: Counter[str] = Counter()
     parts: list[str] = []
     link = link_chars = at = 0
@@ -127,8 +211,8 @@ def blocks(page: str) -> tuple[list[Block], Paths]:
         nonlocal link_chars
         text = " ".join("".join(parts).split())
         if text:
-            top = stack[-1]
-            out.append(Block(top.path, text, top.noisy, top.content, link_chars))
+            lines.append((stack[-1], text, link_chars))
+            stack[-1].chars += max(0, len(text) - link_chars)
         parts.clear()
         link_chars = 0
 
@@ -198,23 +282,18 @@ def blocks(page: str) -> tuple[list[Block], Paths]:
                 close({"head"}, set())
             attrs = _attributes(m["attrs"]) if m["attrs"] else {}
             name = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
-            words = set(_WORDS.findall(name))
             top = stack[-1]
-            content = top.content or tag in CONTENT_TAGS or attrs.get("role", "").lower() == "main"
-            noisy = (top.noisy or tag in NOISE_TAGS or attrs.get("role", "").lower() in NOISE_ROLES
-                     or "hidden" in attrs or attrs.get("aria-hidden") == "true"
-                     or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")))
-                     or ((tag == "header" or "header" in words) and not top.content)
-                     or (bool(words & NOISE_WORDS) and tag not in ("html", "body", "article", "main")))
             label = f"{tag}.{'.'.join(sorted(name.split()))}" if name.strip() else tag
             if m["attrs"].rstrip().endswith("/") and tag in NOISE_TAGS:
                 continue
-            stack.append(_Node(tag, noisy, content, paths.child(top.path, label)))
+            stack.append(_node(tag, paths.child(top.path, label), top, name, attrs))
+            nodes.append(stack[-1])
             open_tags[tag] += 1
         elif kind == "cdata" and m["cdata"]:
             add(m["cdata"])
     end_block()
-    return out, paths
+    _mark(nodes)
+    return [Block(n.path, text, n.noisy, n.in_content, n.article, link_chars) for n, text, link_chars in lines], paths
 
 
 @dataclass(frozen=True)
@@ -262,27 +341,31 @@ def main_blocks(page: str, rules: PathRatios = PathRatios()) -> list[str]:  # no
     """The article's blocks in page order.
 
     Paths over the threshold are content. Their nearest common element is the article's own
-    element; every block inside it that is not marked as noise stays, short headings included.
+    element; every block inside it that is not marked as noise stays, short headings included. It is no
+    narrower than the article element that holds the best path, where there is one, and no text in that is
+    dropped for its links; elsewhere lists of links stay only on a content path.
     """
     found, paths = blocks(page)
     if not found:
         return []
     scores = path_scores(found, rules)
-    usable = [b for b in found if not b.noisy and b.link_chars <= rules.link_share * len(b.text)]
-    if any(b.in_content for b in usable):
-        usable = [b for b in usable if b.in_content]
+    clean = [b for b in found if not b.noisy]
+    if any(b.in_content for b in clean):
+        clean = [b for b in clean if b.in_content]
+    usable = [b for b in clean if b.link_chars <= rules.link_share * len(b.text)] or [b for b in clean if b.article >= 0]
     if not usable:
         return []
     weights = {b.path: scores[b.path] for b in usable}
     limit = rules.threshold * max(weights.values())
-    content = [p for p, s in weights.items() if s >= limit]
-    best = max(content, key=lambda p: weights[p])
+    content = {p for p, s in weights.items() if s >= limit}
+    best = max(usable, key=lambda b: weights[b.path])
     # The leaf paragraph's own element is too narrow where one path alone is content.
-    home = paths.parent[best]
+    home = best.article if best.article >= 0 else paths.parent[best.path]
     for path in content:
         home = paths.shared(home, path)
     inside = paths.under(home)
-    return [b.text for b in usable if inside[b.path]]
+    return [b.text for b in clean if inside[b.path] and (
+        b.article >= 0 or b.path in content or b.link_chars <= rules.link_share * len(b.text))]
 
 
 def extract_text(pages: DataFrame, rules: PathRatios = PathRatios()) -> DataFrame:  # noqa: B008
