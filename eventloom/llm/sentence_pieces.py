@@ -230,38 +230,42 @@ def segment_all(points: np.ndarray, starts: np.ndarray, vocabulary: Vocabulary)
     return offsets, ids, alpha[last], loss
 
 
-def n_best_paths(points: np.ndarray, n: int, vocabulary: Vocabulary) -> list[tuple[float, list[int]]]:
-    """The n best segmentations of one segment, best first: a backward A-star search.
+def n_best_paths(points: np.ndarray, starts: np.ndarray, n: int, vocabulary: Vocabulary) -> list[list[tuple[float, list[int]]]]:
+    """For each segment its n best segmentations, best first: a backward A-star search over one lattice of all.
 
     A partial path's bound is its own score plus the forward Viterbi score of the node it has
     reached. That bound is exact, so paths come out in order of their scores. Of paths with the
     same bound the one nearest to the begin goes on, so that a run of equal characters, which
     has very many equally good paths, is walked through once per path that is asked for.
     """
-    lattice = build_lattice(points, np.zeros(1, dtype=np.int64), vocabulary)
-    depth = np.arange(len(points) + 1)
-    alpha, _ = forward(lattice, len(points) + 1, depth)
-    arriving: list[list[int]] = [[] for _ in depth]
-    for edge, node in enumerate(lattice.end.tolist()):
-        arriving[node].append(edge)
-    begin, score = lattice.begin.tolist(), lattice.score.tolist()
-    heap: list[tuple] = [(-round(float(alpha[-1]), 6), len(points), 0, 0.0, None)]
-    found, pushed = [], 0
-    while heap and len(found) < n:
-        _, node, _, done, path = heapq.heappop(heap)
-        if node == 0:
-            ids = []
-            while path is not None:
-                edge, path = path
-                piece = int(lattice.piece[edge])
-                ids.extend([piece] if piece >= 0 else vocabulary.byte_ids[list(chr(lattice.point[edge]).encode())].tolist())
-            found.append((done, ids))
-            continue
-        for edge in arriving[node]:
-            pushed += 1
-            now = done + score[edge]
-            heapq.heappush(heap, (-round(float(alpha[begin[edge]]) + now, 6), begin[edge], pushed, now, (edge, path)))
-    return found
+    lattice = build_lattice(points, starts, vocabulary)
+    sizes = np.diff(np.append(starts, len(points)))
+    n_nodes = len(points) + len(starts)
+    alpha, _ = forward(lattice, n_nodes, np.arange(n_nodes) - np.repeat(lattice.node_starts, sizes + 1))
+    # Edges are in order of their ends: those that arrive at a node are neighbours.
+    arriving = np.searchsorted(lattice.end, np.arange(n_nodes + 1)).tolist()
+    begin, score, bound = lattice.begin.tolist(), lattice.score.tolist(), alpha.tolist()
+    out = []
+    for root, last in zip(lattice.node_starts.tolist(), (lattice.node_starts + sizes).tolist(), strict=True):
+        heap: list[tuple] = [(-round(bound[last], 6), last, 0, 0.0, None)]
+        found: list[tuple[float, list[int]]] = []
+        pushed = 0
+        while heap and len(found) < n:
+            _, node, _, done, path = heapq.heappop(heap)
+            if node == root:
+                ids = []
+                while path is not None:
+                    edge, path = path
+                    piece = int(lattice.piece[edge])
+                    ids.extend([piece] if piece >= 0 else vocabulary.byte_ids[list(chr(lattice.point[edge]).encode())].tolist())
+                found.append((done, ids))
+                continue
+            for edge in range(arriving[node], arriving[node + 1]):
+                pushed += 1
+                now = done + score[edge]
+                heapq.heappush(heap, (-round(bound[begin[edge]] + now, 6), begin[edge], pushed, now, (edge, path)))
+        out.append(found)
+    return out
 
 
 def merged_best(choices: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -272,6 +276,10 @@ def merged_best(choices: list[list[float]], n: int) -> list[tuple[float, tuple[i
     return best
 
 
+#: Score, number of tokens, and what differs from the best ids: (first token, tokens that go, ids that come), in order.
+Best = tuple[float, int, list[tuple[int, int, list[int]]]]
+
+
 class Encoder:
     """Encodes batches of texts; keeps the segments it has seen."""
 
@@ -283,12 +291,12 @@ class Encoder:
         self.keys = np.zeros(0, dtype=np.uint64)
         self.at = np.zeros(0, dtype=np.int64)
         self.offsets, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32)
-        self.score, self.loss = np.zeros(0), np.zeros(0)
-        #: Losses and extra tokens of the N best paths, by row of a segment that was asked for.
-        self.paths: dict[int, list[tuple[float, int]]] = {}
+        self.score, self.loss, self.exact = np.zeros(0), np.zeros(0), np.zeros(0, dtype=bool)
+        #: Losses and ids of the N best paths, by row of a segment that was asked for; the Viterbi path is the first.
+        self.paths: dict[int, list[tuple[float, list[int]]]] = {}
 
     def _learn(self, keys: np.ndarray, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Work out segments not seen before; ``keys`` are distinct."""
+        """Work out segments not seen before; ``keys`` are distinct and in order."""
         if len(self.keys) + len(keys) > self.rules.cached:
             self._forget()
         sizes = ends - starts
@@ -299,9 +307,21 @@ class Encoder:
         self.offsets = np.concatenate((self.offsets, self.offsets[-1] + offsets[1:]))
         self.ids = np.concatenate((self.ids, ids))
         self.score, self.loss = np.concatenate((self.score, score)), np.concatenate((self.loss, loss))
-        merged, at = np.concatenate((self.keys, keys)), np.concatenate((self.at, rows))
-        order = np.argsort(merged)
-        self.keys, self.at = merged[order], at[order]
+        self.exact = np.concatenate((self.exact, self._restored(flat, begins, offsets, ids)))
+        between = np.searchsorted(self.keys, keys)
+        self.keys, self.at = np.insert(self.keys, between, keys), np.insert(self.at, between, rows)
+
+    def _restored(self, points: np.ndarray, starts: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """For each segment whether the bytes of its ids are its characters, a mark for a space."""
+        table = self.vocabulary.bytes_of
+        want = np.where(points == ord(MARK), ord(" "), points).astype("<u4").tobytes()
+        parts = [table[k] for k in ids.tolist()]
+        if b"".join(parts) == want.decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"):
+            return np.ones(len(starts), dtype=bool)
+        ends = np.append(starts[1:], len(points)).tolist()
+        return np.array([b"".join(parts[offsets[k]:offsets[k + 1]])
+                         == want[4 * a:4 * z].decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+                         for k, (a, z) in enumerate(zip(starts.tolist(), ends, strict=True))], dtype=bool)
 
     def _rows(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -309,8 +329,8 @@ class Encoder:
         where = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[where] == keys, self.at[where], -1)
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, float, list[tuple[float, int]]]]:
-        """For each text its ids, its score, and (score, tokens) of its N best segmentations."""
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, float, list[Best], bool]]:
+        """For each text its ids, its score, its N best segmentations, and whether the ids decode to it."""
         each = [code_points(t or "") for t in texts]
         text_starts = np.concatenate(([0], np.cumsum([len(x) for x in each])))
         points = np.concatenate([*each, np.zeros(0, np.uint32)])
@@ -330,46 +350,61 @@ class Encoder:
         token_ends = np.cumsum(counts)
         total = int(token_ends[-1]) if len(row) else 0
         ids = self.ids[np.repeat(self.offsets[row] - (token_ends - counts), counts) + np.arange(total)]
-        score, loss = self.score[row], self.loss[row]
+        score, loss, exact = self.score[row], self.loss[row], self.exact[row]
         cuts = np.searchsorted(starts, text_starts)
-        at_token = np.concatenate(([0], token_ends))[cuts]
-        paths = self.paths
-        for k in range(len(texts)):
+        at_token = np.concatenate(([0], token_ends))
+        closest = [self._closest(loss[a:z]) + a for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+        self._search(np.concatenate([*closest, np.zeros(0, np.int64)]), row, points, starts, ends)
+        for k, text in enumerate(texts):
             first, stop = cuts[k], cuts[k + 1]
-            mine = ids[at_token[k]:at_token[k + 1]]
+            begin = at_token[first]
+            mine = ids[begin:at_token[stop]]
             if first == stop:
-                yield mine, 0.0, []
+                yield mine, 0.0, [], True
                 continue
             whole = float(np.sum(score[first:stop]))
-            losses, choices = loss[first:stop], []
-            for place in self._closest(losses):
-                r = int(row[first + place])
-                if r not in paths:
-                    at = first + place
-                    found = n_best_paths(points[starts[at]:ends[at]], self.rules.n_best, self.vocabulary)
-                    paths[r] = [(found[0][0] - s, len(x) - len(found[0][1])) for s, x in found]
-                choices.append(paths[r])
-            best = [(whole - lost, len(mine) + sum(c[p][1] for c, p in zip(choices, picked, strict=True)))
-                    for lost, picked in merged_best([[x for x, _ in c] for c in choices], self.rules.n_best)]
-            yield mine, whole, best
+            places = closest[k].tolist()
+            choices = [self.paths[int(row[p])] for p in places]
+            best = []
+            for lost, picked in merged_best([[x for x, _ in c] for c in choices], self.rules.n_best):
+                changes = [(int(at_token[p] - begin), int(counts[p]), c[way][1])
+                           for p, c, way in zip(places, choices, picked, strict=True) if way]
+                best.append((whole - lost, len(mine) + sum(len(x) - n for _, n, x in changes), changes))
+            yield mine, whole, best, MARK not in text and bool(exact[first:stop].all())
+
+    def _search(self, places: np.ndarray, row: np.ndarray, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Find the N best paths of the segments at ``places``, each distinct one once, all in one lattice."""
+        rows, first = np.unique(row[places], return_index=True)
+        new = np.array([r not in self.paths for r in rows.tolist()], dtype=bool)
+        if not new.any():
+            return
+        rows, at = rows[new], places[first[new]]
+        sizes = ends[at] - starts[at]
+        begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        flat = points[np.repeat(starts[at] - begins, sizes) + np.arange(sizes.sum())]
+        for r, found in zip(rows.tolist(), n_best_paths(flat, begins, self.rules.n_best, self.vocabulary), strict=True):
+            own = self.ids[self.offsets[r]:self.offsets[r + 1]].tolist()
+            # Among equally good paths the search may find another one first.
+            others = [(found[0][0] - s, x) for s, x in found if x != own]
+            self.paths[r] = [(0.0, own), *others][:self.rules.n_best]
 
     def _learn_on_top(self, keys: np.ndarray, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         cached, self.rules = self.rules, PieceRules(self.rules.n_best, self.rules.byte_cost, 1 << 62)
         self._learn(keys, points, starts, ends)
         self.rules = cached
 
-    def _closest(self, losses: np.ndarray) -> list[int]:
+    def _closest(self, losses: np.ndarray) -> np.ndarray:
         """Segments that the n best can differ in: the n - 1 with the least loss, earlier ones first on ties."""
         n = self.rules.n_best - 1
         if n < 1:
-            return []
+            return np.zeros(0, dtype=np.int64)
         if len(losses) > n:
             limit = np.partition(losses, n - 1)[n - 1]
             under, equal = np.flatnonzero(losses < limit), np.flatnonzero(losses == limit)
             places = np.sort(np.concatenate((under, equal[:n - len(under)])))
         else:
             places = np.arange(len(losses))
-        return places[np.isfinite(losses[places])].tolist()
+        return places[np.isfinite(losses[places])]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, without the mark in front; broken bytes become replacement characters."""
@@ -394,14 +429,18 @@ def _model(path: str) -> bytes:
         return f.read()
 
 
-ENCODED = ("n_tokens long, score double, n_best array<struct<score: double, n_tokens: int>>, restored boolean, ids array<int>")
+ENCODED = ("n_tokens long, score double, "
+           "n_best array<struct<score: double, n_tokens: int, changes: array<struct<at: int, n: int, ids: array<int>>>>>, "
+           "restored boolean, ids array<int>")
+_CHANGE = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
+_BEST = pa.list_(pa.struct([("score", pa.float64()), ("n_tokens", pa.int32()), ("changes", pa.list_(_CHANGE))]))
 
 
 def encode_documents(docs: DataFrame, model_path: str = MODEL, rules: PieceRules = PieceRules()) -> DataFrame:  # noqa: B008
     """``doc_id, n_tokens, score, n_best, restored, ids``, a row per row of ``docs``.
 
-    ``n_best`` has score and length of the best segmentations, best first, fewer where there
-    are no more. ``restored``: decoding gives the text back, which holds but for texts with the
+    ``n_best`` has the best segmentations, best first, fewer where there are no more: score, length, and
+    how they differ from ``ids`` (``n_best_ids`` gives the ids of each). ``restored``: decoding gives the text back, which holds but for texts with the
     mark character itself. Null and empty texts have no ids, and are restored. The model file is
     read once, on the driver. Other columns are not read. No shuffle.
     """
@@ -413,15 +452,16 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, rules: PieceRules
             for start, stop in text_slices(batch.column("text")):
                 texts = batch.column("text").slice(start, stop - start).to_pylist()
                 ids, scores, best, restored = [], [], [], []
-                for text, (mine, score, top) in zip(texts, encoder.encode(texts), strict=True):
+                for mine, score, top, same in encoder.encode(texts):
                     ids.append(mine)
                     scores.append(score)
-                    best.append([{"score": s, "n_tokens": k} for s, k in top])
-                    restored.append(encoder.decode(mine) == (text or ""))
+                    best.append([{"score": s, "n_tokens": k, "changes": [dict(zip(("at", "n", "ids"), c, strict=True)) for c in changes]}
+                                 for s, k, changes in top])
+                    restored.append(same)
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(start, stop - start), pa.array(np.diff(offsets), pa.int64()),
-                     pa.array(scores, pa.float64()), pa.array(best, pa.list_(pa.struct([("score", pa.float64()), ("n_tokens", pa.int32())]))),
+                     pa.array(scores, pa.float64()), pa.array(best, _BEST),
                      pa.array(restored, pa.bool_()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))],
                     names=["doc_id", "n_tokens", "score", "n_best", "restored", "ids"])
 
@@ -429,6 +469,18 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, rules: PieceRules
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {ENCODED}")
 
 
+def n_best_ids(encoded: DataFrame) -> DataFrame:
+    """``doc_id, rank, score, ids``: a row per segmentation in ``n_best``, the best with rank 1. No shuffle.
+
+    ``decode_documents`` gives the text back from any of them. Texts without ids have no rows.
+    """
+    each = encoded.select("doc_id", F.col("ids").alias("first"), F.posexplode("n_best").alias("rank", "one"))
+    # From the last change to the first, so that the places of the others stay right.
+    ids = F.aggregate(F.reverse("one.changes"), F.col("first"), lambda ids, c: F.concat(
+        F.slice(ids, F.lit(1), c["at"]), c["ids"], F.slice(ids, c["at"] + c["n"] + 1, F.size(ids))))
+    return each.select("doc_id", (F.col("rank") + 1).alias("rank"), F.col("one.score").alias("score"), ids.alias("ids"))
+
+
 def decode_documents(encoded: DataFrame, model_path: str = MODEL, rules: PieceRules = PieceRules()) -> DataFrame:  # noqa: B008
     """``doc_id, text`` from ``doc_id, ids``; null ids give a null text. No shuffle."""
     model = _model(model_path)

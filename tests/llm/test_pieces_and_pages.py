@@ -35,14 +35,14 @@ TEXTS = ["hello", "a b", "xylophone", "  two", "tab\tand\nline", "é漢", "", "t
 
 @pytest.mark.parametrize("text", TEXTS)
 def test_n_best_agrees_with_all_paths(encoder, text):
-    ids, score, best = next(encoder.encode([text]))
+    ids, score, best, restored = next(encoder.encode([text]))
     marked = "▁" + text.replace(" ", "▁") if text else ""
     want = all_paths(marked, encoder.vocabulary)[:5] if text else []
-    assert [s for s, _ in best] == pytest.approx(want)
+    assert [s for s, *_ in best] == pytest.approx(want) and restored
     assert not text or score == pytest.approx(want[0])
     assert encoder.decode(ids) == text
     if text and not set(text) - set("abcdefghijklmnopqrstuvwxyz"):
-        found = n_best_paths(code_points(text), 5, encoder.vocabulary)
+        [found] = n_best_paths(code_points(text), np.zeros(1, dtype=np.int64), 5, encoder.vocabulary)
         assert [s for s, _ in found] == pytest.approx(want)
         assert len(found[0][1]) == best[0][1] == len(ids) and found[0][1] == ids.tolist()
         assert len({tuple(x) for _, x in found}) == len(found)
@@ -52,7 +52,7 @@ def test_batches_agree_with_single_texts_and_with_the_library(encoder):
     draw = np.random.default_rng(3)
     texts = [" ".join(draw.choice(["some", "words", "of", "a", "text", "größer", "ñandú", "漢字", "x" * 300, "--", "\n"], 30)) for _ in range(20)] + [None]
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    for text, (ids, score, best) in zip(texts, list(encoder.encode(texts)), strict=True):
+    for text, (ids, score, best, _) in zip(texts, list(encoder.encode(texts)), strict=True):
         alone = next(encoder.encode([text]))
         assert ids.tolist() == alone[0].tolist() and score == pytest.approx(alone[1]) and len(best) == len(alone[2])
         assert library.decode(ids.tolist()) == (text or "")
@@ -78,6 +78,41 @@ def test_encode_and_decode(spark, odd):
     assert sentence_pieces.decode_documents(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).first().text is None
 
 
+def scored_paths(text, vocabulary):
+    """Every segmentation of a marked text as score and ids, best first."""
+    if not text:
+        return [(0.0, ())]
+    out = []
+    for n in range(1, min(len(text), vocabulary.longest) + 1):
+        piece = text[:n]
+        if piece in vocabulary.ids:
+            score, ids = vocabulary.scores[vocabulary.ids[piece]], (vocabulary.ids[piece],)
+        elif n == 1:
+            score, ids = len(piece.encode()) * vocabulary.byte_score, tuple(vocabulary.byte_ids[list(piece.encode())].tolist())
+        else:
+            continue
+        out += [(score + s, ids + rest) for s, rest in scored_paths(text[n:], vocabulary)]
+    return sorted(out, key=lambda x: -x[0])
+
+
+def test_ids_of_the_n_best(encoder, docs_of):
+    texts = ["", "the cat", "ab cd ef", "a b", "  two", "aaaa", "on it 漢 is", "x▁y"]
+    encoded = sentence_pieces.encode_documents(docs_of(texts), rules=PieceRules(n_best=5))
+    got = sentence_pieces.n_best_ids(encoded)
+    rows = got.orderBy("doc_id", "rank").collect()
+    for k, text in enumerate(texts):
+        mine = [(r.score, tuple(r.ids)) for r in rows if r.doc_id == k]
+        if not text:
+            assert mine == []
+            continue
+        paths = scored_paths("▁" + text.replace(" ", "▁"), encoder.vocabulary)
+        score = {ids: s for s, ids in paths}
+        assert [s for s, _ in mine] == pytest.approx([s for s, _ in paths[:5]])
+        assert len({ids for _, ids in mine}) == len(mine) and all(score[ids] == pytest.approx(s) for s, ids in mine)
+    assert all(r.text == texts[r.doc_id].replace("▁", " ") for r in sentence_pieces.decode_documents(got).collect())
+    assert [r.restored for r in encoded.orderBy("doc_id").collect()] == [True] * 7 + [False]
+
+
 # --- pages ---
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no";</script></head><body>
