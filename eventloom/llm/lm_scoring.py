@@ -176,6 +176,18 @@ def keys_of(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.unique(np.concatenate((tokens.first[tokens.first == BEGIN], tokens.second, tokens.pair)), return_inverse=True, return_counts=True)
 
 
+def counted_keys(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of ``keys_of`` and how often each occurs, with one sorted copy of them and no places."""
+    n_begins = int(np.count_nonzero(tokens.first == BEGIN))
+    n = len(tokens.second)
+    line = np.empty(n_begins + 2 * n, dtype=np.uint64)
+    line[:n_begins], line[n_begins:n_begins + n], line[n_begins + n:] = BEGIN, tokens.second, tokens.pair
+    del tokens
+    line.sort()
+    at = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(line) else np.zeros(0, dtype=np.int64)
+    return line[at], np.diff(np.append(at, len(line)))
+
+
 REQUESTS = "shard long, slice long, target boolean, keys binary, counts binary"
 
 
@@ -184,12 +196,18 @@ def requests(slices: DataFrame, shards: int, chosen: np.ndarray | None) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                keys, _, counts = keys_of(tokens_of(row["sizes"], row["texts"], chosen))
-                shard = ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-                cuts = np.flatnonzero(np.diff(shard.astype(np.int64), prepend=-1))
-                out = [(int(shard[a]), row["slice"], row["target"], as_planes(np.diff(keys[a:b], prepend=np.uint64(0))), as_planes(counts[a:b]))
-                       for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=True)]
+            # A batch holds many slices: one at a time is unpacked.
+            for k in range(batch.num_rows):
+                name, target, sizes, texts = (batch.column(c)[k].as_py() for c in ("slice", "target", "sizes", "texts"))
+                keys, counts = counted_keys(tokens_of(sizes, texts, chosen))
+                del sizes, texts
+                firsts = np.arange(shards, dtype=np.uint64)
+                # The least key of shard s: its upper half times ``shards`` reaches s << 32.
+                least = (((firsts << np.uint64(32)) + np.uint64(shards - 1)) // np.uint64(shards)) << np.uint64(32)
+                bounds = [*np.searchsorted(keys, least).tolist(), len(keys)]
+                out = [(s, name, target, as_planes(np.diff(keys[a:b], prepend=np.uint64(0))), as_planes(counts[a:b]))
+                       for s, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if a < b]
+                del keys, counts
                 kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)],
                                                  names=["shard", "slice", "target", "keys", "counts"])
