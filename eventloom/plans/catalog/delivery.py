@@ -11,7 +11,8 @@ from ...operators.events import log_flags, serialize_list, serialize_parms, to_e
 from ...operators.route import effective_subscriptions, has_listener, route, route_as_of, subscription_intervals
 from ...schema import as_events
 from ...session import shared_dir
-from ...sources.sinks import write_events
+from ...sources.committed import read_committed, write_events_committed
+from ...sources.sinks import event_rows, write_events
 from .. import views as V
 from .expansion import full_events
 from .registry import AMOUNT, REF_TEXT, STAMP, ip_sql, query, ref_time, stamp, with_views
@@ -162,6 +163,19 @@ def event_table_sink(spark, sf):
     return spark.read.parquet(path).groupBy("eventlogmsg").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("committed_events", """
+select event_id % 3 as batch_id, event_type as eventlogmsg, count(*) as n from events where event_id % 6 in (0, 5) group by 1, 2""")
+def committed_events(spark, sf):
+    """Three batches, of which one is left half-written first and one is repeated."""
+    path = shared_dir(spark, "committed-events")
+    events = dest_events(spark, sf)
+    half = event_rows(as_events(events.filter("event_id % 3 = 0")))
+    half.write.parquet(f"{path}/data/batch_id=0/attempt=half")
+    for batch in (0, 1, 2, 2):
+        write_events_committed(as_events(events.filter(F.col("event_id") % 3 == batch)), path, batch)
+    return read_committed(spark, path, half.schema).groupBy("batch_id", "eventlogmsg").agg(F.count(F.lit(1)).alias("n"))
+
+
 BATCH_SQL = with_views("packets") + """
 select source_ip, source_port, batch_no, count(*) as items, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as first_ts,
   strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as last_ts, string_agg(cast(event_id as varchar), ',' order by ts, event_id) as payloads

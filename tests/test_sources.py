@@ -12,6 +12,7 @@ from eventloom.sources.config import read_event_defs, read_hide_rules, read_patt
 from eventloom.sources.envelopes import read_envelopes
 from eventloom.sources.event_logs import read_documents, read_event_logs, split_documents, split_log_files
 from eventloom.sources.kafka import kafka_options
+from eventloom.sources.committed import commit, read_committed, stale_attempts, write_committed
 from eventloom.sources.sinks import write_events
 from eventloom.plans.catalog.rules import RULE_FILE, RULES
 
@@ -139,3 +140,30 @@ def test_kafka_options():
     for servers, topic, group in (("", "a", "g"), ("h", "a", ""), ("h", [], "g")):
         with pytest.raises(ValueError):
             kafka_options(servers, topic, group)
+
+
+def test_batches_count_once_and_whole(spark, tmp_path):
+    path, frame = str(tmp_path / "out"), lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    schema = frame(1).schema
+    assert read_committed(spark, path, schema).count() == 0 and stale_attempts(spark, path).count() == 0
+    assert write_committed(frame(1, 2), path, 0) is True
+    assert write_committed(frame(1, 2), path, 0) is False
+    assert write_committed(frame(), path, 1) is True
+
+    def dies(k):
+        raise RuntimeError("lost")
+
+    # A write that fails in a task, and one whose driver dies before the manifest entry.
+    with pytest.raises(Exception, match="lost"):
+        write_committed(frame(3, 4).select(F.udf(dies, "long")("id").alias("id")), path, 2)
+    frame(3).write.parquet(f"{path}/data/batch_id=2/attempt=dead")
+    read = lambda: sorted((r.id, r.batch_id) for r in read_committed(spark, path, schema).collect())
+    assert read() == [(1, 0), (2, 0)]
+    assert [(r.batch_id, r.attempt) for r in stale_attempts(spark, path).collect()] == [(2, "dead")]
+    assert write_committed(frame(3, 4), path, 2) is True
+    # Of two writers of one batch the first to commit counts.
+    frame(9).write.parquet(f"{path}/data/batch_id=2/attempt=late")
+    assert commit(spark, path, 2, "late") is False
+    assert read() == [(1, 0), (2, 0), (3, 2), (4, 2)]
+    with pytest.raises(ValueError, match="attempt"):
+        write_committed(frame(1).withColumnRenamed("id", "Attempt"), path, 3)
