@@ -24,7 +24,7 @@ from .common import joined, mix, owners, span_hashes, text_slices, word_spans, w
 #: Keys of the tokens that are no words.
 OTHER, BEGIN, END = (np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
 #: Text bytes of a slice: the more, the more often its texts share a bigram, which is sent once.
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -171,13 +171,8 @@ def tokens_of(sizes: bytes, texts: bytes, chosen: np.ndarray | None) -> Tokens:
     return Tokens(first, second, mix(mix(first) + second), np.repeat(np.arange(n), counts + 1))
 
 
-def keys_of(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in order: the begin, what follows, and pairs; with the place of each step's pair and of all three."""
-    return np.unique(np.concatenate((tokens.first[tokens.first == BEGIN], tokens.second, tokens.pair)), return_inverse=True, return_counts=True)
-
-
 def counted_keys(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of ``keys_of`` and how often each occurs, with one sorted copy of them and no places."""
+    """Distinct keys in order (the begin, what follows, and pairs) and how often each occurs, with one sorted copy of them."""
     n_begins = int(np.count_nonzero(tokens.first == BEGIN))
     n = len(tokens.second)
     line = np.empty(n_begins + 2 * n, dtype=np.uint64)
@@ -237,22 +232,24 @@ def slice_losses(head: pa.Table, answers: pa.Table, sizes: Corpora, rules: Model
     if not len(head):
         return pa.table({n: pa.array([], k) for n, k in KINDS})
     tokens = tokens_of(head["sizes"][0].as_py(), head["texts"][0].as_py(), sizes.chosen)
-    keys, inverse, _ = keys_of(tokens)
+    keys, _ = counted_keys(tokens)
     answers = answers.sort_by("shard")
-    n = len(tokens.second)
-    second, pair = inverse[-2 * n:-n], inverse[-n:]
-    # What a step starts from is the begin, the first key of all, or what the step before ended with.
-    first = np.where(tokens.first == BEGIN, inverse[0], np.roll(second, 1))
-    length = np.bincount(tokens.text)
+    # Places by halving: sorting all steps with their places takes several times the memory.
+    second, pair = np.searchsorted(keys, tokens.second), np.searchsorted(keys, tokens.pair)
+    # What a step starts from is the begin or what the step before ended with.
+    first = np.where(tokens.first == BEGIN, np.searchsorted(keys, BEGIN), np.roll(second, 1))
+    n_keys, owner = len(keys), tokens.text
+    del keys, tokens
+    length = np.bincount(owner)
     loss = {}
     for name, size in (("target", sizes.target), ("background", sizes.background)):
         seen = np.concatenate([of_planes(x) for x in answers[name].to_pylist()]).astype(float)
-        if len(seen) != len(keys):
-            raise ValueError(f"{len(seen)} sums for {len(keys)} keys of slice {head['slice'][0]}")
+        if len(seen) != n_keys:
+            raise ValueError(f"{len(seen)} sums for {n_keys} keys of slice {head['slice'][0]}")
         # Words, ends and the rest can follow; no more.
         share = (seen[second] + rules.unigram_prior / (sizes.words + 2)) / (size + rules.unigram_prior)
         each = -np.log((seen[pair] + rules.bigram_prior * share) / (seen[first] + rules.bigram_prior))
-        loss[name] = np.bincount(tokens.text, weights=each) / length
+        loss[name] = np.bincount(owner, weights=each) / length
     ids = head["ids"].combine_chunks().flatten()
     return pa.table([ids, pa.array(length.astype(np.int64)), pa.array(loss["target"]), pa.array(loss["background"]),
                      pa.array(loss["target"] - loss["background"])], names=[n for n, _ in KINDS])
