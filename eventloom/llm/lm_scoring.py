@@ -36,7 +36,7 @@ class ModelRules:
     vocabulary: int | None = None
     bigram_prior: float = 20.0
     unigram_prior: float = 100.0
-    shard_tokens: int = 2_000_000
+    shard_tokens: int = 500_000
 
 
 @dataclass(frozen=True)
