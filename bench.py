@@ -20,7 +20,7 @@ HEADLINE = [
     "line_juniper", "line_custom", "event_build", "rule_match", "rule_capture_parms", "node_lookup",
     "node_enrich", "hardware_lookup", "mask_match", "mask_match_literal", "definition_lookup",
     "template_expand", "event_expand", "event_rows", "prefix_routing", "subscription_state",
-    "source_batches", "connection_cap", "receipts", "ingest_metrics", "document_redaction",
+    "source_batches", "connection_cap", "receipts", "ingest_metrics", "document_redaction", "alarm_reduction",
 ]
 STREAMS = ["stream_flow"]
 SLOW = 8.0
