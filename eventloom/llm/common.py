@@ -67,11 +67,12 @@ def with_row_key(docs: DataFrame, name: str) -> DataFrame:
 
     The hash is for null ids, and for all but one text of an id that has several. It is above 2 ** 62, so
     that such rows come after the others. Rows with the same id and text get one key. Ids that have
-    several texts are found by an aggregation and joined as a table, which is small or else shuffled.
+    several texts are written first: the planner then knows their size, and while it is small it
+    moves no text for their join.
     """
     doc_id, text = F.col("doc_id").cast("long"), F.xxhash64("text")
     odd = docs.filter("doc_id is not null").groupBy(doc_id.alias("_odd")).agg(F.min(text).alias("_low"), F.max(text).alias("_high"))
-    odd = odd.filter("_low <> _high").drop("_high")
+    odd = written(odd.filter("_low <> _high").drop("_high"), "odd-ids")
     odd_id, low = fresh(docs, "_odd", "_low")
     odd = odd.select(F.col("_odd").alias(odd_id), F.col("_low").alias(low))
     own = doc_id.isNotNull() & (F.col(low).isNull() | (F.col(low) == text))
