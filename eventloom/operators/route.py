@@ -79,7 +79,9 @@ def subscription_intervals(changes: DataFrame) -> DataFrame:
     added again begins a further interval, so that those of a listener and name never overlap.
     """
     listed = changes.filter(~((F.col("op") == "add") & (F.size(F.coalesce("ueis", F.array())) == 0)))
-    later = Window.partitionBy("listener").orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
+    # Backwards, so that each minimum is the one before it and one more row; a frame that runs to the
+    # end is worked out anew for every row.
+    later = Window.partitionBy("listener").orderBy(F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, -1)
     seen = listed.withColumns({
         "cleared": F.min(F.when(F.col("op").isin("add_all", "remove_all"), F.col("seq"))).over(later),
         "named": F.min(F.when(F.col("op") != "remove", F.col("seq"))).over(later),
@@ -100,9 +102,9 @@ def route_as_of(
     """One row per (event, listener): the listeners whose subscription was in force at the event's ``seq``.
 
     Time is cut into slots of ``width``; an interval is listed in each slot it touches up to the last
-    event's. Lists are made once per (name, slot), so that events are joined on both and never multiplied
-    by a key's whole history. Those who take all events are listed per slot, apart from the names. The first and last slot are looked up at once. Events
-    without a ``seq`` go to nobody.
+    event's. Lists are made once per (name, slot), with those who take all events, so that events are joined
+    once, on both, are never multiplied by a key's whole history, and no list is shuffled with an event. The
+    first and last slot are looked up at once. Events without a ``seq`` go to nobody.
     """
     slot = F.floor(F.col(seq) / width)
     low, high = df.agg(F.min(slot), F.max(slot)).first()
@@ -116,17 +118,14 @@ def route_as_of(
     named = listed.filter(F.col("uei").isNotNull()).select(F.concat(F.lit("="), "uei").alias("_key"), "_slot", "_one")
     names = events.select(F.col(uei).alias("_name"), "_slot").filter("_slot is not null").distinct()
     keys = names.withColumn("_key", F.explode(F.filter(name_keys(F.col("_name")), lambda k: k != "*")))
-    of_name = keys.join(named, ["_key", "_slot"]).groupBy("_name", "_slot").agg(F.collect_set("_one").alias("_named"))
-    of_all = listed.filter(F.col("uei").isNull()).groupBy("_slot").agg(F.collect_set("_one").alias("_every"))
-    joined = (
-        events.join(of_name.withColumnRenamed("_slot", "_of"), (F.col(uei) == F.col("_name")) & (F.col("_slot") == F.col("_of")), "left").drop("_of", "_name")
-        .join(of_all, "_slot", "left")
-    )
-    none = F.array().cast("array<struct<listener:string,start:bigint,stop:bigint>>")
-    candidates = F.concat(*[F.coalesce(F.col(c).cast("array<struct<listener:string,start:bigint,stop:bigint>>"), none) for c in ("_named", "_every")])
-    inside = F.filter(candidates, lambda i: (i["start"] <= F.col(seq)) & (i["stop"].isNull() | (F.col(seq) < i["stop"])))
+    of_name = keys.join(named, ["_key", "_slot"]).select("_name", "_slot", "_one")
+    of_all = listed.filter(F.col("uei").isNull()).select("_slot", "_one")
+    of_all = names.join(of_all, "_slot").select("_name", "_slot", "_one")
+    lists = of_name.union(of_all).groupBy("_name", F.col("_slot").alias("_of")).agg(F.collect_set("_one").alias("_listed"))
+    joined = events.join(lists, F.col(uei).eqNullSafe(F.col("_name")) & (F.col("_slot") == F.col("_of")))
+    inside = F.filter("_listed", lambda i: (i["start"] <= F.col(seq)) & (i["stop"].isNull() | (F.col(seq) < i["stop"])))
     listeners = F.array_distinct(F.transform(inside, lambda i: i["listener"]))
-    return joined.withColumn("listener", F.explode(listeners)).drop("_slot", "_named", "_every")
+    return joined.withColumn("listener", F.explode(listeners)).drop("_slot", "_name", "_of", "_listed")
 
 
 def has_listener(subscriptions: DataFrame) -> DataFrame:
