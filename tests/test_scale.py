@@ -40,3 +40,21 @@ def test_events_are_joined_once_as_of(spark):
     got = sorted((r.seq, r.uei or "", r.listener) for r in out.collect())
     assert got == [(1, "x", "a"), (2, "x", "a"), (2, "x", "b"), (5, "", "a"), (5, "", "b"), (6, "d/e", "b"), (6, "d/e", "c"), (7, "", "b")]
     assert "Join LeftOuter" not in _plan(out)
+
+
+def test_rows_without_a_key_are_spread(spark):
+    """In a shuffled join, rows whose key is null are not all in one partition."""
+    left = spark.range(4000).select("id", F.when(F.col("id") % 100 == 0, F.col("id")).alias("k"))
+    right = spark.range(0, 4000, 200).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+    out = lookup_join(left, right.hint("merge"), {"k": "key"})
+    assert out.columns == ["id", "k", "v"]
+    rows = out.withColumn("part", F.spark_partition_id())
+    held = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = rows.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", held)
+    assert sorted((r.id, r.v) for r in got) == [(k, 2 * k if k % 200 == 0 else None) for k in range(4000)]
+    parts = [sum(r.part == p and r.k is None for r in got) for p in {r.part for r in got}]
+    assert max(parts) < 4000 / 2
