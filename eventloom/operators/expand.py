@@ -41,8 +41,12 @@ def decode_map(decodes: DataFrame) -> DataFrame:
 
 
 def decode_parms(df: DataFrame, decodes: DataFrame, **join) -> DataFrame:
-    """Show coded parm values as ``text(value)``, by position or by name."""
-    joined = lookup_join(df, decode_map(decodes), {"def_no": "def_no"}, **join)
+    """Show coded parm values as ``text(value)``, by position or by name.
+
+    The decodes are configuration, and a few definition numbers as keys of a shuffle would gather all
+    events in few tasks; so they are sent to every task.
+    """
+    joined = lookup_join(df, F.broadcast(decode_map(decodes)), {"def_no": "def_no"}, **join)
 
     def shown(p: Column, i: Column) -> Column:
         by_position = F.concat(F.lit("parm[#"), (i + 1).cast("string"), F.lit("]"))

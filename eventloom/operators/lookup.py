@@ -247,7 +247,8 @@ def lookup_definition(df: DataFrame, defs: DataFrame, default_uei: str | None =
     """Add the definition as the struct ``def``.
 
     A mask match (``def_no``, where present) wins, then the earliest maskless definition
-    of the event's name, then the one named ``default_uei``.
+    of the event's name, then the one named ``default_uei``. Definitions are configuration and are
+    sent to every task: a few names and numbers as keys of a shuffle would gather all events in few tasks.
     """
     maskless = defs.filter((F.size(F.coalesce("mask", F.array())) == 0) & (F.size(F.coalesce("varbinds", F.array())) == 0))
     by_name = maskless.groupBy("uei").agg(F.min("def_no").alias("_by_name"))
@@ -255,7 +256,7 @@ def lookup_definition(df: DataFrame, defs: DataFrame, default_uei: str | None =
     if default_uei is not None:
         default = defs.filter(F.col("uei") == default_uei).agg(F.min("def_no")).scalar()
     masked = F.col("def_no") if "def_no" in df.columns else F.lit(None).cast("int")
-    keyed = lookup_join(df, by_name, {"uei": "uei"}, **join)
+    keyed = lookup_join(df, F.broadcast(by_name), {"uei": "uei"}, **join)
     keyed = keyed.withColumn("def_no", F.coalesce(masked, "_by_name", default)).drop("_by_name")
     dim = defs.select("def_no", F.struct(*defs.columns).alias("def"))
-    return lookup_join(keyed, dim, {"def_no": "def_no"}, **join)
+    return lookup_join(keyed, F.broadcast(dim), {"def_no": "def_no"}, **join)

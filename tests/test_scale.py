@@ -58,3 +58,10 @@ def test_rows_without_a_key_are_spread(spark):
     assert sorted((r.id, r.v) for r in got) == [(k, 2 * k if k % 200 == 0 else None) for k in range(4000)]
     parts = [sum(r.part == p and r.k is None for r in got) for p in {r.part for r in got}]
     assert max(parts) < 4000 / 2
+
+
+def test_definitions_and_decodes_are_sent_to_the_events(spark):
+    events = as_events(spark.range(5).select(F.lit("u").alias("uei"))).withColumn("def_no", F.lit(1))
+    assert "rightHint=(strategy=broadcast)" in _plan(lookup_definition(events, definitions(spark)))
+    decodes = spark.createDataFrame([(1, "parm[#1]", "1", "one")], "def_no int, token string, value string, text string")
+    assert "rightHint=(strategy=broadcast)" in _plan(decode_parms(events, decodes))
