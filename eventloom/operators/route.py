@@ -32,18 +32,25 @@ def routing_table(names: DataFrame, subscriptions: DataFrame, uei: str = "uei")
     )
 
 
-def route(df: DataFrame, subscriptions: DataFrame, uei: str = "uei") -> DataFrame:
+def route(df: DataFrame, subscriptions: DataFrame, uei: str = "uei", salts: int = 1) -> DataFrame:
     """One row per (event, listener), each listener once.
 
     ``subscriptions`` holds (listener, uei); a null name takes all events, one that ends
     in ``/`` a whole directory. Prefixes are walked once per distinct name, not per event,
-    so events themselves are joined once, on the name, and never grouped.
+    so events themselves are joined once, on the name, and never grouped. ``salts`` > 1 splits the events
+    of a name up front, for streams, where Spark splits no hot key by itself.
     """
     table = routing_table(df, subscriptions, uei).withColumnRenamed(uei, "_name")
+    same = F.col(uei).eqNullSafe(F.col("_name"))
+    if salts > 1:
+        plain = [c for c, t in df.dtypes if not t.startswith(("map", "array", "struct", "variant"))]
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
+        table = table.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        same = same & (F.col("_salt") == F.col("_salt_r"))
     return (
-        df.join(table, F.col(uei).eqNullSafe(F.col("_name")))
+        df.join(table, same)
         .withColumn("listener", F.explode("listeners"))
-        .drop("_name", "listeners")
+        .drop("_name", "listeners", "_salt", "_salt_r")
     )
 
 

@@ -95,13 +95,17 @@ def with_reload(
     return run
 
 
+# Parts that the events of one name are split into on their way to the subscribers.
+_NAME_SALTS = 64
+
+
 def publish(
     events: DataFrame, subscriptions: DataFrame, config: Config, sinks: Sinks, batch_id: int, counts: StageCounts | None = None
 ) -> None:
     """Hand the same expanded events to the table and to the subscribers."""
     counts = counts or StageCounts()
     write_events(add_row_lookups(events, config), sinks.table, batch_id)
-    routed = counts.watch(route(broadcastable(events), subscriptions), "broadcast")
+    routed = counts.watch(route(broadcastable(events), subscriptions, salts=_NAME_SALTS), "broadcast")
     write_batch_folder(
         routed.select("listener", "uei", "nodeid", "time", "interface", "severity",
                       F.col("logmsg.content").alias("logmsg"), "parms"),
