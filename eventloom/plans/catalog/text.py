@@ -11,7 +11,7 @@ from ...operators.formats import full_text, parse_lines, register_format
 from ...operators.rules import split_rejects
 from ...sources.envelopes import read_envelopes
 from ...session import shared_dir
-from ...sources.event_logs import read_documents, read_event_logs
+from ...sources.event_logs import read_documents, read_event_log_rows
 from .. import views as V
 from .registry import (
     AMOUNT, BODY, BSD, CODE, DAY, HOST, ISO, PID, PROC, REF_TEXT, STAMP, facility_sql, ip_sql, query,
@@ -416,7 +416,6 @@ def event_log_files(spark, sf):
     """The streams of all events in files that are read split by split."""
     path = shared_dir(spark, "event-logs")
     log_streams(spark, sf).select("stream").write.text(path)
-    events, rejects = read_event_logs(spark, path)
-    out = events.select("header_dp", "uuid", "uei", "nodeid", stamp("time").alias("event_time"), F.col("logmsg.content").alias("content"))
-    none = [F.lit(None).cast(t).alias(c) for c, t in out.dtypes[1:]]
-    return out.union(rejects.select(F.lit("reject").alias("header_dp"), *none))
+    rows = read_event_log_rows(spark, path)
+    return rows.select(F.when(F.col("rejected"), "reject").otherwise(F.col("header_dp")).alias("header_dp"), "uuid", "uei", "nodeid",
+                       stamp("time").alias("event_time"), F.col("logmsg.content").alias("content"))

@@ -60,17 +60,19 @@ def read_documents(df: DataFrame, text: str, log_id: list[str]) -> tuple[DataFra
     return _events_and_rejects(split_documents(df, text, log_id), log_id)
 
 
-def _events_and_rejects(docs: DataFrame, log_id: list[str]) -> tuple[DataFrame, DataFrame]:
-    # Both parts come from one flagged frame; the caller may persist what it reads twice.
+def _event_rows(docs: DataFrame, log_id: list[str]) -> DataFrame:
+    """A row per event and per rejected document, told apart by ``rejected``; ``doc`` is kept of the latter only."""
     bad = F.col("log").isNull() | F.col("log._corrupt_record").isNotNull() | ~F.col("doc").rlike(_CLOSED)
-    rejects = docs.filter(bad).select(*log_id, "doc_no", "doc")
-    events = docs.filter(~bad).select(
-        *log_id, "doc_no", F.col("log.header.dpName").alias("header_dp"),
-        F.posexplode("log.events.event").alias("seq", "e"),
+    flagged = compute_once(docs, {"rejected": F.coalesce(bad, F.lit(True))})
+    none = F.array(F.lit(None).cast(_EVENT))
+    rows = flagged.select(
+        *log_id, "doc_no", "rejected", F.when(F.col("rejected"), F.col("doc")).alias("doc"),
+        F.when(~F.col("rejected"), F.col("log.header.dpName")).alias("header_dp"),
+        F.posexplode(F.when(F.col("rejected"), none).otherwise(F.col("log.events.event"))).alias("seq", "e"),
     )
     plain = ["dbid", "uei", "source", "nodeid", "host", "interface", "ifindex", "snmphost", "service",
              "severity", "descr", "operinstruct", "mouseovertext", "pathoutage", "snmp"]
-    return events.select(
+    return rows.select(
         *log_id, "doc_no", "seq", "header_dp", F.col("e._uuid").alias("uuid"),
         *[F.col(f"e.{c}") for c in plain],
         F.col("e.distPoller").alias("dist_poller"),
@@ -78,8 +80,14 @@ def _events_and_rejects(docs: DataFrame, log_id: list[str]) -> tuple[DataFrame,
         F.when(F.col("e.logmsg").isNotNull(), F.struct(
             F.col("e.logmsg._dest").alias("dest"), F.col("e.logmsg._VALUE").alias("content")
         )).alias("logmsg"),
-        _parms(F.col("e.parms.parm")).alias("parms"),
-    ), rejects
+        _parms(F.col("e.parms.parm")).alias("parms"), "rejected", "doc",
+    )
+
+
+def _events_and_rejects(docs: DataFrame, log_id: list[str]) -> tuple[DataFrame, DataFrame]:
+    # Both parts come from one frame; the caller may persist what it reads twice.
+    rows = _event_rows(docs, log_id)
+    return rows.filter(~F.col("rejected")).drop("rejected", "doc"), rows.filter("rejected").select(*log_id, "doc_no", "doc")
 
 
 _SEPARATOR = "log>"
@@ -120,6 +128,12 @@ def split_log_files(spark: SparkSession, path: str) -> DataFrame:
     return docs.select("file", F.col("doc_no").cast("int").alias("doc_no"), doc.alias("doc")).filter(F.col("doc") != "")
 
 
+def read_event_log_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What ``read_event_logs`` gives as one frame, in which each document is parsed once: a row per event and
+    per rejected document. ``rejected`` tells the latter, which keep their text in ``doc``."""
+    return _event_rows(_parsed(split_log_files(spark, path)), ["file"])
+
+
 def read_event_logs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(events, rejected documents) of files. A file is one connection's stream; a plain one is read in
     splits (``split_log_files``), of which a document may cross any number."""

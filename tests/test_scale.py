@@ -73,3 +73,15 @@ def test_salted_routing_is_the_same(spark):
     want, got = route(names, subs), route(names, subs, salts=4)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_documents_are_parsed_once(spark, sf):
+    assert _plan(QUERIES["event_log_files"](spark, sf)).count("from_xml") == 1
+    path = shared_dir(spark, "test-rows")
+    good = "<log><events><event><uei>a</uei></event><event><uei>b</uei></event></events></log>"
+    spark.createDataFrame([(good + "<log><events/></log><log><events></evnt></log> rest",)], "value string").write.text(path)
+    rows = read_event_log_rows(spark, path).select("doc_no", "seq", "uei", "rejected", "doc").collect()
+    assert sorted((r.doc_no, r.uei or "", r.rejected, r.doc is None) for r in rows) == [
+        (0, "a", False, True), (0, "b", False, True), (2, "", True, False), (3, "", True, False)]
+    events, rejects = read_event_logs(spark, path)
+    assert events.count() == 2 and sorted(r.doc_no for r in rejects.collect()) == [2, 3]
