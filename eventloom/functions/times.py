@@ -121,5 +121,6 @@ def event_time_of(fields: dict[str, Column], ref_time: Column) -> Column:
 
 
 def parse_event_time(params: Column, ref_time: Column) -> Column:
-    """``event_time_of`` the fields of a params map."""
+    """``event_time_of`` the fields of a params map. They are read many times: give a finished column
+    (``compute_once``), not the expression that makes the map."""
     return event_time_of({n: F.try_element_at(params, F.lit(n)) for n in TIME_FIELDS}, ref_time)

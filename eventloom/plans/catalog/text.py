@@ -7,6 +7,7 @@ from ...functions.priority import decode_priority, encode_priority
 from ...functions.times import format_bsd_time, is_datetime_token, parse_bsd_time, parse_event_time
 from ...operators.events import host_address, to_events
 from ...operators.extract import extract_fields, to_messages
+from ...operators.joins import compute_once
 from ...operators.formats import full_text, parse_lines, register_format
 from ...operators.rules import split_rejects
 from ...sources.envelopes import read_envelopes
@@ -198,8 +199,8 @@ def event_time(spark, sf):
         entry("month", kind == 4, F.lit("Nonsense")),
     )
     params = F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull()))
-    return V.table(spark, sf, "events").select(
-        "event_id", stamp(parse_event_time(params, ref_time())).alias("event_time"))
+    return compute_once(V.table(spark, sf, "events"), {"params": params}).select(
+        "event_id", stamp(parse_event_time(F.col("params"), ref_time())).alias("event_time"))
 
 
 @query("line_rfc5424", f"""
@@ -377,8 +378,8 @@ def event_time_fractions(spark, sf):
         entry("timestamp", kind == 5, stamp("ts", "yyyy/MM/dd")),
     )
     params = F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull()))
-    return V.table(spark, sf, "events").select(
-        "event_id", stamp(parse_event_time(params, ref_time()), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"))
+    return compute_once(V.table(spark, sf, "events"), {"params": params}).select(
+        "event_id", stamp(parse_event_time(F.col("params"), ref_time()), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"))
 
 
 @query("envelope_many_messages", f"""

@@ -75,6 +75,11 @@ def test_salted_routing_is_the_same(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_params_are_made_once(spark, sf):
+    for name in ("event_time", "event_time_fractions"):
+        assert _plan(QUERIES[name](spark, sf)).count("map_from_entries") == 1
+
+
 def test_documents_are_parsed_once(spark, sf):
     assert _plan(QUERIES["event_log_files"](spark, sf)).count("from_xml") == 1
     path = shared_dir(spark, "test-rows")
