@@ -23,27 +23,41 @@ def _same(names: list[str], suffix: str) -> Column:
     return same
 
 
-def _at_most(bounds: Column, value: Column, bits: int = 24) -> Column:
-    """How many of the sorted ``bounds`` are not above ``value``, by halving."""
-    steps = F.transform(F.sequence(F.lit(bits - 1), F.lit(0)), lambda k: F.pow(F.lit(2), k).cast("int"))
-    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(
-        (low + step <= F.size(bounds)) & (F.get(bounds, low + step - 1) <= value), low + step).otherwise(low))
+# Bounds are searched in three levels of this many bits, as a row carries the list it is compared with.
+_LEVEL_BITS = 8
+
+
+def _at_most(bounds: Column, value: Column) -> Column:
+    """How many of up to 255 sorted ``bounds`` are not above ``value``, by halving; 0 without bounds."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(_LEVEL_BITS))])
+    return F.when(bounds.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), lambda low, step: F.when(
+        (low + step <= F.size(bounds)) & (F.get(bounds, low + step - 1) <= value), low + step).otherwise(low)))
 
 
 def _sub_slices(sliced: DataFrame, keys: list[str], ts: str, order: list[str], counts: DataFrame, slice_rows: int) -> DataFrame:
     """Add ``_sub``: slices of more than ``slice_rows`` rows are cut at bounds in (ts, order).
 
     The bounds are every 16th of a sample by hash that holds about 16 rows per part, so that a run
-    repeats them. Only such slices are sampled; the others are part 0.
+    repeats them. Only such slices are sampled; the others are part 0. A row finds its part from level
+    to level, each with a short list, so that its work grows with the logarithm of the number of parts.
     """
     by, place = [*keys, "_slice"], F.struct(ts, *order)
     hot = counts.filter(F.col("_n") > slice_rows).select(*[F.col(k).alias(f"{k}_h") for k in by])
     sampled = sliced.filter(F.pmod(F.xxhash64(ts, *order), F.lit(max(1, slice_rows // 16))) == 0)
-    bounds = sampled.join(hot, _same(by, "_h"), "left_semi").groupBy(*by).agg(F.array_sort(F.collect_list(place)).alias("_all")).select(
-        *[F.col(k).alias(f"{k}_b") for k in by], F.filter("_all", lambda x, i: i % 16 == 15).alias("_bounds"))
-    joined = sliced.join(bounds, _same(by, "_b"), "left")
-    sub = F.when(F.col("_bounds").isNotNull(), _at_most(F.col("_bounds"), place)).otherwise(0)
-    return joined.withColumn("_sub", sub).drop("_bounds", *[f"{k}_b" for k in by])
+    bounds = sampled.join(F.broadcast(hot), _same(by, "_h"), "left_semi").groupBy(*by).agg(F.array_sort(F.collect_list(place)).alias("_all")).select(
+        *[F.col(k).alias(f"{k}_b") for k in by], F.posexplode(F.filter("_all", lambda x, i: i % 16 == 15)).alias("_no", "_bound"))
+    joined = sliced.withColumn("_sub", F.lit(0))
+    for bits in range(2 * _LEVEL_BITS, -1, -_LEVEL_BITS):
+        # The last bound of every 2^bits, but for those that the level above has compared.
+        last = F.col("_no") + 1
+        ends = (F.pmod(last, F.lit(1 << bits)) == 0) & ((F.pmod(last, F.lit(1 << (bits + _LEVEL_BITS))) != 0) | F.lit(bits == 2 * _LEVEL_BITS))
+        group = F.lit(0) if bits == 2 * _LEVEL_BITS else F.shiftright("_no", bits + _LEVEL_BITS)
+        lists = bounds.filter(ends).groupBy(*[f"{k}_b" for k in by], group.alias("_group")).agg(
+            F.array_sort(F.collect_list("_bound")).alias("_bounds"))
+        found = joined.join(F.broadcast(lists), _same(by, "_b") & (F.col("_sub") == F.col("_group")), "left")
+        sub = F.col("_sub") * (1 << (_LEVEL_BITS if bits < 2 * _LEVEL_BITS else 0)) + _at_most(F.col("_bounds"), place)
+        joined = found.withColumn("_sub", sub).drop("_bounds", "_group", *[f"{k}_b" for k in by])
+    return joined
 
 
 def _offsets(counts: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:

@@ -75,6 +75,19 @@ def test_salted_routing_is_the_same(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_numbers_over_all_levels(spark):
+    """One source at one time, cut into more parts than one level holds."""
+    ids = list(range(9000))
+    random.Random(3).shuffle(ids)
+    rows = spark.createDataFrame([(k,) for k in ids], "no long").select(
+        F.when(F.col("no") % 50 > 0, F.lit("hot")).alias("source"), F.lit("2024-01-01").cast("timestamp").alias("ts"), "no")
+    got = number_rows(rows, ["source"], "ts", ["no"], slice_rows=16)
+    want = rows.withColumn("want", F.row_number().over(Window.partitionBy("source").orderBy("no")))
+    assert got.join(want, "no").filter("rn = want").count() == 9000
+    # No row carries all bounds: each list is compared with at most 255.
+    assert _plan(got).count("_bounds") >= 3
+
+
 def test_params_are_made_once(spark, sf):
     for name in ("event_time", "event_time_fractions"):
         assert _plan(QUERIES[name](spark, sf)).count("map_from_entries") == 1
