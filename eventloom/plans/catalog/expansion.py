@@ -194,7 +194,8 @@ select event_id, case def_no when 1 then concat(uei, ':', n, ':', event_id % 5)
   case def_no when 1 then false when 10 then true end as auto_clean,
   case when def_no = 1 then 'severity' end as update_fields from defs""")
 def alarm_keys_query(spark, sf):
-    out = alarm_keys(run_chain(defined_events(spark, sf), [fill_from_definition, expand_event]))
+    known = templates_by_field(definitions(spark))
+    out = alarm_keys(run_chain(defined_events(spark, sf), [fill_from_definition, lambda df: expand_event(df, known)]))
     return out.select("event_id", "reduction_key", "clear_key", "alarm_type", "auto_clean",
                       F.array_join(F.col("update_fields.field"), ",").alias("update_fields"))
 
