@@ -19,14 +19,14 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import parts_for, text_slices, written
+from .common import SLICE_BYTES, joined, parts_for, text_slices, word_spans, written
 
 _LOW = np.uint64(1 << 31)
 _HALF = np.uint64(32)
@@ -42,7 +42,7 @@ SEPARATOR = b"\n"
 class FileRules:
     """A frequency is a share of ``2 ** bits``; lanes follow a block's length, so that it takes about ``steps``.
 
-    ``shard_tokens`` is the mean size of a file. ``words_kept`` bounds what a task remembers of words, and of their parts.
+    ``shard_tokens`` is the mean size of a file. ``words_kept`` bounds what a task remembers of words' parts.
     """
 
     bits: int = 20
@@ -57,18 +57,27 @@ class FileRules:
 # --- ids of texts ------------------------------------------------------------------
 
 
-# Between ASCII letters and anything else, and behind any letters before ASCII punctuation, a token
-# ends, but for an apostrophe; a special token has "<|".
-_ASCII_PART = re.compile(rb"[a-z]+|[^a-z]+")
+# Bytes are blank, part of a letter, or other ASCII. A word with an odd byte is not cut: an apostrophe can
+# begin a token with letters in it, "<|" a special token, and of other characters little is known.
+_BLANK, _LETTER, _OTHER, _ODD = range(4)
+_KINDS = np.full(256, _OTHER, dtype=np.uint8)
+_KINDS[[9, 10, 11, 12, 13, 32]] = _BLANK
+_KINDS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KINDS[[ord("'"), *range(128, 256)]] = _ODD
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_ASCII_LETTERS = bytes(range(97, 123)).decode()
+# Behind any letters before ASCII punctuation, a token ends, but for an apostrophe.
 _LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class WordEncoder:
-    """Ids of whole texts, by way of their words and the words' parts.
+    """Ids of whole texts, by way of their words' parts: runs of letters, and of what is between them.
 
     Only for a tokenizer that ignores case, drops white space, tells letters from other characters and
     lets no token reach over either border, so that a text's ids are those of its parts one after the
-    other. Words and parts are remembered; each memory starts over at ``kept`` entries.
+    other. The parts of many texts are found, told apart and replaced as columns; each distinct one is
+    looked up once per call. They are remembered; the memory starts over at ``kept`` entries.
     """
 
     def __init__(self, model: str, kept: int):
@@ -79,77 +88,133 @@ class WordEncoder:
             alone = [i for p in parts for i in self._ids([p])[0]]
             if self._ids([text])[0] != alone:
                 raise ValueError("a tokenizer that keeps white space or case is not supported")
-        ending = self.tokenizer.model.end_of_word_suffix
-        self.ends = np.array([bool(ending) and (self.tokenizer.id_to_token(k) or "").endswith(ending)
-                              for k in range(self.tokenizer.get_vocab_size())])
+        self.model = self.tokenizer.model
+        # Letters go to the model by the tokenizer's own steps, which leave ASCII letters as they are.
+        self.direct = self._steps([_ASCII_LETTERS]) == [_ASCII_LETTERS] and \
+            [t.id for t in self.model.tokenize(_ASCII_LETTERS)] == self._ids([_ASCII_LETTERS])[0] and \
+            all("<|" in t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.letters = self._two_byte_letters()
         self.kept = kept
-        self.known: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _steps(self, texts: list[str]) -> list[str] | None:
+        """What the model gets of each text; None unless that is one piece each, or if the tokenizer lacks a step."""
+        first, second = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if first is None or second is None:
+            return None
+        pieces = second.pre_tokenize_str(first.normalize_str(" ".join(texts)))
+        return [p for p, _ in pieces] if len(pieces) == len(texts) else None
+
+    def _two_byte_letters(self) -> np.ndarray:
+        """Which code points below 0x800 are letters to the tokenizer as to Python, and stay one letter in lower case."""
+        found = np.zeros(0x800, dtype=bool)
+        for c in range(0x80, 0x800):
+            lower = unicodedata.normalize("NFC", chr(c)).lower()
+            found[c] = chr(c).isalpha() and len(lower) == 1 and lower.isalpha() and self._steps([f"a{chr(c)}a"]) is not None
+        return found
+
     @staticmethod
-    def _parts_of(word: bytes) -> list[bytes]:
-        if b"'" in word or b"<|" in word:
-            return [word]
-        if word.isascii():
-            return _ASCII_PART.findall(word.lower())
-        found = _LETTERS_THEN_MARKS.fullmatch(word.decode())
+    def _parts_of(part: bytes) -> list[bytes]:
+        if part.isascii() or b"'" in part or b"<|" in part:
+            return [part]
+        found = _LETTERS_THEN_MARKS.fullmatch(part.decode())
         # Some letters become a letter and a mark, which would go with what follows.
         if found and unicodedata.normalize("NFC", found[1]).lower().isalnum():
             return [found[1].encode(), found[2].encode()]
-        return [word]
-
-    def _learn(self, words: set[bytes]) -> None:
-        single, several = {}, {}
-        for w in words:
-            if w.isalpha():
-                single[w] = w.lower()
-            else:
-                several[w] = self._parts_of(w)
-        used = set(single.values())
-        used.update(chain.from_iterable(several.values()))
-        if len(self.parts) + len(used) > self.kept:
-            self.parts = {}
-        new = used.difference(self.parts)
-        # Letters alone are one word of the tokenizer each: many are encoded as one text, cut at words' ends.
-        texts = [(p, p.decode()) for p in new]
-        letters = [(p, t) for p, t in texts if t.isalpha()]
-        for at in range(0, len(letters), 5_000):
-            piece = letters[at:at + 5_000]
-            ids = np.array(self._ids([" ".join([t for _, t in piece])])[0], dtype="<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(piece):
-                data, begin = ids.tobytes(), 0
-                for (p, _), end in zip(piece, (4 * ends).tolist(), strict=True):
-                    self.parts[p] = data[begin:end]
-                    begin = end
-        rest = [x for x in texts if x[0] not in self.parts]
+        return [part]
+
+    def _encode_parts(self, parts: list[bytes]) -> list[list[int]]:
+        """The ids of each: letters by the tokenizer's steps if they allow it, all else by itself as a whole text."""
+        texts = [p.decode() for p in parts]
+        out: list = [None] * len(texts)
+        letters = [k for k, t in enumerate(texts) if t.isalpha()] if self.direct else []
+        ready = [(k, texts[k]) for k in letters if parts[k].isascii()]
+        letters = [k for k in letters if not parts[k].isascii()]
+        for at in range(0, len(letters), 1_000):
+            some = letters[at:at + 1_000]
+            ready += zip(some, self._steps([texts[k] for k in some]) or [], strict=False)
+        tokens = self.model.tokenize
+        for k, t in ready:
+            out[k] = [x.id for x in tokens(t)]
+        rest = [k for k, ids in enumerate(out) if ids is None]
         for at in range(0, len(rest), 5_000):
-            piece = rest[at:at + 5_000]
-            for (p, _), ids in zip(piece, self._ids([t for _, t in piece]), strict=True):
-                self.parts[p] = np.array(ids, dtype="<u4").tobytes()
-        if len(self.known) + len(words) > self.kept:
-            self.known = {}
-        parts = self.parts
-        for w, p in single.items():
-            self.known[w] = parts[p]
-        for w, ps in several.items():
-            self.known[w] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
+            some = rest[at:at + 5_000]
+            for k, ids in zip(some, self._ids([texts[k] for k in some]), strict=True):
+                out[k] = ids
+        return out
 
-    def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers, and ``end`` after them."""
-        split = [t.split() for t in texts]
-        words = list(chain.from_iterable(split))
-        ids = list(map(self.known.get, words))
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        """Remember distinct parts that are not known, and return their ids."""
+        several = {p: ps for p in new if not p.isascii() and len(ps := self._parts_of(p)) > 1}
+        once = [p for p in new if p not in several]
+        once += set(chain.from_iterable(several.values())).difference(once, self.parts)
+        ids = self._encode_parts(once)
+        data = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes()
+        known = dict(zip(once, _pieces(data, 4 * np.cumsum([0, *map(len, ids)])), strict=True))
+        for p, ps in several.items():
+            known[p] = b"".join([known[x] if x in known else self.parts[x] for x in ps])
+        if len(self.parts) + len(known) > self.kept:
+            self.parts = {}
+        self.parts.update(known)
+        return [known[p] for p in new]
+
+    def _cut(self, buf: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """Where the parts of a buffer begin, and the parts. The buffer ends with a blank."""
+        kind, low = _KINDS[buf], _LOWER[buf]
+        lead = np.flatnonzero(buf >> 5 == 6)
+        after = buf[lead + 1]
+        lead = lead[self.letters[(buf[lead] & 31).astype(np.int64) << 6 | after & 63] & (after >> 6 == 2)]
+        kind[lead] = kind[lead + 1] = _LETTER
+        special = np.flatnonzero(buf == ord("<"))
+        kind[special[buf[special + 1] == ord("|")]] = _ODD
+        odd = np.flatnonzero(kind == _ODD)
+        if len(odd):
+            begin, end = word_spans(buf)
+            words = np.unique(np.searchsorted(begin, odd, side="right") - 1)
+            size = end[words] - begin[words]
+            span = np.repeat(begin[words] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            kind[span], low[span] = _ODD, buf[span]
+        edge = np.concatenate(([0], np.flatnonzero(kind[1:] != kind[:-1]) + 1))
+        solid = np.flatnonzero(kind[edge] != _BLANK)
+        starts = edge[solid]
+        offsets = np.zeros(len(starts) + 1, dtype=np.int64)
+        np.cumsum(edge[solid + 1] - starts, out=offsets[1:])
+        return starts, _binary(offsets, pa.py_buffer(low[kind != _BLANK]))
+
+    def encode_column(self, texts: pa.Array, end: bytes) -> pa.Array:
+        """The ids of each text as little-endian 32-bit integers, and ``end`` after them. One text at least."""
+        buf, begins = joined(texts.to_pylist())
+        starts, parts = self._cut(buf)
+        coded = parts.dictionary_encode()
+        _, offsets, data = coded.dictionary.buffers()
+        distinct = _pieces(data.to_pybytes(), np.frombuffer(offsets, dtype=np.int64, count=len(coded.dictionary) + 1))
+        ids = list(map(self.parts.get, distinct))
         new = [k for k, x in enumerate(ids) if x is None]
         if new:
-            self._learn({words[k] for k in new})
-            for k in new:
-                ids[k] = self.known[words[k]]
-        each = iter(ids)
-        return [b"".join(islice(each, len(ws))) + end for ws in split]
+            for k, x in zip(new, self._learn([distinct[k] for k in new]), strict=True):
+                ids[k] = x
+        stops = np.searchsorted(starts, begins[1:])
+        which = np.insert(coded.indices.to_numpy(), stops, len(ids))
+        found = pa.array([*ids, end], pa.large_binary()).take(pa.array(which))
+        offsets = np.frombuffer(found.buffers()[1], dtype=np.int64)
+        ends = offsets[stops + np.arange(1, len(stops) + 1)]
+        return _binary(np.concatenate(([0], ends)), found.buffers()[2]).cast(pa.binary())
+
+    def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
+        """As ``encode_column``, of lists."""
+        return self.encode_column(pa.array(texts, pa.binary()), end).to_pylist()
+
+
+def _pieces(data: bytes, offsets: np.ndarray) -> list[bytes]:
+    ends = offsets.tolist()
+    return [data[begin:end] for begin, end in pairwise(ends)]
+
+
+def _binary(offsets: np.ndarray, data: pa.Buffer) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), data])
 
 
 _ENCODERS: dict[tuple[int, int], WordEncoder] = {}
@@ -184,10 +249,9 @@ def tokenize(docs: DataFrame, end_id: int = 2, tokenizer_path: str | None = None
         encoder = word_encoder(model, rules.words_kept)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).fill_null(b"")
-            for start, stop in text_slices(batch.column("text")):
-                ids = encoder.encode(texts.slice(start, stop - start).to_pylist(), end)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(start, stop - start), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            for start, stop in text_slices(texts, 2 * SLICE_BYTES):
+                ids = encoder.encode_column(texts.slice(start, stop - start), end)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), ids], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
 
@@ -415,8 +479,9 @@ def _histogram(tokens: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                seen = np.bincount(np.frombuffer(ids.as_buffer(), dtype="<u4"))
+            ids = batch.column("ids")
+            for start, stop in text_slices(ids, 4 << 20):
+                seen = np.bincount(np.frombuffer(b"".join(ids.slice(start, stop - start).to_pylist()), dtype="<u4"))
                 if len(seen) > len(counts):
                     counts = np.concatenate((counts, np.zeros(len(seen) - len(counts), dtype=np.int64)))
                 counts[:len(seen)] += seen

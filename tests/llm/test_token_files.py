@@ -118,3 +118,42 @@ def test_words_and_their_parts():
         some = texts[at:at + 50]
         got = encoder.encode([t.encode() for t in some], b"")
         assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+
+
+def _same_as_plain(encoder, texts):
+    tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    got = encoder.encode([t.encode() for t in texts], b"")
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_every_two_byte_character_next_to_others():
+    with open(default_tokenizer(), encoding="utf-8") as f:
+        encoder = WordEncoder(f.read(), kept=100_000)
+    chars = [chr(c) for c in range(0x80, 0x800)]
+    _same_as_plain(encoder, [f"a{c} {c}, {c}9{c}{c} B{c}B'{c} <{c}|{c}<| {c}" for c in chars])
+    rng = np.random.default_rng(7)
+    some = [*chars, *"aZ9.,'<| " * 60, *"漢é가K" * 20]
+    _same_as_plain(encoder, ["".join(rng.choice(some, rng.integers(1, 40))) for _ in range(3000)])
+    _same_as_plain(encoder, ["", "<", "a<", "é", "", "<|", "|<"])
+
+
+def test_work_per_distinct_part():
+    """Memories are asked once per distinct part, however often it occurs, and letters alone pass no whole encoding."""
+    with open(default_tokenizer(), encoding="utf-8") as f:
+        encoder = WordEncoder(f.read(), kept=1000)
+    asked = []
+
+    class Counted(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+    for name, value in list(vars(encoder).items()):
+        if isinstance(value, dict):
+            setattr(encoder, name, Counted(value))
+    whole, encoded = encoder._ids, []
+    encoder._ids = lambda texts: encoded.extend(texts) or whole(texts)
+    text = "Eins zwei drei, größer vier. " * 2000
+    got, = encoder.encode([text.encode()], b"")
+    assert np.frombuffer(got, dtype="<u4").tolist() == _plain(text)[:-1]
+    assert len(asked) == 7 and set(encoded) == {",", "."}
