@@ -29,6 +29,13 @@ def java_date_text(col: Column) -> Column:
     return F.date_format(col, "EEE MMM dd HH:mm:ss 'UTC' yyyy")
 
 
+#: The columns of matched messages that ``to_events`` reads, where a frame has them.
+MESSAGE_FIELDS = (
+    "event_id", "location", "nodeid", "raw", "message", "facility", "severity", "event_time", "process_name", "process_id",
+    "host_address", "source_address", "system_id", "uei", "rule_parms",
+)
+
+
 def to_events(
     df: DataFrame, uei_prefix: str = "uei.example.org/syslog", source: str = "syslog",
     local_host: str = "localhost", raw: str = "raw",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +43,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def small_cache_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Frames that are persisted and first run inside are kept in batches of ``rows`` rows.
+
+    While Spark stores such batches, it looks at its memory only once in 16 of them, and writes or reads up to 100 of
+    them on disk with all in memory. At its own 10,000 rows each, wide rows fill a heap that Spark takes to be free.
+    """
+    key = "spark.sql.inMemoryColumnarStorage.batchSize"
+    held = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(held))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
 

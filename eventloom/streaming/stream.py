@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import empty_parms, parm
-from ..operators.events import broadcastable, is_reload
+from ..operators.events import MESSAGE_FIELDS, broadcastable, is_reload
 from ..operators.route import route
 from ..plans.flow import Config, add_row_lookups, build_events, parse_messages
 from ..schema import as_events
+from ..session import small_cache_batches
 from ..sources.envelopes import read_envelopes
 from ..sources.sinks import write_events
 from .metrics import StageCounts
@@ -41,6 +42,13 @@ def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad.select("raw", "value", "source_address", "reject_reason") if "value" in df.columns else bad
 
 
+def needed_later(matched: DataFrame) -> DataFrame:
+    """Matched messages with only what events and the error channel read; the envelope stays in rejected rows alone."""
+    kept = [c for c in matched.columns if c in MESSAGE_FIELDS]
+    envelope = [F.when(F.col("reject_reason").isNotNull(), F.col("value")).alias("value")] if "value" in matched.columns else []
+    return matched.select(*kept, *envelope, "reject_reason", "discarded")
+
+
 def write_batch_folder(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch to a folder of its own; a repeated batch replaces itself."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
@@ -118,23 +126,24 @@ def process_batch(
 ) -> DataFrame:
     """One micro-batch of envelopes: parse once, then errors, table and subscribers.
 
-    Returns the expanded events, persisted; the caller lets go of them. With ``sinks.metrics`` the
+    Returns the expanded events without their definitions, persisted; the caller lets go of them. With ``sinks.metrics`` the
     stages' counts follow: log documents and messages with their sizes, errors, events and broadcasts.
     """
     counts = StageCounts()
     logs = counts.watch(batch, "logs", F.octet_length("value")) if "value" in batch.columns else batch
     envelopes = counts.watch(read_envelopes(logs), "messages", F.octet_length("raw"))
     ref_time = F.coalesce("msg_time", F.current_timestamp())
-    matched = parse_messages(envelopes, config, ref_time).persist()
-    good, bad = split_errors(matched)
-    events = counts.watch(build_events(good, config), "events").persist()
-    try:
-        write_batch_folder(counts.watch(bad, "errors"), sinks.errors, batch_id)
-        publish(events, subscriptions, config, sinks, batch_id, counts)
-        if sinks.metrics:
-            write_batch_folder(counts.rows(batch.sparkSession), sinks.metrics, batch_id)
-    finally:
-        matched.unpersist()
+    with small_cache_batches(batch.sparkSession):
+        matched = needed_later(parse_messages(envelopes, config, ref_time)).persist()
+        good, bad = split_errors(matched)
+        events = counts.watch(build_events(good, config).drop("def"), "events").persist()
+        try:
+            write_batch_folder(counts.watch(bad, "errors"), sinks.errors, batch_id)
+            publish(events, subscriptions, config, sinks, batch_id, counts)
+            if sinks.metrics:
+                write_batch_folder(counts.rows(batch.sparkSession), sinks.metrics, batch_id)
+        finally:
+            matched.unpersist()
     return events
 
 

@@ -3,15 +3,20 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators.events import is_reload
+from eventloom.operators.events import is_reload, to_events
+from eventloom.plans.catalog.lookups import DEFAULT_UEI, definitions
+from eventloom.plans.catalog.rules import RULES
 from eventloom.plans.catalog.streams import _config, _envelope
-from eventloom.plans.flow import build_events, parse_messages
+from eventloom.plans.catalog.text import PATTERNS
+from eventloom.plans.flow import Config, build_events, parse_messages
 from eventloom.plans import views as V
 from eventloom.session import shared_dir
 from eventloom.sources.envelopes import read_envelopes
 from eventloom.streaming.batch_log import with_late_rows, with_versions
 from eventloom.streaming.size_or_time import batch_by_size_or_time
-from eventloom.streaming.stream import batch_by_source_stream, reload_result, split_errors, with_reload, write_batch_folder
+from eventloom.streaming.stream import (
+    Sinks, batch_by_source_stream, needed_later, process_batch, reload_result, split_errors, with_reload, write_batch_folder,
+)
 
 
 def _events(spark, uei):
@@ -166,3 +171,45 @@ def test_version_in_force_survives_a_restart(spark):
     start()(_events(spark, "other"), 3)
     assert used == [(0, "v1"), (1, "v1"), (2, "v2"), (2, "v2"), (3, "v2")]
     assert emitted == [(1, None), (2, "no v3")]
+
+
+def _cached_batches(df):
+    """Batches that a persisted frame is kept in, after it was run."""
+    return df._jdf.queryExecution().withCachedData().cacheBuilder().cachedColumnBuffers().count()
+
+
+def test_a_batch_is_kept_in_small_parts(spark):
+    """What a micro-batch persists is narrow and in batches of 500 rows, whatever the session's own size."""
+    root = shared_dir(spark, "test-kept")
+    raw = F.when(F.col("id") % 4 == 0, F.lit("<11>& first\nrest")).otherwise(F.concat(F.lit("<14>host1@ 2024-01-01 did signup amount "), "id"))
+    lines = spark.range(0, 2000, 1, 1).select(
+        F.lit(1).alias("event_id"), F.lit("2024-01-01").cast("timestamp").alias("ts"), F.col("id").alias("user_id"), raw.alias("raw"))
+    rules = [r for r in RULES if r.rule_no != 7]
+    config = Config(patterns=PATTERNS, rules=rules, discard_uei="DISCARD", definitions=definitions(spark), default_uei=DEFAULT_UEI)
+    subscriptions = spark.createDataFrame([("audit", None)], "listener string, uei string")
+    held = spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")
+    sinks = Sinks(f"{root}/table", f"{root}/routed", f"{root}/errors")
+    events = process_batch(_envelope(lines).select("value"), 0, config, subscriptions, sinks)
+    try:
+        assert _cached_batches(events) >= 3
+        assert "def" not in events.columns and events.count() == 1500
+    finally:
+        events.unpersist()
+    assert spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize") == held
+    bad = spark.read.parquet(sinks.errors)
+    assert bad.filter("value like '<syslog-message-log%' and raw like '%first%'").count() == bad.count() == 500
+    assert spark.read.parquet(sinks.table).count() == spark.read.parquet(sinks.routed).count() == 1500
+
+
+def test_only_what_is_read_later_is_kept(spark, sf):
+    """Errors and events are the same from the narrow messages, and whole envelopes stay with the errors alone."""
+    config = _config(spark, sf)
+    envelopes = read_envelopes(_envelope(V.raw_mixed(spark, sf)).select("value"))
+    whole = parse_messages(envelopes, config, F.col("msg_time"))
+    narrow = needed_later(whole)
+    assert not {"params", "pattern_no", "msg_time"} & set(narrow.columns)
+    assert narrow.filter("value is not null and reject_reason is null").isEmpty()
+    (good, bad), (few, errors) = split_errors(whole), split_errors(narrow)
+    assert errors.columns == bad.columns and errors.exceptAll(bad).isEmpty() and bad.exceptAll(errors).isEmpty()
+    wide, slim = to_events(good), to_events(few)
+    assert slim.columns == wide.columns and slim.exceptAll(wide).isEmpty() and wide.exceptAll(slim).isEmpty()
